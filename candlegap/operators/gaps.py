@@ -198,18 +198,19 @@ FIRST_FILL_SCHEMA = StructType([
 ])
 
 
-def _first_at_or_below(values: np.ndarray, start: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """For each query q: the smallest j >= start[q] with values[j] <= level[q],
-    or len(values) if there is none.
+def _first_at_or_below(values: np.ndarray, start: np.ndarray, level: np.ndarray,
+                       end: np.ndarray) -> np.ndarray:
+    """For each query q: the smallest j in [start[q], end[q]) with
+    values[j] <= level[q], or end[q] if there is none.
 
     Sparse table of range minima plus binary lifting, vectorised over all
-    queries: O((n + q) log n) for an instrument of n bars and q gaps.
+    queries of a batch: O((n + q) log n) for n bars and q gaps.
     """
     n = len(values)
     pos = start.astype(np.int64)
     if n == 0 or len(pos) == 0:
-        return np.full(len(pos), n, dtype=np.int64)
-    tables = [values.astype(np.float64)]
+        return end.astype(np.int64)
+    tables = [values]
     span = 1
     while span * 2 <= n:
         prev = tables[-1]
@@ -217,42 +218,71 @@ def _first_at_or_below(values: np.ndarray, start: np.ndarray, level: np.ndarray)
         span *= 2
     for k in range(len(tables) - 1, -1, -1):
         width = 1 << k
-        tab = tables[k]  # tab[p] = min(values[p : p + width]) for p <= n - width
-        fits = pos + width <= n
+        tab = tables[k]  # tab[p] = min(values[p : p + width])
+        fits = pos + width <= end
         probe = tab[np.where(fits, pos, 0)]
         pos = np.where(fits & (probe > level), pos + width, pos)
     return pos
 
 
-def _first_fill_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One instrument's bars (any order) -> its gap rows with the first fill."""
-    pdf = pdf.sort_values("date", kind="stable").reset_index(drop=True)
+_OUT_COLUMNS = [f.name for f in FIRST_FILL_SCHEMA.fields]
+
+
+def _solve_first_fill(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rows of whole instruments, each instrument's bars contiguous and in
+    date order -> the gap rows with their first fill."""
     n = len(pdf)
-    kind = pdf["fvg_type"].to_numpy(dtype=object)
-    gap_idx = np.flatnonzero(pd.notna(kind))
+    fs, ts = pdf["from_symbol"].to_numpy(dtype=object), pdf["to_symbol"].to_numpy(dtype=object)
+    new_seg = np.ones(n, dtype=bool)
+    new_seg[1:] = (fs[1:] != fs[:-1]) | (ts[1:] != ts[:-1])
+    seg_start = np.flatnonzero(new_seg)
+    seg_end = np.append(seg_start[1:], n)
+    row_end = np.repeat(seg_end, np.diff(np.append(seg_start, n)))
+    gap_idx = np.flatnonzero(pdf["fvg_type"].notna().to_numpy())
     gaps = pdf.iloc[gap_idx]
     bull = (gaps["fvg_type"] == BULLISH).to_numpy()
-    found = np.full(len(gap_idx), n, dtype=np.int64)
-    start = gap_idx + 1
+    start, end = gap_idx + 1, row_end[gap_idx]
+    found = end.copy()
     # bullish: first later low <= fvg_low; bearish: first later high >= fvg_high,
-    # searched as -high <= -fvg_high. Integer price units, so compares are exact.
+    # searched as -high <= -fvg_high. Integer price units: exact comparisons.
     if bull.any():
         found[bull] = _first_at_or_below(
             pdf["low_u"].to_numpy(dtype=np.float64), start[bull],
-            gaps["fvg_low_u"].to_numpy(dtype=np.float64)[bull])
+            gaps["fvg_low_u"].to_numpy(dtype=np.float64)[bull], end[bull])
     if (~bull).any():
         found[~bull] = _first_at_or_below(
             -pdf["high_u"].to_numpy(dtype=np.float64), start[~bull],
-            -gaps["fvg_high_u"].to_numpy(dtype=np.float64)[~bull])
-    filled = found < n
+            -gaps["fvg_high_u"].to_numpy(dtype=np.float64)[~bull], end[~bull])
+    filled = found < end
     dates = pdf["date"].to_numpy(dtype=object)
-    out = gaps[[f.name for f in FIRST_FILL_SCHEMA.fields[:10]]].copy()
-    out["first_fill_date"] = np.where(filled, dates[np.minimum(found, max(n - 1, 0))], None)
-    out["bars_to_fill"] = pd.array(np.where(filled, found - gap_idx, 0), dtype="Int32")
-    out.loc[~filled, "bars_to_fill"] = pd.NA
+    out = gaps[_OUT_COLUMNS[:10]].reset_index(drop=True)
+    out["first_fill_date"] = np.where(filled, dates[np.minimum(found, n - 1)], None)
+    steps = pd.array(found - gap_idx, dtype="Int32")
+    steps[~filled] = pd.NA
+    out["bars_to_fill"] = steps
     return out
 
 
+def _first_fill_stream(batches):
+    """Arrow batches of one partition, clustered by instrument and sorted by
+    date -> gap rows. An instrument cut by a batch boundary is carried into
+    the next batch, so memory stays at one batch plus one instrument."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        last_f, last_t = pdf["from_symbol"].iat[-1], pdf["to_symbol"].iat[-1]
+        tail = ((pdf["from_symbol"] == last_f) & (pdf["to_symbol"] == last_t)).to_numpy()
+        carry = pdf[tail]
+        done = pdf[~tail].reset_index(drop=True)
+        if len(done):
+            yield _solve_first_fill(done)
+    if carry is not None and len(carry):
+        yield _solve_first_fill(carry.reset_index(drop=True))
+
+
 def _from_units(name: str) -> Column:
     return (F.col(f"{name}_u").cast("decimal(18,0)") * F.lit(_UNIT).cast("decimal(5,5)")
             ).cast(PRICE).alias(name)
@@ -266,18 +296,24 @@ def gap_first_fill(silver: DataFrame, *, pip_factor: int = DEFAULT_PIP_FACTOR) -
     "First later bar whose low reaches a per-gap level" is not a window
     aggregate, and the equivalent range join (pair equal, later date, level
     predicate) emits every later filling bar per gap -- quadratic within an
-    instrument. So the search runs per instrument in ``applyInPandas`` with a
-    sparse-table binary search (exact, O(n log n)). The neighbour window
-    already hash-partitions by instrument, so the grouped map adds no
-    shuffle. A group is one instrument's deduplicated daily bars, bounded by
-    the calendar (one row per day), not by table size. Only integer price
+    instrument. So the search runs in ``mapInPandas`` right after the
+    neighbour window, whose output is already hash-partitioned by instrument
+    and date-ordered: no extra shuffle, and each Arrow batch solves all the
+    instruments it holds in one vectorised sparse-table binary search
+    (exact, O(n log n)). Memory is one batch plus one instrument's
+    deduplicated daily bars (bounded by the calendar). Only integer price
     units and dates cross into Python; decimals are rebuilt JVM-side.
     """
     marked = neighbour_bars(silver).withColumns(gap_levels("ordered"))
     units = {f"{c}_u": (F.col(c) * _UNITS).cast("long")
              for c in ("open", "high", "low", "close", "fvg_high", "fvg_low")}
-    narrow = marked.select(*PAIR_KEYS, "date", "fvg_type", *[e.alias(k) for k, e in units.items()])
-    fills = narrow.groupBy(*PAIR_KEYS).applyInPandas(_first_fill_group, FIRST_FILL_SCHEMA)
+    narrow = marked.select(*PAIR_KEYS, "date", "fvg_type",
+                           *[e.alias(k) for k, e in units.items()])
+    # The Window above hash-partitions by instrument and sorts by (instrument,
+    # date); this sort restates that order and is removed by the planner as
+    # redundant, so mapInPandas sees whole, ordered instruments per partition.
+    fills = narrow.sortWithinPartitions(*PAIR_KEYS, "date").mapInPandas(
+        _first_fill_stream, FIRST_FILL_SCHEMA)
     prices = [_from_units(c) for c in ("fvg_high", "fvg_low", "open", "high", "low", "close")]
     out = fills.select("date", *PAIR_KEYS, "fvg_type", "first_fill_date", "bars_to_fill", *prices)
     return out.select(

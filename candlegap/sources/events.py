@@ -62,7 +62,8 @@ def bars_to_bronze(
     31 * (user_id % 6) days to the date so the bars span several months.
     """
     k = F.col("user_id") % 7
-    o, h, l, c = (F.col(x) * F.lit(price_factor) for x in ("o", "h", "l", "c"))
+    o, h, l, c = (F.col(x) * F.lit(price_factor) if price_factor != 1 else F.col(x)
+                  for x in ("o", "h", "l", "c"))
     open_s, high_s, low_s, close_s = _text(o), _text(h), _text(l), _text(c)
     if malformed:
         open_s = (F.when(k == 0, F.lit("bad")).when(k == 4, F.lit("-1"))
