@@ -50,7 +50,10 @@ def gap_size_pips(high: str | Column, low: str | Column,
     return ((col(high) - col(low)) * F.lit(pip_factor)).try_cast(PIPS_TYPE)
 
 
-def timestamp_literal(ts: str) -> Column:
+def timestamp_literal(ts: str | None) -> Column:
     """An ISO-8601 instant as a TIMESTAMP literal (session time zone applies
-    to values without an offset); folded to a constant by Catalyst."""
+    to values without an offset); folded to a constant by Catalyst. ``None``
+    means "now": ``current_timestamp()``, one value per query execution."""
+    if ts is None:
+        return F.current_timestamp()
     return F.lit(ts).cast("timestamp")

@@ -107,6 +107,19 @@ def detect_gaps(
     return out.select(*GAP_COLUMNS)
 
 
+def detect_gaps_inline(bars: DataFrame, *, levels: str = "ordered",
+                       pip_factor: int = DEFAULT_PIP_FACTOR) -> DataFrame:
+    """Every bar, with ``fvg_type`` / ``fvg_high`` / ``fvg_low`` /
+    ``fvg_size_pips`` set on the bars that carry a gap (NULL elsewhere).
+
+    For reports that need bars and gaps side by side: same single window as
+    ``detect_gaps``, no filter, so no join back to the bars.
+    """
+    out = neighbour_bars(bars).withColumns(gap_levels(levels))
+    out = out.withColumn("fvg_size_pips", gap_size_pips("fvg_high", "fvg_low", pip_factor))
+    return out.drop("prev_high", "prev_low", "next_high", "next_low")
+
+
 def detect_bullish(silver: DataFrame, **kw) -> DataFrame:
     return detect_gaps(silver, kinds=(BULLISH,), **kw)
 
@@ -328,6 +341,6 @@ def gap_first_fill(silver: DataFrame, *, pip_factor: int = DEFAULT_PIP_FACTOR) -
 
 __all__ = [
     "BEARISH", "BULLISH", "GAP_COLUMNS", "LEVEL_MODES", "PIPS", "PRICE", "detect_bearish",
-    "detect_bullish", "detect_gaps", "detect_gaps_union", "gap_fill_close", "gap_fill_future",
+    "detect_bullish", "detect_gaps", "detect_gaps_inline", "detect_gaps_union", "gap_fill_close", "gap_fill_future",
     "gap_first_fill", "gap_levels", "neighbour_bars",
 ]

@@ -365,3 +365,13 @@ ORACLE_SQL["layer_row_counts"] = with_(*BUILD_SILVER, gap_ctes()) + """
 SELECT 'bronze' AS layer, COUNT(*) AS n_rows FROM mixed
 UNION ALL SELECT 'silver', COUNT(*) FROM silver
 UNION ALL SELECT 'gold', COUNT(*) FROM gaps"""
+ORACLE_SQL["stream_refresh"] = with_(
+    *BASE, REPLAY, REPLAY_CTE,
+    """merged AS (
+    SELECT * FROM replay
+    UNION ALL
+    SELECT e.* FROM bronze e
+    WHERE NOT EXISTS (SELECT 1 FROM replay r WHERE r.date = e.date
+                      AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol))""",
+    silver_ctes("merged"), gap_ctes(), close_fill_cte("gold", "gaps")) + """
+SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM gold"""

@@ -22,7 +22,7 @@ from candlegap.sinks.files import write_layer
 from candlegap.sources.files import scan_layer, scan_raw_json
 
 
-def stamp_ingest(raw: DataFrame, run_ts: str) -> DataFrame:
+def stamp_ingest(raw: DataFrame, run_ts: str | None) -> DataFrame:
     """Bronze: the raw records with this run's instant as ``_ingest_timestamp``."""
     return raw.withColumn("_ingest_timestamp", timestamp_literal(run_ts))
 
@@ -44,7 +44,7 @@ def build_silver(bronze: DataFrame) -> DataFrame:
 def build_gold(
     silver: DataFrame,
     *,
-    run_ts: str,
+    run_ts: str | None,
     levels: str = "ordered",
     fill: str = "close",
     pip_factor: int = DEFAULT_PIP_FACTOR,

@@ -77,14 +77,26 @@ def report_monthly_activity(gold: DataFrame, *, by_pair: bool = True) -> DataFra
     ).orderBy(F.col("month").desc(), *(PAIR if by_pair else [])))
 
 
-def report_volatility(silver: DataFrame, gold: DataFrame, days: int = 20) -> DataFrame:
+def report_volatility(silver: DataFrame, gold: DataFrame | None = None,
+                      days: int = 20) -> DataFrame:
     """Each bar with its rolling ``days``-bar mean range beside the gap (if
     any) dated on it.
 
-    Left join on (pair, date): at most one gap per bar, so no fan-out. Both
-    inputs come out of windows partitioned by pair; Spark/AQE choose a
-    broadcast or sort-merge join from the runtime size of the gap side.
+    Without ``gold`` the gaps are derived in the same pass: the rolling mean
+    and the lag/lead columns share one partitioning and order, so the whole
+    report is one shuffle by instrument and no join (a bar carries at most
+    one gap, dated on itself). With a stored ``gold`` table it is a left
+    join on (pair, date) -- no fan-out for the same reason; Spark/AQE pick
+    broadcast only when the gap side's measured size is under the broadcast
+    threshold, sort-merge otherwise.
     """
+    from candlegap.operators.gaps import detect_gaps_inline
+
+    if gold is None:
+        both = detect_gaps_inline(rolling_volatility(silver, days))
+        return (both.select("date", *PAIR, "daily_range", "volatility_20d", "daily_return",
+                            "fvg_type", _abs_size())
+                .orderBy(F.col("date").desc(), *PAIR))
     vol = rolling_volatility(silver, days).select(
         "date", *PAIR, "daily_range", "volatility_20d", "daily_return")
     gaps = gold.select("date", *PAIR, "fvg_type", _abs_size())

@@ -96,12 +96,16 @@ def flatten_documents(docs: DataFrame, *, ingest_ts: str, source: str) -> DataFr
 def bronze_to_documents(bronze: DataFrame) -> DataFrame:
     """Bronze rows -> one document per pair (the provider's shape).
 
-    Groups by pair and builds the date map with ``map_from_entries`` over the
-    pair's days. A document is bounded by the pair's calendar (one entry per
-    day) -- it is the provider's own unit of delivery -- so the collect per
-    group never grows with the number of pairs or copies. Used to build
-    round-trip fixtures from the given tables.
+    Copies of a (pair, day) are first reduced to the latest one
+    (``dedup_latest``: partial aggregation, map-side), so a document holds
+    exactly one entry per day -- bounded by the pair's calendar, the
+    provider's own unit of delivery -- and the date map has unique keys.
+    Then groups by pair and builds the map with ``map_from_entries``. Used
+    to build round-trip fixtures from the given tables.
     """
+    from candlegap.operators.quality import dedup_latest
+
+    bronze = dedup_latest(bronze)
     day = F.struct(
         F.col("date"),
         F.create_map(F.lit(OPEN_KEY), F.col("open"), F.lit(HIGH_KEY), F.col("high"),

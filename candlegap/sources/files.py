@@ -49,13 +49,15 @@ def scan_layer(
     *,
     pairs: Iterable[str] | None = None,
     fmt: str = "parquet",
-    merge_schema: bool = True,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """A bronze/silver/gold table written by ``write_layer``.
 
     ``pairs`` (e.g. ``["EURUSD"]``) selects instruments by folder, which
     Spark prunes before listing files; filters and column selections on the
-    result are pushed into the Parquet scan.
+    result are pushed into the Parquet scan. ``merge_schema`` reconciles
+    files written with different column sets (schema evolution); it costs a
+    job that reads every file footer, so it is opt-in.
     """
     reader = spark.read.format(fmt)
     if merge_schema and fmt == "parquet":

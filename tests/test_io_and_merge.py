@@ -121,7 +121,7 @@ def test_evolve_schema_adds_columns(spark, tmp_root):
     root = f"{tmp_root}/ev"
     write_layer(first, root)
     write_layer(second, root, mode="append")
-    assert "note" in scan_layer(spark, root).columns
+    assert "note" in scan_layer(spark, root, merge_schema=True).columns
 
 
 def test_conform_and_null_violations(spark):

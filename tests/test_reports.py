@@ -36,6 +36,13 @@ def test_sql_text_equals_dataframe_report(spark, layers, name):
     assert got.collect() == want.collect()
 
 
+def test_volatility_single_pass_equals_join(layers):
+    s, g = layers
+    one = reports.report_volatility(s)
+    assert "Join" not in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted(one.collect()) == sorted(reports.report_volatility(s, g).collect())
+
+
 def test_flagship_counts_at_smallest_scale(spark):
     rows = {r["fvg_type"]: r for r in reports.report_fill_rate(gaps_ordered(spark, SF)).collect()}
     assert rows["bullish"]["total_fvgs"] == 60 and rows["bearish"]["total_fvgs"] == 55
