@@ -29,7 +29,12 @@ def daily_return(df: DataFrame) -> DataFrame:
 
 def derive_fields(df: DataFrame) -> DataFrame:
     """Both derived fields in one Project over one Window."""
-    return daily_return(daily_range(df))
+    prev = F.lag("close", 1).over(pair_window())
+    pct = F.try_divide(F.col("close") - prev, prev) * F.lit(100)
+    return df.withColumns({
+        "daily_range": (F.col("high") - F.col("low")).try_cast(PRICE_TYPE),
+        "daily_return": pct.try_cast(PRICE_TYPE),
+    })
 
 
 def rolling_volatility(silver: DataFrame, days: int = 20, *, by_pair: bool = True,

@@ -96,15 +96,18 @@ def detect_gaps(
     """Gap rows, dated by the middle bar, in the gold column layout:
     date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low,
     fvg_size_pips, open, high, low, close."""
+    out = neighbour_bars(silver)
     lv = gap_levels(levels)
-    out = neighbour_bars(silver).withColumns(lv)
+    cond = lv["fvg_type"].isNotNull()
     kinds = tuple(kinds)
-    cond = F.col("fvg_type").isNotNull()
     if set(kinds) != {BULLISH, BEARISH}:
-        cond = F.col("fvg_type").isin(list(kinds))
-    out = out.filter(cond).withColumn(
-        "fvg_size_pips", gap_size_pips("fvg_high", "fvg_low", pip_factor))
-    return out.select(*GAP_COLUMNS)
+        cond = lv["fvg_type"].isin(list(kinds))
+    out = out.filter(cond).select(
+        "date", *PAIR_KEYS, lv["fvg_type"].alias("fvg_type"), lv["fvg_high"].alias("fvg_high"),
+        lv["fvg_low"].alias("fvg_low"),
+        gap_size_pips(lv["fvg_high"], lv["fvg_low"], pip_factor).alias("fvg_size_pips"),
+        "open", "high", "low", "close")
+    return out
 
 
 def detect_gaps_inline(bars: DataFrame, *, levels: str = "ordered",

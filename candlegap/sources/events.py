@@ -18,8 +18,17 @@ from pyspark.sql import functions as F
 from candlegap.functions.columns import PRICE_TYPE
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The (read-only) ``events`` table; the lazy reader is reused per session
+    so repeated queries skip the file listing and footer read."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def event_bars(events: DataFrame) -> DataFrame:
