@@ -45,9 +45,24 @@ def pair_window(*order: str | Column) -> WindowSpec:
 
 
 def gap_size_pips(high: str | Column, low: str | Column,
-                  pip_factor: int = DEFAULT_PIP_FACTOR) -> Column:
-    """(high - low) in pips as decimal(10,2); NULL when it does not fit."""
-    return ((col(high) - col(low)) * F.lit(pip_factor)).try_cast(PIPS_TYPE)
+                  pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> Column:
+    """(high - low) in pips as decimal(10,2); NULL when it does not fit.
+
+    ``pip_factor`` is a number, or a column for per-instrument pip sizes
+    (e.g. ``quote_pip_factor()``).
+    """
+    factor = pip_factor if isinstance(pip_factor, Column) else F.lit(pip_factor)
+    return ((col(high) - col(low)) * factor).try_cast(PIPS_TYPE)
+
+
+# Quote currencies whose pip is 0.01 rather than 0.0001.
+HUNDREDTH_PIP_QUOTES = ("JPY",)
+
+
+def quote_pip_factor(to_col: str = "to_symbol") -> Column:
+    """Per-row pip factor: 100 for quotes in ``HUNDREDTH_PIP_QUOTES``, else 10000."""
+    return F.when(F.upper(F.col(to_col)).isin(list(HUNDREDTH_PIP_QUOTES)), F.lit(100)) \
+        .otherwise(F.lit(DEFAULT_PIP_FACTOR))
 
 
 def timestamp_literal(ts: str | None) -> Column:

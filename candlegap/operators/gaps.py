@@ -91,7 +91,7 @@ def detect_gaps(
     *,
     levels: str = "ordered",
     kinds: Sequence[str] = (BULLISH, BEARISH),
-    pip_factor: int = DEFAULT_PIP_FACTOR,
+    pip_factor: int | Column = DEFAULT_PIP_FACTOR,
 ) -> DataFrame:
     """Gap rows, dated by the middle bar, in the gold column layout:
     date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low,
@@ -111,7 +111,7 @@ def detect_gaps(
 
 
 def detect_gaps_inline(bars: DataFrame, *, levels: str = "ordered",
-                       pip_factor: int = DEFAULT_PIP_FACTOR) -> DataFrame:
+                       pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Every bar, with ``fvg_type`` / ``fvg_high`` / ``fvg_low`` /
     ``fvg_size_pips`` set on the bars that carry a gap (NULL elsewhere).
 
@@ -132,7 +132,7 @@ def detect_bearish(silver: DataFrame, **kw) -> DataFrame:
 
 
 def detect_gaps_union(silver: DataFrame, *, levels: str = "ordered",
-                      pip_factor: int = DEFAULT_PIP_FACTOR) -> DataFrame:
+                      pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Bullish and bearish rows detected separately and unioned by name.
 
     Kept to check that the single-pass ``detect_gaps`` returns the same rows;
@@ -175,7 +175,7 @@ def _future_extremes(silver: DataFrame) -> DataFrame:
     })
 
 
-def gap_fill_future(silver: DataFrame, *, pip_factor: int = DEFAULT_PIP_FACTOR) -> DataFrame:
+def gap_fill_future(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Gaps (ordered levels) with ``is_filled`` decided by the later bars:
     bullish when a later low reaches ``fvg_low``, bearish when a later high
     reaches ``fvg_high``, i.e. price traded through the whole zone."""
@@ -304,7 +304,7 @@ def _from_units(name: str) -> Column:
             ).cast(PRICE).alias(name)
 
 
-def gap_first_fill(silver: DataFrame, *, pip_factor: int = DEFAULT_PIP_FACTOR) -> DataFrame:
+def gap_first_fill(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Gaps (ordered levels) with the first later bar that fills them:
     ``is_filled`` (as ``gap_fill_future``), ``first_fill_date``,
     ``bars_to_fill`` and ``days_to_fill`` (NULL while the gap is open).

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlegap.functions.columns import DEFAULT_PIP_FACTOR, timestamp_literal
@@ -47,7 +47,7 @@ def build_gold(
     run_ts: str | None,
     levels: str = "ordered",
     fill: str = "close",
-    pip_factor: int = DEFAULT_PIP_FACTOR,
+    pip_factor: int | Column = DEFAULT_PIP_FACTOR,
 ) -> DataFrame:
     """Gaps with ``is_filled`` and ``_updated_at``, in the gold column order.
 

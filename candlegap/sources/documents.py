@@ -64,7 +64,8 @@ def classify_documents(docs: DataFrame) -> DataFrame:
         "to_symbol": _meta(TO_KEY),
         "status": status,
         "reason": reason,
-        "n_days": F.coalesce(F.size(series), F.lit(0)),
+        # explicit: size(NULL) is -1 or NULL depending on the ANSI setting
+        "n_days": F.when(series.isNull(), F.lit(0)).otherwise(F.size(series)),
     })
 
 

@@ -122,3 +122,29 @@ def test_single_pass_equals_union(spark):
 
 def test_pip_factor_parameter(bullish):
     assert detect_gaps(bullish, pip_factor=100).first()["fvg_size_pips"] == Decimal("0.50")
+
+
+def test_per_quote_pip_factor(spark):
+    from candlegap.functions import quote_pip_factor
+
+    jpy = silver_bars(spark, [("2024-01-01", "150.000", "150.500", "149.500", "150.200"),
+                              ("2024-01-02", "150.200", "152.000", "150.100", "151.800"),
+                              ("2024-01-03", "151.800", "152.500", "151.000", "152.300")],
+                      pair=("USD", "JPY"))
+    eur = silver_bars(spark, BULLISH_ROWS)
+    rows = {r["to_symbol"]: r["fvg_size_pips"] for r in
+            detect_gaps(jpy.unionByName(eur), pip_factor=quote_pip_factor()).collect()}
+    assert rows == {"JPY": Decimal("50.00"), "USD": Decimal("50.00")}
+
+
+def test_invariants_on_event_bars(spark):
+    from candlegap.catalog import silver
+
+    s = silver(spark, "/root/testdata/sf0.01")
+    g = detect_gaps(s).collect()
+    keys = [(r["from_symbol"], r["to_symbol"], r["date"]) for r in g]
+    assert len(keys) == len(set(keys))                          # at most one gap per bar
+    assert all(r["fvg_high"] > r["fvg_low"] for r in g)           # ordered levels
+    assert all(r["fvg_size_pips"] > 0 for r in g)
+    pos = detect_gaps(s, levels="positional").collect()
+    assert sorted(abs(r["fvg_size_pips"]) for r in pos) == sorted(r["fvg_size_pips"] for r in g)
