@@ -20,6 +20,7 @@ from candlegap.sinks.files import write_layer, write_raw_json, write_raw_json_ar
 from candlegap.sinks.paths import scratch_path
 from candlegap.sources.documents import (
     ERROR_KEY,
+    FROM_KEY,
     META_KEY,
     NOTE_KEY,
     SERIES_KEY,
@@ -80,15 +81,11 @@ def gaps_ordered(spark, sf, **variant) -> DataFrame:
     return op.gap_fill_close(op.detect_gaps(silver(spark, sf, **variant)))
 
 
-def _user_id():
-    return F.substring("from_symbol", 2, 20).cast("long")
-
-
 def documents(spark, sf) -> DataFrame:
     """One document per instrument; by user_id % 10: 0 an error document (no
     metadata, no series), 1 a rate-limit note beside the series, 2 no series."""
     docs = bronze_to_documents(bronze(spark, sf)).withColumn(
-        "_k", F.col(f"`{META_KEY}`")["2. From Symbol"])
+        "_k", F.col(f"`{META_KEY}`")[FROM_KEY])
     k = F.substring("_k", 2, 20).cast("long") % 10
     meta, series = F.col(f"`{META_KEY}`"), F.col(f"`{SERIES_KEY}`")
     return docs.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlegap.functions.columns import PAIR_KEYS, PRICE_TYPE, pair_window
+from candlegap.functions.columns import PRICE_TYPE, pair_window
 
 
 def daily_range(df: DataFrame) -> DataFrame:
@@ -52,4 +52,4 @@ def rolling_volatility(silver: DataFrame, days: int = 20, *, by_pair: bool = Tru
     return silver.withColumn(name, avg)
 
 
-__all__ = ["daily_range", "daily_return", "derive_fields", "rolling_volatility", "PAIR_KEYS"]
+__all__ = ["daily_range", "daily_return", "derive_fields", "rolling_volatility"]

@@ -35,7 +35,7 @@ from candlegap.functions.columns import (
     gap_size_pips,
     pair_window,
 )
-from candlegap.schemas import PIPS, PRICE
+from candlegap.schemas import PRICE
 
 GAP_COLUMNS = ("date", "from_symbol", "to_symbol", "fvg_type", "fvg_high", "fvg_low",
                "fvg_size_pips", "open", "high", "low", "close")
@@ -343,7 +343,7 @@ def gap_first_fill(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_
 
 
 __all__ = [
-    "BEARISH", "BULLISH", "GAP_COLUMNS", "LEVEL_MODES", "PIPS", "PRICE", "detect_bearish",
+    "BEARISH", "BULLISH", "GAP_COLUMNS", "LEVEL_MODES", "detect_bearish",
     "detect_bullish", "detect_gaps", "detect_gaps_inline", "detect_gaps_union", "gap_fill_close", "gap_fill_future",
     "gap_first_fill", "gap_levels", "neighbour_bars",
 ]

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlegap.functions.columns import PAIR_KEYS, PRICE_TYPE
+from candlegap.functions.columns import PAIR_KEYS
 from candlegap.operators.enrich import rolling_volatility
 
 PAIR = list(PAIR_KEYS)
@@ -175,7 +175,7 @@ def last_bar_date(silver: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "PRICE_TYPE", "gap_summary", "largest_gaps", "largest_moves_per_pair", "last_bar_date",
+    "gap_summary", "largest_gaps", "largest_moves_per_pair", "last_bar_date",
     "latest_active_gaps", "latest_bars", "report_active_gaps", "report_fill_rate",
     "report_gaps_by_size", "report_largest_moves", "report_monthly_activity",
     "report_volatility",
