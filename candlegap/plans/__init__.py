@@ -6,10 +6,11 @@ from candlegap.plans.pipeline import (
     build_silver,
     layer_row_counts,
     run_bronze,
+    run_documents,
     run_gold,
     run_silver,
     stamp_ingest,
 )
 
 __all__ = ["build_gold", "build_silver", "layer_row_counts", "pipeline", "reports",
-           "run_bronze", "run_gold", "run_silver", "stamp_ingest"]
+           "run_bronze", "run_documents", "run_gold", "run_silver", "stamp_ingest"]

@@ -18,7 +18,14 @@ from candlegap.operators.enrich import derive_fields
 from candlegap.operators.gaps import detect_gaps, gap_fill_close, gap_fill_future
 from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
-from candlegap.sinks.files import write_layer
+from candlegap.sinks.files import write_layer, write_raw_json
+from candlegap.sources.documents import (
+    REJECTED,
+    WARNING,
+    classify_documents,
+    flatten_documents,
+    read_documents,
+)
 from candlegap.sources.files import scan_layer, scan_raw_json
 
 
@@ -81,6 +88,29 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_ts: str,
+                  source: str, multi_line: bool = False) -> dict[str, int]:
+    """Landed provider documents -> raw zone (JSON lines under ``pair=…``).
+
+    Rejected documents (error message, no series) are skipped and counted,
+    documents with a note are kept and counted as warnings. Everything is
+    counted during the single write job.
+    """
+    docs = classify_documents(read_documents(spark, docs_path, multi_line=multi_line))
+    doc_obs = Observation("documents")
+    docs = docs.observe(
+        doc_obs,
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col("status") == REJECTED).alias("rejected"),
+        F.count_if(F.col("status") == WARNING).alias("warnings"),
+    )
+    rows, row_obs = _observed(flatten_documents(docs, ingest_ts=ingest_ts, source=source), "raw")
+    write_raw_json(rows, raw_root)
+    counts = {k: int(v) for k, v in doc_obs.get.items()}
+    counts["rows"] = int(row_obs.get["rows"])
+    return counts
+
+
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,
                pairs: Iterable[str] | None = None, multi_line: bool = False) -> int:
     """Raw JSON -> bronze table. Skips the write when there is no input

@@ -153,6 +153,10 @@ def test_documents_classify_and_flatten(spark, tmp_root):
                     for r in classify_documents(d).collect())
     assert status == [("", "rejected", 0), ("EUR", "accepted", 2), ("GBP", "warning", 1),
                       ("NOK", "rejected", 0)]
+    counts = pipeline.run_documents(spark, f"{tmp_root}/docs.json", f"{tmp_root}/raw",
+                                    ingest_ts="2024-02-01T00:00:00Z", source="provider")
+    assert counts == {"documents": 4, "rejected": 2, "warnings": 1, "rows": 3}
+    assert scan_raw_json(spark, f"{tmp_root}/raw").count() == 3
     flat = flatten_documents(d, ingest_ts="2024-02-01T00:00:00Z", source="provider")
     assert flat.columns == BRONZE_SCHEMA.fieldNames()
     rows = sorted((r["from_symbol"], r["date"], r["close"]) for r in flat.collect())
