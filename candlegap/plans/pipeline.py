@@ -125,7 +125,8 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, *,
                pairs: Iterable[str] | None = None) -> int:
-    silver, obs = _observed(build_silver(scan_layer(spark, bronze_root, pairs=pairs)), "silver")
+    bronze = scan_layer(spark, bronze_root, pairs=pairs, schema=BRONZE_SCHEMA)
+    silver, obs = _observed(build_silver(bronze), "silver")
     write_layer(silver, silver_root)
     return int(obs.get["rows"])
 

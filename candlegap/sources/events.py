@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 from candlegap.functions.columns import PRICE_TYPE
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[str, tuple[SparkSession, str, DataFrame]] = {}
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The (read-only) ``events`` table; the lazy reader is reused per session
-    so repeated queries skip the file listing and footer read."""
+    """The (read-only) ``events`` table; the lazy reader is reused within one
+    live session so repeated queries skip the file listing and footer read."""
     path = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    app = spark.sparkContext.applicationId
+    hit = _READERS.get(path)
+    if hit is None or hit[0] is not spark or hit[1] != app:
+        hit = (spark, app, spark.read.parquet(path))
+        _READERS[path] = hit
+    return hit[2]
 
 
 def event_bars(events: DataFrame) -> DataFrame:

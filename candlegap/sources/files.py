@@ -50,6 +50,7 @@ def scan_layer(
     pairs: Iterable[str] | None = None,
     fmt: str = "parquet",
     merge_schema: bool = False,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """A bronze/silver/gold table written by ``write_layer``.
 
@@ -57,9 +58,13 @@ def scan_layer(
     Spark prunes before listing files; filters and column selections on the
     result are pushed into the Parquet scan. ``merge_schema`` reconciles
     files written with different column sets (schema evolution); it costs a
-    job that reads every file footer, so it is opt-in.
+    job that reads every file footer, so it is opt-in. ``schema`` reads just
+    those columns from every file (partition columns are still added), which
+    needs no footer pass and ignores columns later batches added.
     """
     reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     if merge_schema and fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
     return _pairs_filter(reader.load(root), pairs)

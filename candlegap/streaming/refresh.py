@@ -44,8 +44,9 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_r
         bronze = stamp_ingest(batch, None).withColumn("batch_id", F.lit(batch_id))
         write_layer(bronze, bronze_root, partition_by=("pair", "batch_id"))
         touched = batch.select("pair").distinct()
-        # bronze batches may add columns over time: reconcile file schemas
-        history = scan_layer(spark, bronze_root, merge_schema=True).join(
+        # the fixed bronze schema: no footer pass, and columns that later
+        # batches add do not disturb silver
+        history = scan_layer(spark, bronze_root, schema=BRONZE_SCHEMA).join(
             touched, "pair", "left_semi")
         write_layer(build_silver(history), silver_root)
         silver = scan_layer(spark, silver_root).join(touched, "pair", "left_semi").drop("pair")
