@@ -331,6 +331,22 @@ def q_build_gold(spark, sf):
     return pipeline.build_gold(silver(spark, sf), run_ts=RUN_TS)
 
 
+def _sql_report(name: str) -> Query:
+    def run(spark, sf):
+        from candlegap.plans.report_sql import run_report_sql
+
+        s = silver(spark, sf)
+        return run_report_sql(spark, name, s, op.gap_fill_close(op.detect_gaps(s)))
+
+    run.__doc__ = f"The {name} statement run through spark.sql over temp views."
+    return run
+
+
+for _name in ("report_gaps_by_size", "report_active_gaps", "report_fill_rate",
+              "report_monthly_activity", "report_volatility", "report_largest_moves"):
+    globals()[f"q_sql_{_name}"] = _sql_report(_name)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -375,3 +375,13 @@ ORACLE_SQL["stream_refresh"] = with_(
                       AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol))""",
     silver_ctes("merged"), gap_ctes(), close_fill_cte("gold", "gaps")) + """
 SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM gold"""
+
+# the Spark SQL texts of the reports: same oracles (monthly activity without
+# the spread dates, so its oracle is built on the plain bars)
+ORACLE_SQL["sql_report_gaps_by_size"] = ORACLE_SQL["report_gaps_by_size"]
+ORACLE_SQL["sql_report_active_gaps"] = ORACLE_SQL["report_active_gaps"]
+ORACLE_SQL["sql_report_fill_rate"] = ORACLE_SQL["report_fill_rate"]
+ORACLE_SQL["sql_report_volatility"] = ORACLE_SQL["report_volatility"]
+ORACLE_SQL["sql_report_largest_moves"] = ORACLE_SQL["report_largest_moves"]
+ORACLE_SQL["sql_report_monthly_activity"] = ORACLE_SQL["report_monthly_activity"].replace(
+    bronze_cte("bronze", spread=True), bronze_cte("bronze"))
