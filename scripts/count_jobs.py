@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -20,6 +19,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from candlegap import catalog  # noqa: E402
 from candlegap.plans import pipeline  # noqa: E402
 from candlegap.sinks.files import write_raw_json  # noqa: E402
+from candlegap.sinks.paths import scratch_path  # noqa: E402
 
 RUN_TS = "2024-02-01T00:00:00Z"
 
@@ -34,7 +34,7 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     sc = spark.sparkContext
-    root = tempfile.mkdtemp(prefix="candlegap-jobs-", dir="/tmp")
+    root = scratch_path(spark, "jobs")
     raw, bronze, silver, gold = (f"{root}/{x}" for x in ("raw", "bronze", "silver", "gold"))
     write_raw_json(catalog.bronze(spark, sf, malformed=True), raw)
     steps = {
