@@ -252,6 +252,14 @@ def q_flatten_documents(spark, sf):
                              source="events")
 
 
+def q_ingest_documents(spark, sf):
+    """Landed documents -> raw zone through the ingest job, read back."""
+    docs, raw = scratch_path(spark, "docs"), scratch_path(spark, "raw-docs")
+    documents(spark, sf).write.mode("overwrite").json(docs)
+    pipeline.run_documents(spark, docs, raw, ingest_ts=RUN_TS, source="events")
+    return scan_raw_json(spark, raw)
+
+
 def q_write_raw_json(spark, sf):
     root = scratch_path(spark, "raw-lines")
     write_raw_json(bronze(spark, sf), root)

@@ -385,3 +385,6 @@ ORACLE_SQL["sql_report_volatility"] = ORACLE_SQL["report_volatility"]
 ORACLE_SQL["sql_report_largest_moves"] = ORACLE_SQL["report_largest_moves"]
 ORACLE_SQL["sql_report_monthly_activity"] = ORACLE_SQL["report_monthly_activity"].replace(
     bronze_cte("bronze", spread=True), bronze_cte("bronze"))
+ORACLE_SQL["ingest_documents"] = (
+    "SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM ("
+    + ORACLE_SQL["flatten_documents"] + ")")
