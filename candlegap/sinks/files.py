@@ -22,9 +22,11 @@ def write_raw_json(df: DataFrame, root: str, *, mode: str = "overwrite") -> None
     """Raw zone: JSON lines under ``root/pair=XXXYYY/``.
 
     Dynamic partition overwrite: a run replaces only the pairs it carries.
-    JSON lines (not one array per file) so the files stay splittable.
+    JSON lines (not one array per file) so the files stay splittable; the
+    ``REBALANCE`` hint keeps few files per pair folder and lets adaptive
+    execution split a pair too large for one writer.
     """
-    (with_pair(df).write.mode(mode)
+    (with_pair(df).hint("rebalance", "pair").write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
      .partitionBy("pair")
