@@ -46,6 +46,8 @@ def rolling_volatility(silver: DataFrame, days: int = 20, *, by_pair: bool = Tru
     is only meant for one instrument: a window without PARTITION BY moves
     every row into one task.
     """
+    if days < 1:
+        raise ValueError(f"days must be >= 1, not {days}")
     order = Window.orderBy("date") if not by_pair else pair_window()
     w = order.rowsBetween(-(days - 1), Window.currentRow)
     avg = F.round(F.avg("daily_range").over(w), 5).cast(PRICE_TYPE)

@@ -175,7 +175,8 @@ def _future_extremes(silver: DataFrame) -> DataFrame:
     })
 
 
-def gap_fill_future(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
+def gap_fill_future(silver: DataFrame, *,
+                    pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Gaps (ordered levels) with ``is_filled`` decided by the later bars:
     bullish when a later low reaches ``fvg_low``, bearish when a later high
     reaches ``fvg_high``, i.e. price traded through the whole zone."""
@@ -183,8 +184,10 @@ def gap_fill_future(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP
     nb = neighbour_bars(_future_extremes(silver)).withColumns(lv).filter(
         F.col("fvg_type").isNotNull())
     filled = (
-        F.when((F.col("fvg_type") == BULLISH) & (F.col("future_low") <= F.col("fvg_low")), F.lit(1))
-        .when((F.col("fvg_type") == BEARISH) & (F.col("future_high") >= F.col("fvg_high")), F.lit(1))
+        F.when((F.col("fvg_type") == BULLISH) & (F.col("future_low") <= F.col("fvg_low")),
+               F.lit(1))
+        .when((F.col("fvg_type") == BEARISH) & (F.col("future_high") >= F.col("fvg_high")),
+              F.lit(1))
         .otherwise(F.lit(0))
     )
     return nb.withColumns({
@@ -304,7 +307,8 @@ def _from_units(name: str) -> Column:
             ).cast(PRICE).alias(name)
 
 
-def gap_first_fill(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
+def gap_first_fill(silver: DataFrame, *,
+                   pip_factor: int | Column = DEFAULT_PIP_FACTOR) -> DataFrame:
     """Gaps (ordered levels) with the first later bar that fills them:
     ``is_filled`` (as ``gap_fill_future``), ``first_fill_date``,
     ``bars_to_fill`` and ``days_to_fill`` (NULL while the gap is open).
@@ -344,6 +348,7 @@ def gap_first_fill(silver: DataFrame, *, pip_factor: int | Column = DEFAULT_PIP_
 
 __all__ = [
     "BEARISH", "BULLISH", "GAP_COLUMNS", "LEVEL_MODES", "detect_bearish",
-    "detect_bullish", "detect_gaps", "detect_gaps_inline", "detect_gaps_union", "gap_fill_close", "gap_fill_future",
+    "detect_bullish", "detect_gaps", "detect_gaps_inline", "detect_gaps_union", "gap_fill_close",
+    "gap_fill_future",
     "gap_first_fill", "gap_levels", "neighbour_bars",
 ]

@@ -101,6 +101,8 @@ def dedup_latest(
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.dropDuplicates(keys)
     ordering = list(order) + [c for c in rest if c not in order]
     picked = F.max_by(F.struct(*rest), F.struct(*ordering)).alias("_row")
     out = df.groupBy(*keys).agg(picked)

@@ -46,18 +46,22 @@ def _meta(key: str) -> Column:
 def classify_documents(docs: DataFrame) -> DataFrame:
     """Tag each document: ``status`` accepted / warning / rejected, ``reason``.
 
-    An error message rejects the document; a missing series rejects it; a
-    note (rate-limit warning) keeps it but flags it. Adds ``from_symbol``,
-    ``to_symbol`` (from the metadata) and ``n_days`` (series length). One
-    Project, no shuffle: documents are independent.
+    An error message rejects the document; a missing series or missing pair
+    metadata rejects it; a note (rate-limit warning) keeps it but flags it.
+    Adds ``from_symbol``, ``to_symbol`` (from the metadata) and ``n_days``
+    (series length). One Project, no shuffle: documents are independent.
     """
     err, note, series = F.col(f"`{ERROR_KEY}`"), F.col(f"`{NOTE_KEY}`"), F.col(f"`{SERIES_KEY}`")
+    meta = F.col(f"`{META_KEY}`")
+    no_pair = meta.isNull() | _meta(FROM_KEY).isNull() | _meta(TO_KEY).isNull()
     status = (F.when(err.isNotNull(), F.lit(REJECTED))
               .when(series.isNull(), F.lit(REJECTED))
+              .when(no_pair, F.lit(REJECTED))
               .when(note.isNotNull(), F.lit(WARNING))
               .otherwise(F.lit(ACCEPTED)))
     reason = (F.when(err.isNotNull(), F.concat(F.lit("error: "), err))
               .when(series.isNull(), F.lit("missing time series"))
+              .when(no_pair, F.lit("missing pair metadata"))
               .when(note.isNotNull(), F.concat(F.lit("note: "), note)))
     return docs.withColumns({
         "from_symbol": _meta(FROM_KEY),

@@ -145,17 +145,19 @@ def test_documents_classify_and_flatten(spark, tmp_root):
              "2024-01-01": {"1. open": "1.3", "2. high": "1.4", "3. low": "1.2", "4. close": "1.35"}}},
         {"Error Message": "Invalid API call"},
         {"Meta Data": {"2. From Symbol": "NOK", "3. To Symbol": "USD"}},
+        {"Time Series FX (Daily)": {
+            "2024-01-01": {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1"}}},
     ]
     with open(f"{tmp_root}/docs.json", "w") as f:
         f.write("\n".join(json.dumps(d) for d in docs))
     d = read_documents(spark, f"{tmp_root}/docs.json")
     status = sorted((r["from_symbol"] or "", r["status"], r["n_days"])
                     for r in classify_documents(d).collect())
-    assert status == [("", "rejected", 0), ("EUR", "accepted", 2), ("GBP", "warning", 1),
-                      ("NOK", "rejected", 0)]
+    assert status == [("", "rejected", 0), ("", "rejected", 1), ("EUR", "accepted", 2),
+                      ("GBP", "warning", 1), ("NOK", "rejected", 0)]
     counts = pipeline.run_documents(spark, f"{tmp_root}/docs.json", f"{tmp_root}/raw",
                                     ingest_ts="2024-02-01T00:00:00Z", source="provider")
-    assert counts == {"documents": 4, "rejected": 2, "warnings": 1, "rows": 3}
+    assert counts == {"documents": 5, "rejected": 3, "warnings": 1, "rows": 3}
     assert scan_raw_json(spark, f"{tmp_root}/raw").count() == 3
     flat = flatten_documents(d, ingest_ts="2024-02-01T00:00:00Z", source="provider")
     assert flat.columns == BRONZE_SCHEMA.fieldNames()

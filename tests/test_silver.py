@@ -119,3 +119,9 @@ def test_clean_filter_reaches_parquet_scan(spark, tmp_root):
     for pushed in ("GreaterThan(open,0.00000)", "GreaterThan(close,0.00000)", "IsNotNull(date)",
                    "IsNotNull(close)"):
         assert pushed in plan
+
+
+def test_dedup_of_key_only_frame(spark):
+    df = spark.createDataFrame([("2024-01-01", "A", "B")] * 3, "date string, from_symbol string, "
+                               "to_symbol string")
+    assert dedup_latest(df).count() == 1
