@@ -39,6 +39,7 @@ def write_layer(
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = ("pair",),
+    cluster_by: Sequence[str] = ("pair",),
     fmt: str = "parquet",
 ) -> None:
     """Bronze/silver/gold table under ``root``, partitioned by ``pair``.
@@ -48,12 +49,20 @@ def write_layer(
     with a ``REBALANCE`` hint: each task writes few pair folders (no
     small-file explosion), and adaptive execution splits a pair that is too
     big for one task and merges small ones -- unlike ``repartition("pair")``,
-    which would send a hot pair whole to one writer. Readers use
-    ``mergeSchema`` so batches that add columns stay readable.
+    which would send a hot pair whole to one writer.
+
+    ``partition_by=()`` writes one folder instead (for very many small
+    instruments): rows are rebalanced by ``cluster_by`` and sorted by it (and
+    date) within each file, so Parquet min/max statistics let a pair filter
+    skip row groups. Readers use ``mergeSchema`` only when batches added
+    columns.
     """
-    out = with_pair(df) if "pair" in partition_by else df
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    keys = list(partition_by) or list(cluster_by)
+    out = with_pair(df) if "pair" in keys else df
+    if keys:
+        out = out.hint("rebalance", *keys)
+    if not partition_by and cluster_by:
+        out = out.sortWithinPartitions(*cluster_by, *(["date"] if "date" in out.columns else []))
     (out.write.format(fmt).mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by)

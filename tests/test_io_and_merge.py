@@ -164,3 +164,13 @@ def test_documents_classify_and_flatten(spark, tmp_root):
     rows = sorted((r["from_symbol"], r["date"], r["close"]) for r in flat.collect())
     assert rows == [("EUR", "2024-01-01", "1.05"), ("EUR", "2024-01-02", "1.15"),
                     ("GBP", "2024-01-01", "1.35")]
+
+
+def test_unpartitioned_layer_is_clustered_by_pair(spark, tmp_root):
+    rows = [b(f"2024-01-0{d}", "1.1", pair=(f"P{p}", "USD")) for p in range(6) for d in (1, 2)]
+    root = f"{tmp_root}/flat"
+    write_layer(bronze(spark, rows).repartition(3), root, partition_by=())
+    df = scan_layer(spark, root).filter("pair = 'P3USD'")
+    assert "EqualTo(pair,P3USD)" in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["date"] for r in df.collect()) == ["2024-01-01", "2024-01-02"]
+    assert not any(name.startswith("pair=") for name in os.listdir(root))
