@@ -20,6 +20,11 @@ def recommended_settings(input_bytes: int, *, target_partition_mb: int = 128,
     shuffle, the events -> bars aggregation); AQE then merges small
     partitions and splits skewed joins and rebalances at runtime. Scans read
     splits of the same size.
+
+    ``requireAllClusterKeysForCoPartition=false`` lets a join on (pair, date)
+    reuse inputs already hash-partitioned by pair (the output of the
+    instrument windows) instead of shuffling both sides again by all join
+    keys; pair keys have high cardinality, so this adds no skew.
     """
     parts = max(1, min(max_partitions, math.ceil(input_bytes / (target_partition_mb * MB))))
     return {
@@ -30,5 +35,6 @@ def recommended_settings(input_bytes: int, *, target_partition_mb: int = 128,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -74,3 +74,19 @@ def test_recommended_settings_scale_with_input():
     assert big["spark.sql.shuffle.partitions"] == "100000"   # capped
     assert recommended_settings(1 << 40)["spark.sql.shuffle.partitions"] == "8192"
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_volatility_join_reuses_pair_partitioning(spark):
+    from candlegap.operators import detect_gaps, gap_fill_close
+
+    s = silver(spark, SF)
+    g = gap_fill_close(detect_gaps(s))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = plan(reports.report_volatility(s, g)).count("Exchange hashpartitioning")
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        after = plan(reports.report_volatility(s, g)).count("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    assert after == before - 2
