@@ -16,15 +16,18 @@ def shared_root(spark: SparkSession) -> str:
     executors and lost with them.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no local context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="candlegap-")
-    spark.sparkContext.setCheckpointDir(root)
+    sc.setCheckpointDir(root)
     return root
 
 
