@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlegap import operators as op
+from candlegap.functions.columns import quote_pip_factor
 from candlegap.plans import pipeline, reports
 from candlegap.schemas import BRONZE_SCHEMA, conform
 from candlegap.sinks.files import write_layer, write_raw_json, write_raw_json_arrays
@@ -129,7 +130,8 @@ def q_detect_gaps_union(spark, sf):
 
 
 def q_gap_size_pips(spark, sf):
-    g = op.detect_gaps(silver(spark, sf))
+    # per-quote pip size (0.01 for JPY quotes, else 0.0001)
+    g = op.detect_gaps(silver(spark, sf), pip_factor=quote_pip_factor())
     return g.select("date", "from_symbol", "to_symbol", "fvg_type", "fvg_high", "fvg_low",
                     "fvg_size_pips")
 
