@@ -202,6 +202,12 @@ def q_report_fill_rate(spark, sf):
     return reports.report_fill_rate(gaps_ordered(spark, sf))
 
 
+def q_report_fill_rate_positional(spark, sf):
+    """Fill rate over gold built the reference's way (positional levels)."""
+    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
+    return reports.report_fill_rate(g)
+
+
 def q_report_monthly_activity(spark, sf):
     return reports.report_monthly_activity(gaps_ordered(spark, sf, spread_months=True))
 

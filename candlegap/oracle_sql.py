@@ -388,3 +388,5 @@ ORACLE_SQL["sql_report_monthly_activity"] = ORACLE_SQL["report_monthly_activity"
 ORACLE_SQL["ingest_documents"] = (
     "SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM ("
     + ORACLE_SQL["flatten_documents"] + ")")
+ORACLE_SQL["report_fill_rate_positional"] = ORACLE_SQL["report_fill_rate"].replace(
+    gap_ctes(), gap_ctes(levels="positional"))
