@@ -174,3 +174,10 @@ def test_unpartitioned_layer_is_clustered_by_pair(spark, tmp_root):
     assert "EqualTo(pair,P3USD)" in df._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["date"] for r in df.collect()) == ["2024-01-01", "2024-01-02"]
     assert not any(name.startswith("pair=") for name in os.listdir(root))
+
+
+def test_layer_format_is_a_parameter(spark, tmp_root):
+    df = bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-01", "150", ("USD", "JPY"))])
+    write_layer(df, f"{tmp_root}/orc", fmt="orc")
+    back = scan_layer(spark, f"{tmp_root}/orc", fmt="orc", pairs=["EURUSD"]).collect()
+    assert [(r["pair"], r["close"]) for r in back] == [("EURUSD", "1.1")]
