@@ -44,7 +44,8 @@ def build_silver(bronze: DataFrame) -> DataFrame:
     deriving first and deduplicating after.
     """
     typed = clean_bars(cast_bars(bronze))
-    unique = dedup_latest(typed.select(*[c for c in BRONZE_SCHEMA.fieldNames()]))
+    names = BRONZE_SCHEMA.fieldNames()
+    unique = dedup_latest(typed if typed.columns == names else typed.select(*names))
     return conform(derive_fields(unique), SILVER_SCHEMA)
 
 

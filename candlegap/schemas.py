@@ -88,6 +88,9 @@ def conform(df: DataFrame, schema: StructType | str, *, keep_extra: bool = False
     """
     if isinstance(schema, str):
         schema = LAYERS[schema]
+    have = [(f.name, f.dataType) for f in df.schema.fields]
+    if have == [(f.name, f.dataType) for f in schema.fields]:
+        return df  # already conforming: no extra Project to analyse
     present = set(df.columns)
     cols = [
         _cast(f.name, f.dataType) if f.name in present
