@@ -40,6 +40,7 @@ from candlegap.sources.files import scan_layer, scan_raw_json
 
 # Fixed test parameters shared with the SQL oracle.
 RUN_TS = "2024-02-01 00:00:00"
+RUN_TS_2 = "2024-02-02 00:00:00"
 UPSERT_EXISTING_UNTIL = "2024-01-20"
 UPSERT_INCOMING_FROM = "2024-01-15"
 WHITELIST = ("U1", "U2", "U3", "U4", "U5", "USD")
@@ -293,6 +294,17 @@ def q_load_bronze(spark, sf):
     return scan_layer(spark, out)
 
 
+def q_load_bronze_merge(spark, sf):
+    """Full delivery, then a re-delivery from mid-month merged into history."""
+    raw1, raw2 = scratch_path(spark, "raw-full"), scratch_path(spark, "raw-replay")
+    out = scratch_path(spark, "bronze-merged")
+    write_raw_json(bronze(spark, sf), raw1)
+    pipeline.run_bronze(spark, raw1, out, run_ts=RUN_TS)
+    write_raw_json(replay_batch(spark, sf), raw2)
+    pipeline.run_bronze(spark, raw2, out, run_ts=RUN_TS_2, merge=True)
+    return scan_layer(spark, out)
+
+
 def q_write_layer(spark, sf):
     root = scratch_path(spark, "gold")
     write_layer(pipeline.build_gold(silver(spark, sf), run_ts=RUN_TS), root)

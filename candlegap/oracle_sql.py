@@ -11,6 +11,7 @@ from __future__ import annotations
 from candlegap.catalog import (
     NOTE_TEXT,
     RUN_TS,
+    RUN_TS_2,
     TOP,
     UPSERT_EXISTING_UNTIL,
     UPSERT_INCOMING_FROM,
@@ -390,3 +391,15 @@ ORACLE_SQL["ingest_documents"] = (
     + ORACLE_SQL["flatten_documents"] + ")")
 ORACLE_SQL["report_fill_rate_positional"] = ORACLE_SQL["report_fill_rate"].replace(
     gap_ctes(), gap_ctes(levels="positional"))
+ORACLE_SQL["load_bronze_merge"] = with_(*BASE, REPLAY, REPLAY_CTE) + f"""
+SELECT date, open, high, low, close, from_symbol, to_symbol,
+       TIMESTAMP '{RUN_TS_2}' AS _ingest_timestamp, _source,
+       upper(from_symbol) || upper(to_symbol) AS pair
+FROM replay
+UNION ALL
+SELECT date, open, high, low, close, from_symbol, to_symbol,
+       {RUN_TS_SQL} AS _ingest_timestamp, _source,
+       upper(from_symbol) || upper(to_symbol) AS pair
+FROM bronze e
+WHERE NOT EXISTS (SELECT 1 FROM replay r WHERE r.date = e.date
+                  AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol)"""

@@ -10,15 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from candlegap.functions.columns import DEFAULT_PIP_FACTOR, timestamp_literal
 from candlegap.operators.enrich import derive_fields
 from candlegap.operators.gaps import detect_gaps, gap_fill_close, gap_fill_future
+from candlegap.operators.merge import upsert_bars
 from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
-from candlegap.sinks.files import write_layer, write_raw_json
+from candlegap.sinks.files import with_pair, write_layer, write_raw_json
+from candlegap.sinks.paths import scratch_path
 from candlegap.sources.documents import (
     REJECTED,
     WARNING,
@@ -112,14 +115,40 @@ def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_
     return counts
 
 
+def _existing(spark: SparkSession, root: str, schema) -> DataFrame | None:
+    try:
+        return scan_layer(spark, root, schema=schema)
+    except AnalysisException:  # nothing written yet
+        return None
+
+
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,
-               pairs: Iterable[str] | None = None, multi_line: bool = False) -> int:
+               pairs: Iterable[str] | None = None, multi_line: bool = False,
+               merge: bool = False) -> int:
     """Raw JSON -> bronze table. Skips the write when there is no input
-    (``isEmpty`` is a one-row job, not a count). Returns rows written."""
+    (``isEmpty`` is a one-row job, not a count). Returns rows written.
+
+    Default: the pairs in this run replace their bronze folders (a
+    delivery is the pair's whole history). ``merge=True`` keeps history
+    instead: the run is upserted into the pairs' existing rows by
+    (date, pair), so a short delivery after a long one only updates and
+    adds days. Spark cannot overwrite a path it is reading, so the merged
+    pairs are staged as a written table under the shared checkpoint folder
+    (which also cuts the lineage) and then replace their folders.
+    """
     raw = scan_raw_json(spark, raw_root, pairs=pairs, multi_line=multi_line)
     if raw.isEmpty():
         return 0
-    bronze, obs = _observed(stamp_ingest(raw, run_ts), "bronze")
+    bronze = stamp_ingest(raw, run_ts)
+    old = _existing(spark, bronze_root, BRONZE_SCHEMA) if merge else None
+    if old is not None:
+        touched = with_pair(bronze).select("pair").distinct()
+        history = old.join(touched, "pair", "left_semi").drop("pair")
+        merged = upsert_bars(history, bronze.select(*BRONZE_SCHEMA.fieldNames()))
+        stage = scratch_path(spark, "bronze-merge")
+        write_layer(merged, stage)
+        bronze = scan_layer(spark, stage, schema=BRONZE_SCHEMA)
+    bronze, obs = _observed(bronze, "bronze")
     write_layer(bronze, bronze_root)
     return int(obs.get["rows"])
 

@@ -181,3 +181,25 @@ def test_layer_format_is_a_parameter(spark, tmp_root):
     write_layer(df, f"{tmp_root}/orc", fmt="orc")
     back = scan_layer(spark, f"{tmp_root}/orc", fmt="orc", pairs=["EURUSD"]).collect()
     assert [(r["pair"], r["close"]) for r in back] == [("EURUSD", "1.1")]
+
+
+def test_bronze_merge_keeps_history(spark, tmp_root):
+    full = [b(f"2024-01-0{d}", "1.0") for d in range(1, 6)] + [b("2024-01-01", "150", ("USD", "JPY"))]
+    write_raw_json(bronze(spark, full), f"{tmp_root}/raw1")
+    root = f"{tmp_root}/bronze"
+    assert pipeline.run_bronze(spark, f"{tmp_root}/raw1", root, run_ts="2024-02-01T00:00:00Z") == 6
+    # a short delivery for EURUSD: two days updated, one day new
+    short = [b("2024-01-04", "2.0"), b("2024-01-05", "2.0"), b("2024-01-06", "2.0")]
+    write_raw_json(bronze(spark, short), f"{tmp_root}/raw2")
+    n = pipeline.run_bronze(spark, f"{tmp_root}/raw2", root, run_ts="2024-02-02T00:00:00Z",
+                            merge=True)
+    assert n == 6                                   # EURUSD now holds 6 days
+    got = {(r["pair"], r["date"]): r["close"] for r in scan_layer(spark, root).collect()}
+    assert got == {("EURUSD", "2024-01-01"): "1.0", ("EURUSD", "2024-01-02"): "1.0",
+                   ("EURUSD", "2024-01-03"): "1.0", ("EURUSD", "2024-01-04"): "2.0",
+                   ("EURUSD", "2024-01-05"): "2.0", ("EURUSD", "2024-01-06"): "2.0",
+                   ("USDJPY", "2024-01-01"): "150"}
+    # without merge the short delivery replaces the pair's history
+    pipeline.run_bronze(spark, f"{tmp_root}/raw2", root, run_ts="2024-02-03T00:00:00Z")
+    assert sorted(r["date"] for r in scan_layer(spark, root, pairs=["EURUSD"]).collect()) == \
+        ["2024-01-04", "2024-01-05", "2024-01-06"]
