@@ -5,6 +5,7 @@ from candlegap.plans.pipeline import (
     build_gold,
     build_silver,
     layer_row_counts,
+    merge_into_bronze,
     run_bronze,
     run_documents,
     run_gold,
@@ -12,5 +13,5 @@ from candlegap.plans.pipeline import (
     stamp_ingest,
 )
 
-__all__ = ["build_gold", "build_silver", "layer_row_counts", "pipeline", "reports",
+__all__ = ["build_gold", "build_silver", "layer_row_counts", "merge_into_bronze", "pipeline", "reports",
            "run_bronze", "run_documents", "run_gold", "run_silver", "stamp_ingest"]

@@ -122,6 +122,27 @@ def _existing(spark: SparkSession, root: str, schema) -> DataFrame | None:
         return None
 
 
+def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str) -> DataFrame:
+    """``incoming`` bronze rows upserted into the history of the pairs they
+    touch; returns the merged rows of those pairs, staged as a written table.
+
+    Spark cannot overwrite a path it is reading, so the merge is written to a
+    fresh folder under the shared checkpoint folder first (which also cuts
+    the lineage); the caller then replaces the pairs' bronze folders from
+    it. Upsert by (date, pair), incoming rows win: running the same incoming
+    batch twice gives the same table.
+    """
+    incoming = incoming.select(*BRONZE_SCHEMA.fieldNames())
+    old = _existing(spark, bronze_root, BRONZE_SCHEMA)
+    if old is None:
+        return incoming
+    touched = with_pair(incoming).select("pair").distinct()
+    history = old.join(touched, "pair", "left_semi").drop("pair")
+    stage = scratch_path(spark, "bronze-merge")
+    write_layer(upsert_bars(history, incoming), stage)
+    return scan_layer(spark, stage, schema=BRONZE_SCHEMA)
+
+
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,
                pairs: Iterable[str] | None = None, multi_line: bool = False,
                merge: bool = False) -> int:
@@ -130,24 +151,15 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
 
     Default: the pairs in this run replace their bronze folders (a
     delivery is the pair's whole history). ``merge=True`` keeps history
-    instead: the run is upserted into the pairs' existing rows by
-    (date, pair), so a short delivery after a long one only updates and
-    adds days. Spark cannot overwrite a path it is reading, so the merged
-    pairs are staged as a written table under the shared checkpoint folder
-    (which also cuts the lineage) and then replace their folders.
+    instead (``merge_into_bronze``): a short delivery after a long one only
+    updates and adds days.
     """
     raw = scan_raw_json(spark, raw_root, pairs=pairs, multi_line=multi_line)
     if raw.isEmpty():
         return 0
     bronze = stamp_ingest(raw, run_ts)
-    old = _existing(spark, bronze_root, BRONZE_SCHEMA) if merge else None
-    if old is not None:
-        touched = with_pair(bronze).select("pair").distinct()
-        history = old.join(touched, "pair", "left_semi").drop("pair")
-        merged = upsert_bars(history, bronze.select(*BRONZE_SCHEMA.fieldNames()))
-        stage = scratch_path(spark, "bronze-merge")
-        write_layer(merged, stage)
-        bronze = scan_layer(spark, stage, schema=BRONZE_SCHEMA)
+    if merge:
+        bronze = merge_into_bronze(spark, bronze, bronze_root)
     bronze, obs = _observed(bronze, "bronze")
     write_layer(bronze, bronze_root)
     return int(obs.get["rows"])

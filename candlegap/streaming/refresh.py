@@ -3,29 +3,31 @@
 The raw zone is a file source: every new JSON file under ``raw_root`` is
 picked up once (tracked in the checkpoint). Each micro-batch
 
-1. appends its records to bronze, stamped with the batch time, under
-   ``pair=…/batch_id=…`` with dynamic partition overwrite -- a retried batch
-   rewrites exactly its own folders, so the append is idempotent;
-2. rebuilds silver for the pairs the batch touched only: their whole bronze
-   history (a ``left_semi`` join on ``pair``, which Spark can turn into
-   partition pruning) goes through ``build_silver`` and replaces those pair
-   folders; later deliveries of a day win through the stamp;
+1. upserts its records, stamped with the batch's start instant, into the bronze history
+   of the pairs it touches (``merge_into_bronze``: the merge is staged in the
+   shared checkpoint folder, then replaces those pair folders), so bronze
+   stays one folder per pair with one row per (date, pair), and later
+   deliveries of a day win;
+2. rebuilds silver for the touched pairs only, from their bronze history
+   (a ``left_semi`` join on ``pair``);
 3. rebuilds gold for the same pairs from the silver just written.
 
 A bar's gap needs the next bar, so recomputing a touched pair from its full
 (calendar-bounded) history keeps gold exact without tracking dirty ranges.
-Untouched pairs' files are never rewritten. The checkpoint lives under the
+Untouched pairs' files are never rewritten, and a replayed batch merges the
+same records again, which changes nothing. The checkpoint lives under the
 session's shared checkpoint folder unless given, so a restarted driver
 resumes where the last committed batch ended.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlegap.plans.pipeline import build_gold, build_silver, stamp_ingest
+from candlegap.plans.pipeline import build_gold, build_silver, merge_into_bronze, stamp_ingest
 from candlegap.schemas import BRONZE_SCHEMA
 from candlegap.sinks.files import JSON_TIMESTAMP_FORMAT, with_pair, write_layer
 from candlegap.sinks.paths import scratch_path
@@ -34,23 +36,22 @@ from candlegap.sources.files import scan_layer
 
 def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_root: str,
                   gold_root: str, levels: str = "ordered", fill: str = "close") -> None:
-    """One micro-batch of raw records -> bronze append, silver/gold rebuild of
+    """One micro-batch of raw records -> bronze merge, silver/gold rebuild of
     the touched pairs. Safe to run again for the same ``batch_id``."""
     spark = batch.sparkSession
-    batch = with_pair(batch).persist()
+    batch = batch.persist()
     try:
         if batch.isEmpty():
             return
-        bronze = stamp_ingest(batch, None).withColumn("batch_id", F.lit(batch_id))
-        write_layer(bronze, bronze_root, partition_by=("pair", "batch_id"))
-        touched = batch.select("pair").distinct()
-        # the fixed bronze schema: no footer pass, and columns that later
-        # batches add do not disturb silver
-        history = scan_layer(spark, bronze_root, schema=BRONZE_SCHEMA).join(
-            touched, "pair", "left_semi")
-        write_layer(build_silver(history), silver_root)
+        # the touched pairs' whole bronze history, merged with this batch
+        # one instant per batch, so bronze and silver carry the same stamp
+        run_ts = datetime.now(timezone.utc).isoformat()
+        merged = merge_into_bronze(spark, stamp_ingest(batch, run_ts), bronze_root)
+        write_layer(merged, bronze_root)
+        write_layer(build_silver(merged), silver_root)
+        touched = with_pair(batch).select("pair").distinct()
         silver = scan_layer(spark, silver_root).join(touched, "pair", "left_semi").drop("pair")
-        write_layer(build_gold(silver, run_ts=None, levels=levels, fill=fill), gold_root)
+        write_layer(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), gold_root)
     finally:
         batch.unpersist()
 

@@ -53,3 +53,14 @@ def test_refresh_stream(spark, tmp_root):
     # nothing new: the stream has nothing to do and changes nothing
     start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
     assert len(scan_layer(spark, roots[1]).collect()) == 10
+
+
+def test_refresh_stamps_are_consistent(spark, tmp_root):
+    raw, ck = f"{tmp_root}/raw", f"{tmp_root}/ck"
+    roots = [f"{tmp_root}/{x}" for x in ("bronze", "silver", "gold")]
+    write_raw_json(bars(spark, ("EUR", "USD"), [1.0, 1.1, 1.2, 1.3]), raw)
+    start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
+    b = {r["_ingest_timestamp"] for r in scan_layer(spark, roots[0]).collect()}
+    s = {r["_ingest_timestamp"] for r in scan_layer(spark, roots[1]).collect()}
+    g = {r["_updated_at"] for r in scan_layer(spark, roots[2]).collect()}
+    assert len(b) == 1 and b == s == g
