@@ -21,7 +21,7 @@ from candlegap.operators.merge import upsert_bars
 from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
 from candlegap.sinks.files import with_pair, write_layer, write_raw_json
-from candlegap.sinks.paths import scratch_path
+from candlegap.sinks.paths import path_exists, scratch_path
 from candlegap.sources.documents import (
     REJECTED,
     WARNING,
@@ -116,9 +116,11 @@ def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_
 
 
 def _existing(spark: SparkSession, root: str, schema) -> DataFrame | None:
+    if path_exists(spark, root) is False:  # nothing written yet
+        return None
     try:
         return scan_layer(spark, root, schema=schema)
-    except AnalysisException:  # nothing written yet
+    except AnalysisException:  # no JVM access to check first, and nothing there
         return None
 
 

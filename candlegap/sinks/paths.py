@@ -34,3 +34,14 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one written table."""
     return f"{shared_root(spark)}/candlegap/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its file system (local, HDFS, object
+    stores), or None where the session gives no JVM access (Spark Connect)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(conf).exists(jpath))
