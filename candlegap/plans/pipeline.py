@@ -21,7 +21,7 @@ from candlegap.operators.merge import upsert_bars
 from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
 from candlegap.sinks.files import with_pair, write_layer, write_raw_json
-from candlegap.sinks.paths import path_exists, scratch_path
+from candlegap.sinks.paths import path_exists, shared_root
 from candlegap.sources.documents import (
     REJECTED,
     WARNING,
@@ -128,11 +128,12 @@ def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str
     """``incoming`` bronze rows upserted into the history of the pairs they
     touch; returns the merged rows of those pairs, staged as a written table.
 
-    Spark cannot overwrite a path it is reading, so the merge is written to a
-    fresh folder under the shared checkpoint folder first (which also cuts
-    the lineage); the caller then replaces the pairs' bronze folders from
-    it. Upsert by (date, pair), incoming rows win: running the same incoming
-    batch twice gives the same table.
+    Spark cannot overwrite a path it is reading, so the merge is
+    materialised with an eager ``checkpoint()`` into the session's shared
+    checkpoint folder first: that cuts the lineage back to the bronze files,
+    and the caller then replaces the pairs' bronze folders from it. Upsert
+    by (date, pair), incoming rows win: running the same incoming batch twice
+    gives the same table.
     """
     incoming = incoming.select(*BRONZE_SCHEMA.fieldNames())
     old = _existing(spark, bronze_root, BRONZE_SCHEMA)
@@ -140,9 +141,8 @@ def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str
         return incoming
     touched = with_pair(incoming).select("pair").distinct()
     history = old.join(touched, "pair", "left_semi").drop("pair")
-    stage = scratch_path(spark, "bronze-merge")
-    write_layer(upsert_bars(history, incoming), stage)
-    return scan_layer(spark, stage, schema=BRONZE_SCHEMA)
+    shared_root(spark)  # a local session without a checkpoint folder gets one
+    return upsert_bars(history, incoming).checkpoint(eager=True)
 
 
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,

@@ -4,8 +4,8 @@ The raw zone is a file source: every new JSON file under ``raw_root`` is
 picked up once (tracked in the checkpoint). Each micro-batch
 
 1. upserts its records, stamped with the batch's start instant, into the bronze history
-   of the pairs it touches (``merge_into_bronze``: the merge is staged in the
-   shared checkpoint folder, then replaces those pair folders), so bronze
+   of the pairs it touches (``merge_into_bronze``: the merge is checkpointed
+   into the shared checkpoint folder, then replaces those pair folders), so bronze
    stays one folder per pair with one row per (date, pair), and later
    deliveries of a day win;
 2. rebuilds silver for the touched pairs only, from their bronze history
