@@ -203,3 +203,14 @@ def test_bronze_merge_keeps_history(spark, tmp_root):
     pipeline.run_bronze(spark, f"{tmp_root}/raw2", root, run_ts="2024-02-03T00:00:00Z")
     assert sorted(r["date"] for r in scan_layer(spark, root, pairs=["EURUSD"]).collect()) == \
         ["2024-01-04", "2024-01-05", "2024-01-06"]
+
+
+def test_array_files_when_pairs_span_many_splits(spark, tmp_root):
+    rows = [b(f"2024-01-{d:02d}", f"1.{d}", pair=(f"P{p}", "USD")) for p in range(3)
+            for d in range(1, 21)]
+    df = bronze(spark, rows).repartition(5)           # every pair spread over 5 splits
+    write_raw_json_arrays(df, f"{tmp_root}/arr")
+    files = [f for f in os.listdir(f"{tmp_root}/arr/pair=P0USD") if f.endswith(".txt")]
+    assert len(files) > 1                               # one array per (pair, split)
+    back = scan_raw_json(spark, f"{tmp_root}/arr", multi_line=True).drop("pair").collect()
+    assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in df.collect())
