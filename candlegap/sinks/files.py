@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from candlegap.functions.columns import pair_id
 
@@ -77,13 +78,15 @@ def write_raw_json_arrays(df: DataFrame, root: str) -> None:
     input split however many rows a pair has) and every array goes to its
     own file (``maxRecordsPerFile=1``), as ``multiLine`` readers expect.
     Such files cannot be split on read; prefer ``write_raw_json`` for bulk.
+    Records in an array are in date order (structs compare field by field,
+    date first).
     """
-    from pyspark.sql import functions as F
-
     rows = with_pair(df)
     cols = [c for c in rows.columns if c != "pair"]
+    if "date" in cols:
+        cols = ["date"] + [c for c in cols if c != "date"]
     arrays = rows.groupBy("pair", F.spark_partition_id().alias("_split")).agg(
-        F.to_json(F.collect_list(F.struct(*cols)),
+        F.to_json(F.array_sort(F.collect_list(F.struct(*cols))),
                   {"timestampFormat": JSON_TIMESTAMP_FORMAT}).alias("value"))
     (arrays.select("pair", "value").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
