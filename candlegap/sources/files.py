@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from candlegap.schemas import BRONZE_SCHEMA
-from candlegap.sinks.files import JSON_TIMESTAMP_FORMAT
 
 
 def _pairs_filter(df: DataFrame, pairs: Iterable[str] | None) -> DataFrame:
@@ -36,9 +35,10 @@ def scan_raw_json(
     JSON lines (the default) for large raw zones. ``pair=`` folders become a
     ``pair`` column and ``pairs`` prunes them.
     """
+    # no timestampFormat: Spark's default parser reads any ISO-8601 instant,
+    # with or without fractional seconds (as Python's isoformat writes them)
     df = (spark.read.schema(schema)
           .option("multiLine", str(multi_line).lower())
-          .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
           .json(root))
     return _pairs_filter(df, pairs)
 

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlegap.plans.pipeline import build_gold, build_silver, merge_into_bronze, stamp_ingest
 from candlegap.schemas import BRONZE_SCHEMA
-from candlegap.sinks.files import JSON_TIMESTAMP_FORMAT, with_pair, write_layer
+from candlegap.sinks.files import with_pair, write_layer
 from candlegap.sinks.paths import scratch_path
 from candlegap.sources.files import scan_layer
 
@@ -73,8 +73,7 @@ def start_refresh(
     """Start the refresh stream. ``available_now`` processes what has landed
     and stops (a scheduled incremental run); otherwise it keeps watching."""
     reader = (spark.readStream.schema(BRONZE_SCHEMA)
-              .option("multiLine", str(multi_line).lower())
-              .option("timestampFormat", JSON_TIMESTAMP_FORMAT))
+              .option("multiLine", str(multi_line).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(raw_root)

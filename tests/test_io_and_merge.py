@@ -33,11 +33,15 @@ def test_raw_json_array_files_round_trip(spark, tmp_root):
     recs = [{"date": "2024-01-02", "open": "1.1", "high": "1.2", "low": "1.0", "close": 1.15,
              "from_symbol": "EUR", "to_symbol": "USD",
              "_ingest_timestamp": "2024-01-10T12:00:00.123456+00:00"},
-            {"date": "2024-01-01", "open": "1.0", "from_symbol": "EUR", "to_symbol": "USD"}]
+            {"date": "2024-01-01", "open": "1.0", "from_symbol": "EUR", "to_symbol": "USD"},
+            # isoformat() drops the fraction when microseconds are zero
+            {"date": "2024-01-03", "open": "1.2", "from_symbol": "EUR", "to_symbol": "USD",
+             "_ingest_timestamp": "2024-01-10T12:00:00+00:00"}]
     with open(f"{tmp_root}/raw/pair=EURUSD/data.json", "w") as f:
         json.dump(recs, f, indent=2)
     out = sorted(scan_raw_json(spark, f"{tmp_root}/raw", multi_line=True).collect())
-    assert len(out) == 2
+    assert len(out) == 3
+    assert out[2]["_ingest_timestamp"] == dt.datetime(2024, 1, 10, 12, 0, 0)
     assert out[0]["high"] is None and out[0]["pair"] == "EURUSD"   # missing -> NULL
     assert out[1]["close"] == "1.15"                                # number kept as text
     assert out[1]["_ingest_timestamp"] == T0
