@@ -213,6 +213,12 @@ def q_report_monthly_activity(spark, sf):
     return reports.report_monthly_activity(gaps_ordered(spark, sf, spread_months=True))
 
 
+def q_report_monthly_activity_all(spark, sf):
+    """Monthly activity over all instruments together (one row per month)."""
+    g = gaps_ordered(spark, sf, spread_months=True)
+    return reports.report_monthly_activity(g, by_pair=False)
+
+
 def q_rolling_volatility(spark, sf):
     return op.rolling_volatility(silver(spark, sf))
 

@@ -403,3 +403,15 @@ SELECT date, open, high, low, close, from_symbol, to_symbol,
 FROM bronze e
 WHERE NOT EXISTS (SELECT 1 FROM replay r WHERE r.date = e.date
                   AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol)"""
+ORACLE_SQL["report_monthly_activity_all"] = with_(*_SPREAD) + """
+SELECT month, total_fvgs, bullish_fvgs, bearish_fvgs,
+       CAST(((((2 * cents * 10000 + total_fvgs) // (2 * total_fvgs)) * 2 + 10000) // 20000) * 0.01
+            AS DECIMAL(10,2)) AS avg_size_pips,
+       max_size_pips
+FROM (SELECT date_trunc('month', date) AS month,
+             COUNT(*) AS total_fvgs,
+             CAST(SUM(CASE WHEN fvg_type = 'bullish' THEN 1 ELSE 0 END) AS BIGINT) AS bullish_fvgs,
+             CAST(SUM(CASE WHEN fvg_type = 'bearish' THEN 1 ELSE 0 END) AS BIGINT) AS bearish_fvgs,
+             SUM(CAST(ABS(fvg_size_pips) * 100 AS HUGEINT)) AS cents,
+             CAST(MAX(ABS(fvg_size_pips)) AS DECIMAL(10,2)) AS max_size_pips
+      FROM gold GROUP BY 1)"""
