@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlegap import operators as op
 from candlegap.functions.columns import quote_pip_factor
 from candlegap.plans import pipeline, reports
-from candlegap.schemas import BRONZE_SCHEMA, conform
+from candlegap.schemas import BRONZE_SCHEMA, conform, null_violations
 from candlegap.sinks.files import write_layer, write_raw_json, write_raw_json_arrays
 from candlegap.sinks.paths import scratch_path
 from candlegap.sources.documents import (
@@ -339,6 +339,11 @@ def q_conform_layer(spark, sf):
     return conform(messy, "silver")
 
 
+def q_null_violations(spark, sf):
+    """NULLs in the silver schema's NOT NULL columns of the malformed typed bars."""
+    return null_violations(op.cast_bars(bronze(spark, sf, malformed=True)), "silver")
+
+
 def q_layer_row_counts(spark, sf):
     b = bronze(spark, sf, malformed=True).unionByName(replay_batch(spark, sf))
     s = pipeline.build_silver(b)

@@ -415,3 +415,12 @@ FROM (SELECT date_trunc('month', date) AS month,
              SUM(CAST(ABS(fvg_size_pips) * 100 AS HUGEINT)) AS cents,
              CAST(MAX(ABS(fvg_size_pips)) AS DECIMAL(10,2)) AS max_size_pips
       FROM gold GROUP BY 1)"""
+ORACLE_SQL["null_violations"] = with_(*MALFORMED, typed_cte("typed", "bronze_m")) + """
+SELECT COUNT(*) FILTER (WHERE date IS NULL) AS null_date,
+       COUNT(*) FILTER (WHERE open IS NULL) AS null_open,
+       COUNT(*) FILTER (WHERE high IS NULL) AS null_high,
+       COUNT(*) FILTER (WHERE low IS NULL) AS null_low,
+       COUNT(*) FILTER (WHERE close IS NULL) AS null_close,
+       COUNT(*) FILTER (WHERE from_symbol IS NULL) AS null_from_symbol,
+       COUNT(*) FILTER (WHERE to_symbol IS NULL) AS null_to_symbol
+FROM typed"""
