@@ -251,6 +251,11 @@ def q_latest_bars(spark, sf):
     return reports.latest_bars(silver(spark, sf), TOP)
 
 
+def q_latest_bronze_bars(spark, sf):
+    """The 5 newest bronze rows (text prices), the bronze job's preview."""
+    return reports.latest_bars(bronze(spark, sf), 5)
+
+
 def q_last_bar_date(spark, sf):
     return reports.last_bar_date(silver(spark, sf))
 

@@ -424,3 +424,6 @@ SELECT COUNT(*) FILTER (WHERE date IS NULL) AS null_date,
        COUNT(*) FILTER (WHERE from_symbol IS NULL) AS null_from_symbol,
        COUNT(*) FILTER (WHERE to_symbol IS NULL) AS null_to_symbol
 FROM typed"""
+ORACLE_SQL["latest_bronze_bars"] = with_(*BASE) + """
+SELECT date, from_symbol, to_symbol, open, high, low, close
+FROM bronze ORDER BY date DESC, from_symbol, to_symbol LIMIT 5"""
