@@ -243,6 +243,12 @@ def q_largest_gaps(spark, sf):
     return reports.largest_gaps(gaps_ordered(spark, sf), TOP)
 
 
+def q_largest_gaps_positional(spark, sf):
+    """The largest-gaps listing over gold built the reference's way."""
+    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
+    return reports.largest_gaps(g, TOP, order="signed")
+
+
 def q_latest_active_gaps(spark, sf):
     return reports.latest_active_gaps(gaps_ordered(spark, sf), TOP)
 

@@ -427,3 +427,7 @@ FROM typed"""
 ORACLE_SQL["latest_bronze_bars"] = with_(*BASE) + """
 SELECT date, from_symbol, to_symbol, open, high, low, close
 FROM bronze ORDER BY date DESC, from_symbol, to_symbol LIMIT 5"""
+ORACLE_SQL["largest_gaps_positional"] = with_(
+    *SILVER, gap_ctes(levels="positional"), close_fill_cte("gold", "gaps")) + f"""
+SELECT date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low, fvg_size_pips, is_filled
+FROM gold ORDER BY fvg_size_pips DESC, from_symbol, to_symbol, date LIMIT {TOP}"""

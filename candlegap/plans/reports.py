@@ -143,13 +143,21 @@ def gap_summary(gold: DataFrame) -> DataFrame:
     )
 
 
-def largest_gaps(gold: DataFrame, top: int = 10) -> DataFrame:
-    """The ``top`` gaps by absolute size (ties broken by pair, date): a
-    TakeOrdered -- each task keeps its own top rows, the driver merges
-    tasks x top rows."""
+def largest_gaps(gold: DataFrame, top: int = 10, *, order: str = "abs") -> DataFrame:
+    """The ``top`` gaps by size (ties broken by pair, date): a TakeOrdered --
+    each task keeps its own top rows, the driver merges tasks x top rows.
+
+    ``order="abs"`` ranks by absolute size; ``order="signed"`` by the stored
+    value, which over positional gold (negative bearish sizes) reproduces a
+    listing where bearish gaps sink to the end.
+    """
+    if order not in ("abs", "signed"):
+        raise ValueError(f"order must be 'abs' or 'signed', not {order!r}")
+    size = F.col("fvg_size_pips")
+    key = F.abs(size) if order == "abs" else size
     return (gold.select("date", *PAIR, "fvg_type", "fvg_high", "fvg_low", "fvg_size_pips",
                         "is_filled")
-            .orderBy(F.abs(F.col("fvg_size_pips")).desc(), *PAIR, "date")
+            .orderBy(key.desc(), *PAIR, "date")
             .limit(top))
 
 
