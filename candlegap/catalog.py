@@ -243,6 +243,12 @@ def q_largest_gaps(spark, sf):
     return reports.largest_gaps(gaps_ordered(spark, sf), TOP)
 
 
+def q_gap_summary_positional(spark, sf):
+    """The five summary counts over gold built the reference's way."""
+    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
+    return reports.gap_summary(g)
+
+
 def q_largest_gaps_positional(spark, sf):
     """The largest-gaps listing over gold built the reference's way."""
     g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))

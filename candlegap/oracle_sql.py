@@ -431,3 +431,5 @@ ORACLE_SQL["largest_gaps_positional"] = with_(
     *SILVER, gap_ctes(levels="positional"), close_fill_cte("gold", "gaps")) + f"""
 SELECT date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low, fvg_size_pips, is_filled
 FROM gold ORDER BY fvg_size_pips DESC, from_symbol, to_symbol, date LIMIT {TOP}"""
+ORACLE_SQL["gap_summary_positional"] = ORACLE_SQL["gap_summary"].replace(
+    gap_ctes(), gap_ctes(levels="positional"))
