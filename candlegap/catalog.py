@@ -205,8 +205,7 @@ def q_report_fill_rate(spark, sf):
 
 def q_report_fill_rate_positional(spark, sf):
     """Fill rate over gold built the reference's way (positional levels)."""
-    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
-    return reports.report_fill_rate(g)
+    return reports.report_fill_rate(_positional_gold(spark, sf))
 
 
 def q_report_monthly_activity(spark, sf):
@@ -243,16 +242,26 @@ def q_largest_gaps(spark, sf):
     return reports.largest_gaps(gaps_ordered(spark, sf), TOP)
 
 
+def _positional_gold(spark, sf) -> DataFrame:
+    return op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
+
+
+def q_report_gaps_by_size_positional(spark, sf):
+    return reports.report_gaps_by_size(_positional_gold(spark, sf))
+
+
+def q_report_active_gaps_positional(spark, sf):
+    return reports.report_active_gaps(_positional_gold(spark, sf))
+
+
 def q_gap_summary_positional(spark, sf):
     """The five summary counts over gold built the reference's way."""
-    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
-    return reports.gap_summary(g)
+    return reports.gap_summary(_positional_gold(spark, sf))
 
 
 def q_largest_gaps_positional(spark, sf):
     """The largest-gaps listing over gold built the reference's way."""
-    g = op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
-    return reports.largest_gaps(g, TOP, order="signed")
+    return reports.largest_gaps(_positional_gold(spark, sf), TOP, order="signed")
 
 
 def q_latest_active_gaps(spark, sf):

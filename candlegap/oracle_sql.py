@@ -433,3 +433,7 @@ SELECT date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low, fvg_size_pips,
 FROM gold ORDER BY fvg_size_pips DESC, from_symbol, to_symbol, date LIMIT {TOP}"""
 ORACLE_SQL["gap_summary_positional"] = ORACLE_SQL["gap_summary"].replace(
     gap_ctes(), gap_ctes(levels="positional"))
+ORACLE_SQL["report_gaps_by_size_positional"] = ORACLE_SQL["report_gaps_by_size"].replace(
+    gap_ctes(), gap_ctes(levels="positional"))
+ORACLE_SQL["report_active_gaps_positional"] = ORACLE_SQL["report_active_gaps"].replace(
+    gap_ctes(), gap_ctes(levels="positional"))
