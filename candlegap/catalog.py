@@ -142,7 +142,7 @@ def q_gap_fill_close(spark, sf):
 
 
 def q_gap_fill_close_positional(spark, sf):
-    return op.gap_fill_close(op.detect_gaps(silver(spark, sf), levels="positional"))
+    return _positional_gold(spark, sf)
 
 
 def q_gap_fill_future(spark, sf):
