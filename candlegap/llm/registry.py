@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candlegap.llm.ann import op6_multi_index_hashing
+from candlegap.llm.fingerprints import op9_fingerprints
+from candlegap.llm.html_text import op2_html_text
 from candlegap.llm.language_id import op10_language_id
 from candlegap.llm.mixing import ORACLE_OP7, op7_mixing
 from candlegap.llm.ngram_join import op3_ngram_jaccard_join
@@ -16,11 +19,14 @@ from candlegap.llm.warc import op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_html_text": op2_html_text,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_warc": op4_warc,
     "op5_token_files": op5_token_files,
+    "op6_multi_index_hashing": op6_multi_index_hashing,
     "op7_mixing": op7_mixing,
     "op8_pii": op8_pii,
+    "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
 }
 
