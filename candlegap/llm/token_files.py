@@ -53,6 +53,7 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(tokenizer_file)
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian integers of ``dtype``."""
@@ -64,14 +65,35 @@ class WordTokenizer:
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
-            if len(known) > CACHE_WORDS:  # before this text's words, so that all of them are held
-                known.clear()
+            if len(known) > CACHE_WORDS // 2:  # words in use come back from the older half
+                self.older, self.words = known, {}
+                known = self.words
             self.learn([w for w in set(words) if w not in known])
             return b"".join([known[w] for w in words])
 
     def learn(self, words: list[bytes]) -> None:
-        encoded = self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        for word, e in zip(words, encoded, strict=True):
+        plain, others = [], []
+        for word in words:
+            found = self.older.get(word)
+            if found is not None:
+                self.words[word] = found
+            else:
+                value = word.decode("utf-8")
+                (plain if value.isalpha() else others).append((word, value))
+        # words of letters only are one unit of the pre-tokenizer each: one call for many
+        for at in range(0, len(plain), 4096):
+            part = plain[at:at + 4096]
+            e = self.library.encode(" ".join(v for _, v in part), add_special_tokens=False)
+            raw, size = np.asarray(e.ids, dtype=self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            units = np.asarray(e.word_ids, dtype=np.int64)
+            if len(units) == 0 or units[-1] != len(part) - 1:  # should a letter count as none there
+                others += part
+                continue
+            bounds = (np.searchsorted(units, np.arange(len(part) + 1)) * size).tolist()
+            for k, (word, _) in enumerate(part):
+                self.words[word] = raw[bounds[k]:bounds[k + 1]]
+        encoded = self.library.encode_batch_fast([v for _, v in others], add_special_tokens=False)
+        for (word, _), e in zip(others, encoded, strict=True):
             self.words[word] = np.asarray(e.ids, dtype=self.dtype).tobytes()
 
 
