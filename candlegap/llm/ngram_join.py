@@ -43,7 +43,7 @@ from candlegap.llm.shingles import shingle_sets
 
 #: Frequent shingles known to all tasks: at most so many, each in at least so many documents.
 FREQUENT = 1 << 20
-FREQUENT_DOCS = 16
+FREQUENT_DOCS = 4
 #: Hashes that a task holds before it counts them.
 COUNTED_AT_ONCE = 4_000_000
 #: Least hashes kept of each set, and how many of them name its buckets in step 4.
@@ -102,49 +102,55 @@ def in_order(s: np.ndarray, frequent: Frequent) -> np.ndarray:
     return np.concatenate([s[~hot], s[hot][np.argsort(rank[at[hot]], kind="stable")]])
 
 
+def prefix_of(s: np.ndarray, frequent: Frequent) -> np.ndarray:
+    return in_order(s, frequent)[:prefix_length(len(s))]
+
+
 def digest(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
 
-_SETS = "doc_id long, sig binary, n int, grp binary, prefix array<long>, low array<long>"
+_ROWS = "doc_id long, sig binary, n int, grp binary, low array<long>"
 
 
 def described(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """One row per document: its set's digest, size, prefix and least hashes."""
+    """One row per document: its set's digest, size, group (digest of size and prefix) and
+    least hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signed = pa.list_(pa.int64())
         for cols in sliced(batches):
-            sigs, sizes, groups, prefixes, lows, last = [], [], [], [], [], {}
-            for s in shingle_sets(cols["text"]):
-                sig = digest(s)
-                sigs.append(sig)
-                sizes.append(len(s))
-                if sig is None or sig in last:  # a copy in the same slice: its class row is there
-                    groups.append(None)
-                    prefixes.append(None)
-                    lows.append(None)
-                    continue
-                last[sig] = True
-                prefix = in_order(s, frequent.value)[:prefix_length(len(s))]
-                groups.append(hashlib.blake2b(len(s).to_bytes(8, "little") + prefix.tobytes(), digest_size=16).digest())
-                prefixes.append(prefix.view(np.int64))
-                lows.append(s[:LOW].view(np.int64))
+            sets = list(shingle_sets(cols["text"]))
+            groups = [hashlib.blake2b(len(s).to_bytes(8, "little") + prefix_of(s, frequent.value).tobytes(),
+                                      digest_size=16).digest() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": pa.array(cols["doc_id"], pa.int64()), "sig": pa.array([digest(s) for s in sets], pa.binary()),
+                "n": pa.array([len(s) for s in sets], pa.int32()), "grp": pa.array(groups, pa.binary()),
+                "low": pa.array([s[:LOW].view(np.int64) for s in sets], pa.list_(pa.int64()))})
+
+    return docs.select("doc_id", "text").mapInArrow(run, _ROWS)
+
+
+def prefixes(docs: DataFrame, frequent: Broadcast) -> DataFrame:
+    """``sig, prefix`` of every distinct set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in sliced(batches):
+            sets = {digest(s): s for s in shingle_sets(cols["text"]) if len(s)}  # copies in a slice once
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(cols["doc_id"], pa.int64()), "sig": pa.array(sigs, pa.binary()),
-                "n": pa.array(sizes, pa.int32()), "grp": pa.array(groups, pa.binary()),
-                "prefix": pa.array(prefixes, signed), "low": pa.array(lows, signed)})
+                "sig": pa.array(list(sets), pa.binary()),
+                "prefix": pa.array([prefix_of(s, frequent.value).view(np.int64) for s in sets.values()],
+                                   pa.list_(pa.int64()))})
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SETS)
+    return docs.select("text").mapInArrow(run, "sig binary, prefix array<long>").dropDuplicates(["sig"])
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
     """One row per distinct set: a number ``cid``, and ``rep``, its least ``doc_id``."""
     kept = (rows.where("sig IS NOT NULL").groupBy("sig")
             .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grp").alias("grp"),
-                 F.max(F.struct("prefix")).alias("p"), F.max(F.struct("low")).alias("l")))
+                 F.max(F.struct("low")).alias("l")))
     return written(kept.select(F.monotonically_increasing_id().alias("cid"), "sig", "rep", "n", "grp",
-                               F.col("p.prefix").alias("prefix"), F.col("l.low").alias("low")), "classes")
+                               F.col("l.low").alias("low")), "classes")
 
 
 def star_pairs(classes: DataFrame) -> DataFrame:
@@ -174,15 +180,16 @@ def _needed(a: Column, b: Column) -> Column:
     return F.lit(4) * (a + b)
 
 
-def candidate_pairs(classes: DataFrame, roots: DataFrame) -> DataFrame:
+def candidate_pairs(docs: DataFrame, frequent: Broadcast, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of classes in different components that the prefixes do not exclude."""
     members = (classes.select("cid", "grp", "n").join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
                .select("cid", "grp", F.coalesce("root", "cid").alias("comp")))
     # one entry per group and prefix shingle; a group whose members are linked has their component
     groups = members.groupBy("grp").agg(F.min("cid").alias("gid"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-    heads = (classes.select("cid", "n", "prefix").join(groups.select(
+    heads = (classes.select("cid", "sig", "n").join(groups.select(
         F.col("gid").alias("cid"), F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(-1 - F.col("gid")).alias("comp")), "cid"))
-    entries = heads.select(F.col("cid").alias("g"), "comp", "n", F.posexplode("prefix").alias("at", "token"))
+    entries = (prefixes(docs, frequent).join(heads, "sig")
+               .select(F.col("cid").alias("g"), "comp", "n", F.posexplode("prefix").alias("at", "token")))
     left, right = (entries.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("g", "comp", "n", "at")]) for k in (1, 2))
     room = F.lit(9) * F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))
     need = _needed(F.col("n1"), F.col("n2"))
@@ -226,17 +233,18 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
         for cols in sliced(batches):
             at = np.array(cols["at"], np.int64)
             admitted = np.flatnonzero(bits.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
-            sets = list(shingle_sets([cols["text"][i] for i in admitted]))
-            yield pa.RecordBatch.from_pydict({"sig": pa.array([digest(s) for s in sets], pa.binary()),
-                                              "s": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))})
-
-    made = (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("at"), "text")
-            .mapInArrow(run, "sig binary, s array<long>"))
-    wanted = classes.join(cids, "cid", "left_semi").select("sig", "cid")
-    sets = written(made.join(wanted, "sig").groupBy("cid").agg(F.max(F.struct("s"))["s"].alias("s")), "sets")
-    one, two = (sets.select(F.col("cid").alias(x), F.col("s").alias(f"s{x}")) for x in "ab")
+            sets = {digest(s): s for s in shingle_sets([cols["text"][i] for i in admitted])}
+            yield pa.RecordBatch.from_pydict({"sig": pa.array(list(sets), pa.binary()), "s": pa.array(
+                [s.view(np.int64) for s in sets.values()], pa.list_(pa.int64()))})
+
+    # one exchange of the sets, by digest, serves both sides of the pairs
+    sets = (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("at"), "text")
+            .mapInArrow(run, "sig binary, s array<long>").dropDuplicates(["sig"]))
+    one, two = (classes.select(F.col("cid").alias(x), F.col("sig").alias(f"sig{x}")) for x in "ab")
+    left, right = (sets.select(F.col("sig").alias(f"sig{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     overlap = F.size(F.array_intersect("sa", "sb"))
-    links = pairs.join(one, "a").join(two, "b").where(overlap * 9 >= _needed(F.size("sa"), F.size("sb")))
+    links = (pairs.join(one, "a").join(two, "b").join(left, "siga").join(right, "sigb")
+             .where(overlap * 9 >= _needed(F.size("sa"), F.size("sb"))))
     return written(links.select("a", "b"), "links")
 
 
@@ -251,7 +259,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     classes = classes_of(rows)
     near = verified(docs, classes, star_pairs(classes))
     roots = written(connected_components(near), "roots")
-    rest = verified(docs, classes, candidate_pairs(classes, roots))
+    rest = verified(docs, classes, candidate_pairs(docs, frequent, classes, roots))
     # links of the join connect what the stars have connected
     final = connected_components(near.unionByName(rest))
     named = (classes.select("cid", "sig", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left")
