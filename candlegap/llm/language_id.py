@@ -40,7 +40,7 @@ CELLS_PER_GRAM = 16
 DISTINCT = 0.3
 MIN_COUNT = 3
 #: Code points worked on at once inside a task.
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNKNOWN = "und"
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 

@@ -15,7 +15,8 @@ components of its links, by a grouped prefix join.
 5. **Join.** Groups are joined on prefix shingles where their components differ, their sizes
    are within the bound and the places of the shared shingle leave room for the needed
    overlap; the number of shared shingles bounds the overlap of a pair once more. Group pairs
-   are expanded to their members, and each member pair is verified on whole sets.
+   are expanded to their members, pairs whose parity bitmaps differ in more bits than similar
+   sets can differ in hashes are dropped, and each pair left is verified on whole sets.
 
 Whole sets are never shuffled for all documents: candidates' sets are made anew from the
 texts that a bitmap of fixed size admits (a filter only: what it admits wrongly is dropped by
@@ -45,10 +46,12 @@ from candlegap.llm.shingles import shingle_sets
 FREQUENT = 1 << 20
 FREQUENT_DOCS = 4
 #: Hashes that a task holds before it counts them.
-COUNTED_AT_ONCE = 4_000_000
+COUNTED_AT_ONCE = 2_000_000
 #: Least hashes kept of each set, and how many of them name its buckets in step 4.
-LOW, STARS, LEADERS = 16, 4, 3
+LOW, STARS, LEADERS = 16, 8, 3
 BITMAP_BITS = 1 << 23
+#: Longs of a set's parity bitmap.
+PARITY_LONGS = 16
 
 Frequent = tuple[np.ndarray, np.ndarray]
 
@@ -106,11 +109,18 @@ def prefix_of(s: np.ndarray, frequent: Frequent) -> np.ndarray:
     return in_order(s, frequent)[:prefix_length(len(s))]
 
 
+def parity_bitmap(s: np.ndarray) -> np.ndarray:
+    """Bit k tells whether the set has an odd number of hashes with place k. Two sets differ in
+    at least as many hashes as their bitmaps differ in bits."""
+    odd = np.bincount((s >> np.uint64(7)).astype(np.int64) % (64 * PARITY_LONGS), minlength=64 * PARITY_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def digest(s: np.ndarray) -> bytes | None:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
 
 
-_ROWS = "doc_id long, sig binary, n int, grp binary, low array<long>"
+_ROWS = "doc_id long, sig binary, n int, grp binary, low array<long>, parity array<long>"
 
 
 def described(docs: DataFrame, frequent: Broadcast) -> DataFrame:
@@ -125,7 +135,8 @@ def described(docs: DataFrame, frequent: Broadcast) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(cols["doc_id"], pa.int64()), "sig": pa.array([digest(s) for s in sets], pa.binary()),
                 "n": pa.array([len(s) for s in sets], pa.int32()), "grp": pa.array(groups, pa.binary()),
-                "low": pa.array([s[:LOW].view(np.int64) for s in sets], pa.list_(pa.int64()))})
+                "low": pa.array([s[:LOW].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                "parity": pa.array([parity_bitmap(s) for s in sets], pa.list_(pa.int64()))})
 
     return docs.select("doc_id", "text").mapInArrow(run, _ROWS)
 
@@ -148,20 +159,24 @@ def classes_of(rows: DataFrame) -> DataFrame:
     """One row per distinct set: a number ``cid``, and ``rep``, its least ``doc_id``."""
     kept = (rows.where("sig IS NOT NULL").groupBy("sig")
             .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("grp").alias("grp"),
-                 F.max(F.struct("low")).alias("l")))
+                 F.max(F.struct("low", "parity")).alias("l")))
     return written(kept.select(F.monotonically_increasing_id().alias("cid"), "sig", "rep", "n", "grp",
-                               F.col("l.low").alias("low")), "classes")
+                               F.col("l.low").alias("low"), F.col("l.parity").alias("parity")), "classes")
 
 
 def star_pairs(classes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b): the classes of each bucket with a few leaders of it."""
+    """Likely pairs (a, b): the classes of each bucket with a few leaders of it, among them the
+    one whose buckets are the largest, which is nearest to the middle of its near copies."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
     slim = classes.select("cid", band.alias("band"), F.explode(F.slice("low", 1, STARS)).alias("v"))
-    leaders = (slim.groupBy("v", "band").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.array(*[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(LEADERS)]).alias("leaders"))
-        .where("size > 1").select("v", "band", F.explode("leaders").alias("a")))
-    pairs = slim.join(leaders, ["v", "band"]).select("a", F.col("cid").alias("b"))
+    sizes = slim.groupBy("v", "band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    known = written(slim.join(sizes, ["v", "band"]), "buckets")
+    sought = known.join(known.groupBy("cid").agg(F.sum("size").alias("sought")), "cid")
+    leaders = (sought.groupBy("v", "band").agg(F.array(
+        F.max(F.struct("sought", F.xxhash64("cid"), "cid"))["cid"],
+        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"))
+        .select("v", "band", F.explode("leaders").alias("a")))
+    pairs = known.join(leaders, ["v", "band"]).select("a", F.col("cid").alias("b"))
     head = classes.groupBy("grp").agg(F.min("cid").alias("a"))
     in_group = classes.join(head, "grp").select("a", F.col("cid").alias("b"))
     pairs = pairs.unionByName(in_group).where("a <> b")
@@ -172,7 +187,7 @@ def star_pairs(classes: DataFrame) -> DataFrame:
             .join(low.select(F.col("cid").alias("b"), F.col("low").alias("lb")), "b"))
     least = F.slice(F.array_sort(F.array_union("la", "lb")), 1, LOW)
     shared = F.size(F.array_intersect(F.array_intersect(least, "la"), F.col("lb")))
-    return both.where(shared * 5 >= F.size(least) * 3).select("a", "b")
+    return both.where(shared * 3 >= F.size(least) * 2).select("a", "b")
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -189,8 +204,12 @@ def candidate_pairs(docs: DataFrame, frequent: Broadcast, classes: DataFrame, ro
     heads = (classes.select("cid", "sig", "n").join(groups.select(
         F.col("gid").alias("cid"), F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(-1 - F.col("gid")).alias("comp")), "cid"))
     entries = (prefixes(docs, frequent).join(heads, "sig")
-               .select(F.col("cid").alias("g"), "comp", "n", F.posexplode("prefix").alias("at", "token")))
-    left, right = (entries.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("g", "comp", "n", "at")]) for k in (1, 2))
+               .select(F.col("cid").alias("g"), "comp", "n", F.posexplode("prefix").alias("at", "token"))
+               # size and place in one column: this is the largest exchange of the join
+               .select("token", "g", "comp", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("n_at")))
+    left, right = (entries.select("token", F.col("g").alias(f"g{k}"), F.col("comp").alias(f"comp{k}"),
+                                  F.shiftright("n_at", 32).alias(f"n{k}"),
+                                  F.col("n_at").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"at{k}")) for k in (1, 2))
     room = F.lit(9) * F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))
     need = _needed(F.col("n1"), F.col("n2"))
     shared = left.join(right, "token").where(
@@ -225,7 +244,12 @@ def _bitmap(classes: DataFrame, cids: DataFrame) -> np.ndarray:
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose whole sets have a similarity of 0.8 or more (a written table)."""
-    pairs = written(pairs, "pairs")
+    one, two = (classes.select(F.col("cid").alias(x), F.col("sig").alias(f"sig{x}"), F.col("n").alias(f"n{x}"),
+                               F.col("parity").alias(f"p{x}")) for x in "ab")
+    # sets of sizes n and m with the needed overlap differ in at most (n + m) / 9 hashes
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    pairs = written(pairs.join(one, "a").join(two, "b").where(differ * 9 <= F.col("na") + F.col("nb"))
+                    .select("a", "b", "siga", "sigb"), "pairs")
     cids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(classes, cids))
 
@@ -240,10 +264,9 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     # one exchange of the sets, by digest, serves both sides of the pairs
     sets = (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("at"), "text")
             .mapInArrow(run, "sig binary, s array<long>").dropDuplicates(["sig"]))
-    one, two = (classes.select(F.col("cid").alias(x), F.col("sig").alias(f"sig{x}")) for x in "ab")
     left, right = (sets.select(F.col("sig").alias(f"sig{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     overlap = F.size(F.array_intersect("sa", "sb"))
-    links = (pairs.join(one, "a").join(two, "b").join(left, "siga").join(right, "sigb")
+    links = (pairs.join(left, "siga").join(right, "sigb")
              .where(overlap * 9 >= _needed(F.size("sa"), F.size("sb"))))
     return written(links.select("a", "b"), "links")
 

@@ -9,7 +9,7 @@ import numpy as np
 
 WORDS = 5
 #: Bytes of text hashed at once; bounds a worker's memory (a longer text is taken alone).
-PIECE = 1 << 20
+PIECE = 1 << 18
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
