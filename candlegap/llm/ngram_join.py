@@ -187,7 +187,7 @@ def star_pairs(classes: DataFrame) -> DataFrame:
             .join(low.select(F.col("cid").alias("b"), F.col("low").alias("lb")), "b"))
     least = F.slice(F.array_sort(F.array_union("la", "lb")), 1, LOW)
     shared = F.size(F.array_intersect(F.array_intersect(least, "la"), F.col("lb")))
-    return both.where(shared * 3 >= F.size(least) * 2).select("a", "b")
+    return both.where(shared * 5 >= F.size(least) * 2).select("a", "b")
 
 
 def _needed(a: Column, b: Column) -> Column:
