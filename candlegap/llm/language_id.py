@@ -177,16 +177,18 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageFilters:
 def identify(docs: DataFrame, filters: LanguageFilters, kept: list[str]) -> DataFrame:
     """``kept`` columns with ``lang_pred`` and ``score``; reads only the text."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)  # size bounded by the sample
+    columns = list(dict.fromkeys([*kept, "text"]))
+    place = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                names, scores = shared.value.predict(part.column(1).to_pylist())
+                names, scores = shared.value.predict(part.column(0).flatten()[place].to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                  names=["doc", "lang_pred", "score"])
 
-    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), "text")
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"))
     kind = given.schema["doc"].dataType.simpleString()
     return given.mapInArrow(run, f"doc {kind}, lang_pred string, score double")
 

@@ -303,15 +303,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
             .select("sig", "component_id").distinct())
 
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sigs = [digest(s) for s in shingle_sets(part.column(1).to_pylist())]
+                sigs = [digest(s) for s in shingle_sets(part.column(0).flatten()[place].to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sigs, pa.binary())], names=["doc", "sig"])
 
-    given = docs.select(F.struct(*columns).alias("doc"), "text")
+    given = docs.select(F.struct(*columns).alias("doc"))
     tagged = given.mapInArrow(run, f"doc {given.schema['doc'].dataType.simpleString()}, sig binary")
     order = Window.partitionBy("sig").orderBy(*[F.col(f"doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
     chosen = (tagged.where("sig IS NOT NULL").join(kept, "sig")

@@ -20,19 +20,29 @@ from candlegap.llm.ngram_join import one_of_each
 from candlegap.llm.pii import sanitise
 from candlegap.llm.sentencepiece_codec import default_model, encode_documents
 
+#: Rows in one Arrow batch. Whole documents travel to Python and back here, so the batch, and
+#: not the partition, is what a worker and its JVM hold at once.
+BATCH_ROWS = 500
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     docs = docs.select(COLUMNS)
     return identify(docs, learn(docs), COLUMNS).where(F.col("lang_pred") != UNKNOWN).select("doc.*")
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return one_of_each(docs.select(COLUMNS))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     cleaned = sanitise(docs.select(COLUMNS))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
@@ -42,6 +52,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _bounded(spark)
     return encode_documents(docs, default_model())
 
 
