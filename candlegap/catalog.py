@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from candlegap import operators as op
 from candlegap.functions.columns import quote_pip_factor
 from candlegap.plans import pipeline, reports
-from candlegap.schemas import BRONZE_SCHEMA, conform, null_violations
+from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, conform, null_violations
 from candlegap.sinks.files import write_layer, write_raw_json, write_raw_json_arrays
 from candlegap.sinks.paths import scratch_path
 from candlegap.sources.documents import (
@@ -181,7 +181,7 @@ def q_daily_range(spark, sf):
 
 
 def q_daily_return(spark, sf):
-    return op.derive_fields(typed(spark, sf))
+    return op.daily_return(op.daily_range(typed(spark, sf)))
 
 
 def q_build_silver(spark, sf):
@@ -277,6 +277,36 @@ def q_latest_bronze_bars(spark, sf):
     return reports.latest_bars(bronze(spark, sf), 5)
 
 
+def q_last_date(spark, sf):
+    """The newest date of the whole table."""
+    return silver(spark, sf).agg(F.max("date").alias("last_date"))
+
+
+def q_report_volatility_join(spark, sf):
+    """The volatility report with a stored gold table: the join form."""
+    s = silver(spark, sf)
+    return reports.report_volatility(s, op.gap_fill_close(op.detect_gaps(s)))
+
+
+def q_rebuild_after_correction(spark, sf):
+    """Silver and gold rebuilt by the jobs after a delivery in which no bar of some pairs is
+    valid any more: what those pairs had before must be gone. The bars of even users are
+    delivered anew with a price of zero; both gold states are compared by pair."""
+    raw1, raw2 = scratch_path(spark, "raw-first"), scratch_path(spark, "raw-second")
+    b, s, g = (scratch_path(spark, f"rebuilt-{layer}") for layer in ("bronze", "silver", "gold"))
+    first = bronze(spark, sf)
+    even = F.substring("from_symbol", 2, 20).cast("long") % 2 == 0
+    write_raw_json(first, raw1)
+    write_raw_json(first.where(even).withColumns({c: F.lit("0") for c in ("open", "high", "low", "close")})
+                   .withColumn("_ingest_timestamp", F.col("_ingest_timestamp") + F.make_dt_interval(F.lit(1))), raw2)
+    for raw in (raw1, raw2):
+        pipeline.run_bronze(spark, raw, b, run_ts=RUN_TS, merge=True)
+        pipeline.run_silver(spark, b, s)
+        pipeline.run_gold(spark, s, g, run_ts=RUN_TS)
+    return scan_layer(spark, g, schema=GOLD_SCHEMA).select(
+        "date", "from_symbol", "to_symbol", "fvg_type", "fvg_high", "fvg_low", "fvg_size_pips", "is_filled")
+
+
 def q_last_bar_date(spark, sf):
     return reports.last_bar_date(silver(spark, sf))
 
@@ -398,12 +428,13 @@ def q_build_gold(spark, sf):
 
 def _sql_report(name: str) -> Query:
     def run(spark, sf):
-        from candlegap.plans.report_sql import run_report_sql
+        from candlegap.plans.named_reports import register_views, run_named_report
 
         s = silver(spark, sf)
-        return run_report_sql(spark, name, s, op.gap_fill_close(op.detect_gaps(s)))
+        views = register_views(s, op.gap_fill_close(op.detect_gaps(s)), prefix="catalog")
+        return run_named_report(spark, name, *views)
 
-    run.__doc__ = f"The {name} statement run through spark.sql over temp views."
+    run.__doc__ = f"The {name} report over tables that are found by name."
     return run
 
 

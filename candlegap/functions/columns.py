@@ -26,8 +26,10 @@ def col(c: str | Column) -> Column:
 
 
 def pair_id(from_col: str = "from_symbol", to_col: str = "to_symbol") -> Column:
-    """Directory key of one instrument: upper(from) || upper(to), e.g. EURUSD."""
-    return F.concat(F.upper(F.col(from_col)), F.upper(F.col(to_col)))
+    """Directory key of one instrument, e.g. EUR_USD: one key for each pair of symbols,
+    whatever their case. An underscore inside a symbol is written %5F."""
+    symbols = [F.replace(F.upper(F.col(c)), F.lit("_"), F.lit("%5F")) for c in (from_col, to_col)]
+    return F.concat_ws("_", *symbols)
 
 
 def to_price(c: str | Column) -> Column:

@@ -37,19 +37,14 @@ def derive_fields(df: DataFrame) -> DataFrame:
     })
 
 
-def rolling_volatility(silver: DataFrame, days: int = 20, *, by_pair: bool = True,
+def rolling_volatility(silver: DataFrame, days: int = 20, *,
                        name: str = "volatility_20d") -> DataFrame:
     """Mean ``daily_range`` over the current and ``days - 1`` preceding bars,
     rounded to 5 places (decimal(10,5)); the first bars average what exists.
-
-    ``by_pair=False`` reproduces a single-instrument table's global window and
-    is only meant for one instrument: a window without PARTITION BY moves
-    every row into one task.
     """
     if days < 1:
         raise ValueError(f"days must be >= 1, not {days}")
-    order = Window.orderBy("date") if not by_pair else pair_window()
-    w = order.rowsBetween(-(days - 1), Window.currentRow)
+    w = pair_window().rowsBetween(-(days - 1), Window.currentRow)
     avg = F.round(F.avg("daily_range").over(w), 5).cast(PRICE_TYPE)
     return silver.withColumn(name, avg)
 

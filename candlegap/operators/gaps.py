@@ -264,13 +264,15 @@ def _solve_first_fill(pdf: pd.DataFrame) -> pd.DataFrame:
     found = end.copy()
     # bullish: first later low <= fvg_low; bearish: first later high >= fvg_high,
     # searched as -high <= -fvg_high. Integer price units: exact comparisons.
+    # A NULL price fills nothing and does not end the search.
+    lows, highs = (pdf[c].to_numpy(dtype=np.float64, na_value=np.nan) for c in ("low_u", "high_u"))
     if bull.any():
         found[bull] = _first_at_or_below(
-            pdf["low_u"].to_numpy(dtype=np.float64), start[bull],
+            np.where(np.isnan(lows), np.inf, lows), start[bull],
             gaps["fvg_low_u"].to_numpy(dtype=np.float64)[bull], end[bull])
     if (~bull).any():
         found[~bull] = _first_at_or_below(
-            -pdf["high_u"].to_numpy(dtype=np.float64), start[~bull],
+            np.where(np.isnan(highs), np.inf, -highs), start[~bull],
             -gaps["fvg_high_u"].to_numpy(dtype=np.float64)[~bull], end[~bull])
     filled = found < end
     dates = pdf["date"].to_numpy(dtype=object)
@@ -284,22 +286,25 @@ def _solve_first_fill(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _first_fill_stream(batches):
     """Arrow batches of one partition, clustered by instrument and sorted by
-    date -> gap rows. An instrument cut by a batch boundary is carried into
-    the next batch, so memory stays at one batch plus one instrument."""
-    carry = None
+    date -> gap rows. Pieces of an instrument cut by batch boundaries are kept
+    until it ends and joined once, so memory stays at one batch plus one instrument."""
+    pieces, name = [], None
     for pdf in batches:
-        if carry is not None:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
         if pdf.empty:
             continue
-        last_f, last_t = pdf["from_symbol"].iat[-1], pdf["to_symbol"].iat[-1]
-        tail = ((pdf["from_symbol"] == last_f) & (pdf["to_symbol"] == last_t)).to_numpy()
-        carry = pdf[tail]
-        done = pdf[~tail].reset_index(drop=True)
-        if len(done):
-            yield _solve_first_fill(done)
-    if carry is not None and len(carry):
-        yield _solve_first_fill(carry.reset_index(drop=True))
+        names = list(zip(pdf["from_symbol"], pdf["to_symbol"], strict=True))
+        last = names[-1]
+        cut = next((i for i in range(len(names) - 1, -1, -1) if names[i] != last), -1) + 1
+        if pieces and (cut > 0 or last != name):
+            pieces.append(pdf.iloc[:cut])
+            yield _solve_first_fill(pd.concat(pieces, ignore_index=True))
+            pieces = []
+        elif cut > 0:
+            yield _solve_first_fill(pdf.iloc[:cut].reset_index(drop=True))
+        pieces.append(pdf.iloc[cut:])
+        name = last
+    if pieces:
+        yield _solve_first_fill(pd.concat(pieces, ignore_index=True))
 
 
 def _from_units(name: str) -> Column:
@@ -320,7 +325,8 @@ def gap_first_fill(silver: DataFrame, *,
     neighbour window, whose output is already hash-partitioned by instrument
     and date-ordered: no extra shuffle, and each Arrow batch solves all the
     instruments it holds in one vectorised sparse-table binary search
-    (exact, O(n log n)). Memory is one batch plus one instrument's
+    (exact, O(n log n)). Precondition: (pair, date) is unique, as after ``dedup_latest``.
+    Memory is one batch plus one instrument's
     deduplicated daily bars (bounded by the calendar). Only integer price
     units and dates cross into Python; decimals are rebuilt JVM-side.
     """

@@ -93,8 +93,8 @@ def dedup_latest(
     Ties in ``order`` are broken by the remaining columns, descending, so the
     survivor is deterministic (all bronze rows of one run share a stamp).
 
-    Plan: a single aggregation ``max_by(row, (order..., rest...))`` grouped by
-    the key. Its partial step runs before the shuffle, so a key with a huge
+    Plan: a single aggregation ``max((order..., rest...))`` grouped by the key, so each
+    column is held and shipped once. Its partial step runs before the shuffle, so a key with a huge
     number of copies is reduced to one row per task map-side -- no task ever
     holds a whole copy group, unlike a ``row_number`` window which must sort
     the full group in one task.
@@ -104,7 +104,7 @@ def dedup_latest(
     if not rest:
         return df.dropDuplicates(keys)
     ordering = list(order) + [c for c in rest if c not in order]
-    picked = F.max_by(F.struct(*rest), F.struct(*ordering)).alias("_row")
+    picked = F.max(F.struct(*ordering)).alias("_row")
     out = df.groupBy(*keys).agg(picked)
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
                         for c in df.columns])

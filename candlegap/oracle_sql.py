@@ -336,17 +336,17 @@ ORACLE_SQL["flatten_documents"] = with_(*BASE) + f"""
 SELECT date, open, high, low, close, from_symbol, to_symbol,
        {RUN_TS_SQL} AS _ingest_timestamp, 'events' AS _source
 FROM bronze WHERE CAST(substr(from_symbol, 2) AS BIGINT) % 10 NOT IN (0, 2)"""
-_WITH_PAIR = "SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM {src}"
+_WITH_PAIR = "SELECT *, upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM {src}"
 ORACLE_SQL["write_raw_json"] = with_(*BASE) + _WITH_PAIR.format(src="bronze")
 ORACLE_SQL["scan_raw_json"] = ORACLE_SQL["write_raw_json"]
 ORACLE_SQL["scan_bars"] = with_(*SILVER) + _WITH_PAIR.format(src="silver")
 ORACLE_SQL["load_bronze"] = with_(*BASE) + f"""
 SELECT date, open, high, low, close, from_symbol, to_symbol,
        {RUN_TS_SQL} AS _ingest_timestamp, _source,
-       upper(from_symbol) || upper(to_symbol) AS pair
+       upper(from_symbol) || '_' || upper(to_symbol) AS pair
 FROM bronze"""
 ORACLE_SQL["write_layer"] = with_(*GOLD) + f"""
-SELECT *, {RUN_TS_SQL} AS _updated_at, upper(from_symbol) || upper(to_symbol) AS pair FROM gold"""
+SELECT *, {RUN_TS_SQL} AS _updated_at, upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM gold"""
 ORACLE_SQL["build_gold"] = with_(*GOLD) + f"SELECT *, {RUN_TS_SQL} AS _updated_at FROM gold"
 ORACLE_SQL["upsert_bars"] = with_(*BASE, REPLAY, REPLAY_CTE) + f"""
 SELECT * FROM replay
@@ -357,10 +357,10 @@ WHERE e.date <= '{UPSERT_EXISTING_UNTIL}'
                   AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol)"""
 ORACLE_SQL["evolve_schema"] = with_(*BASE, REPLAY, REPLAY_CTE) + f"""
 SELECT {BRONZE_COLS}, CAST(NULL AS VARCHAR) AS _batch_note,
-       upper(from_symbol) || upper(to_symbol) AS pair FROM bronze
+       upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM bronze
 UNION ALL
 SELECT {BRONZE_COLS}, 'replay' AS _batch_note,
-       upper(from_symbol) || upper(to_symbol) AS pair FROM replay"""
+       upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM replay"""
 ORACLE_SQL["conform_layer"] = with_(*SILVER) + "SELECT * FROM silver"
 ORACLE_SQL["layer_row_counts"] = with_(*BUILD_SILVER, gap_ctes()) + """
 SELECT 'bronze' AS layer, COUNT(*) AS n_rows FROM mixed
@@ -375,7 +375,7 @@ ORACLE_SQL["stream_refresh"] = with_(
     WHERE NOT EXISTS (SELECT 1 FROM replay r WHERE r.date = e.date
                       AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol))""",
     silver_ctes("merged"), gap_ctes(), close_fill_cte("gold", "gaps")) + """
-SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM gold"""
+SELECT *, upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM gold"""
 
 # the Spark SQL texts of the reports: same oracles (monthly activity without
 # the spread dates, so its oracle is built on the plain bars)
@@ -387,19 +387,19 @@ ORACLE_SQL["sql_report_largest_moves"] = ORACLE_SQL["report_largest_moves"]
 ORACLE_SQL["sql_report_monthly_activity"] = ORACLE_SQL["report_monthly_activity"].replace(
     bronze_cte("bronze", spread=True), bronze_cte("bronze"))
 ORACLE_SQL["ingest_documents"] = (
-    "SELECT *, upper(from_symbol) || upper(to_symbol) AS pair FROM ("
+    "SELECT *, upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM ("
     + ORACLE_SQL["flatten_documents"] + ")")
 ORACLE_SQL["report_fill_rate_positional"] = ORACLE_SQL["report_fill_rate"].replace(
     gap_ctes(), gap_ctes(levels="positional"))
 ORACLE_SQL["load_bronze_merge"] = with_(*BASE, REPLAY, REPLAY_CTE) + f"""
 SELECT date, open, high, low, close, from_symbol, to_symbol,
        TIMESTAMP '{RUN_TS_2}' AS _ingest_timestamp, _source,
-       upper(from_symbol) || upper(to_symbol) AS pair
+       upper(from_symbol) || '_' || upper(to_symbol) AS pair
 FROM replay
 UNION ALL
 SELECT date, open, high, low, close, from_symbol, to_symbol,
        {RUN_TS_SQL} AS _ingest_timestamp, _source,
-       upper(from_symbol) || upper(to_symbol) AS pair
+       upper(from_symbol) || '_' || upper(to_symbol) AS pair
 FROM bronze e
 WHERE NOT EXISTS (SELECT 1 FROM replay r WHERE r.date = e.date
                   AND r.from_symbol = e.from_symbol AND r.to_symbol = e.to_symbol)"""
@@ -437,3 +437,8 @@ ORACLE_SQL["report_gaps_by_size_positional"] = ORACLE_SQL["report_gaps_by_size"]
     gap_ctes(), gap_ctes(levels="positional"))
 ORACLE_SQL["report_active_gaps_positional"] = ORACLE_SQL["report_active_gaps"].replace(
     gap_ctes(), gap_ctes(levels="positional"))
+ORACLE_SQL["last_date"] = with_(*SILVER) + "SELECT MAX(date) AS last_date FROM silver"
+ORACLE_SQL["report_volatility_join"] = ORACLE_SQL["report_volatility"]
+ORACLE_SQL["rebuild_after_correction"] = with_(*GOLD) + """
+SELECT date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low, fvg_size_pips, is_filled
+FROM gold WHERE CAST(SUBSTR(from_symbol, 2) AS BIGINT) % 2 = 1"""

@@ -14,14 +14,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from candlegap.functions.columns import DEFAULT_PIP_FACTOR, timestamp_literal
+from candlegap.functions.columns import DEFAULT_PIP_FACTOR, PAIR_KEYS, timestamp_literal
 from candlegap.operators.enrich import derive_fields
 from candlegap.operators.gaps import detect_gaps, gap_fill_close, gap_fill_future
 from candlegap.operators.merge import upsert_bars
 from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
 from candlegap.sinks.files import with_pair, write_layer, write_raw_json
-from candlegap.sinks.paths import path_exists, shared_root
+from candlegap.sinks.paths import drop_pairs, path_exists, shared_root
 from candlegap.sources.documents import (
     REJECTED,
     WARNING,
@@ -33,8 +33,11 @@ from candlegap.sources.files import scan_layer, scan_raw_json
 
 
 def stamp_ingest(raw: DataFrame, run_ts: str | None) -> DataFrame:
-    """Bronze: the raw records with this run's instant as ``_ingest_timestamp``."""
-    return raw.withColumn("_ingest_timestamp", timestamp_literal(run_ts))
+    """Bronze: one record per (date, pair), the one delivered last by its own stamp, with
+    symbols in upper case and this run's instant as ``_ingest_timestamp``. The delivered
+    stamps are compared before the run's one replaces them; afterwards all tie."""
+    symbols = raw.withColumns({c: F.upper(F.col(c)) for c in PAIR_KEYS})
+    return dedup_latest(symbols).withColumn("_ingest_timestamp", timestamp_literal(run_ts))
 
 
 def build_silver(bronze: DataFrame) -> DataFrame:
@@ -92,6 +95,14 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _observed_rows(obs: Observation, name: str = "rows") -> int:
+    """The observed count; 0 where the plan had nothing to observe."""
+    try:
+        return int(obs.get[name])
+    except AssertionError:
+        return 0
+
+
 def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_ts: str,
                   source: str, multi_line: bool = False) -> dict[str, int]:
     """Landed provider documents -> raw zone (JSON lines under ``pair=…``).
@@ -110,16 +121,16 @@ def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_
     )
     rows, row_obs = _observed(flatten_documents(docs, ingest_ts=ingest_ts, source=source), "raw")
     write_raw_json(rows, raw_root)
-    counts = {k: int(v) for k, v in doc_obs.get.items()}
-    counts["rows"] = int(row_obs.get["rows"])
+    counts = {k: _observed_rows(doc_obs, k) for k in ("documents", "rejected", "warnings")}
+    counts["rows"] = _observed_rows(row_obs)
     return counts
 
 
-def _existing(spark: SparkSession, root: str, schema) -> DataFrame | None:
+def _existing(spark: SparkSession, root: str) -> DataFrame | None:
     if path_exists(spark, root) is False:  # nothing written yet
         return None
     try:
-        return scan_layer(spark, root, schema=schema)
+        return scan_layer(spark, root, merge_schema=True)
     except AnalysisException:  # no JVM access to check first, and nothing there
         return None
 
@@ -135,8 +146,8 @@ def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str
     by (date, pair), incoming rows win: running the same incoming batch twice
     gives the same table.
     """
-    incoming = incoming.select(*BRONZE_SCHEMA.fieldNames())
-    old = _existing(spark, bronze_root, BRONZE_SCHEMA)
+    incoming = incoming.drop("pair")
+    old = _existing(spark, bronze_root)  # with the columns that earlier batches added
     if old is None:
         return incoming
     touched = with_pair(incoming).select("pair").distinct()
@@ -164,21 +175,36 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
         bronze = merge_into_bronze(spark, bronze, bronze_root)
     bronze, obs = _observed(bronze, "bronze")
     write_layer(bronze, bronze_root)
-    return int(obs.get["rows"])
+    return _observed_rows(obs)
+
+
+def _replace(df: DataFrame, root: str, pairs: list[str] | None) -> None:
+    """The job's result as the whole table, or as the whole content of the named pairs."""
+    if pairs is None:
+        write_layer(df, root, whole_table=True)
+    else:
+        drop_pairs(df.sparkSession, root, pairs)
+        write_layer(df, root)
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, *,
                pairs: Iterable[str] | None = None) -> int:
+    """Bronze -> silver, of all pairs or of ``pairs``. Pairs whose bars are all rejected
+    end up without rows. Returns rows written."""
+    pairs = None if pairs is None else list(pairs)
     bronze = scan_layer(spark, bronze_root, pairs=pairs, schema=BRONZE_SCHEMA)
     silver, obs = _observed(build_silver(bronze), "silver")
-    write_layer(silver, silver_root)
-    return int(obs.get["rows"])
+    _replace(silver, silver_root, pairs)
+    return _observed_rows(obs)
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, *, run_ts: str,
              pairs: Iterable[str] | None = None, levels: str = "ordered",
              fill: str = "close") -> int:
-    silver = scan_layer(spark, silver_root, pairs=pairs).drop("pair")
+    """Silver -> gold, of all pairs or of ``pairs``. Pairs that lost their gaps end up without
+    rows. Returns rows written."""
+    pairs = None if pairs is None else list(pairs)
+    silver = scan_layer(spark, silver_root, pairs=pairs, schema=SILVER_SCHEMA).drop("pair")
     gold, obs = _observed(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), "gold")
-    write_layer(gold, gold_root)
-    return int(obs.get["rows"])
+    _replace(gold, gold_root, pairs)
+    return _observed_rows(obs)

@@ -11,8 +11,7 @@ import math
 MB = 1 << 20
 
 
-def recommended_settings(input_bytes: int, *, target_partition_mb: int = 128,
-                         max_partitions: int = 100_000) -> dict[str, str]:
+def recommended_settings(input_bytes: int, *, target_partition_mb: int = 128) -> dict[str, str]:
     """Shuffle and scan sizing for ``input_bytes`` of input.
 
     The initial shuffle partition count aims at ``target_partition_mb`` per
@@ -26,7 +25,7 @@ def recommended_settings(input_bytes: int, *, target_partition_mb: int = 128,
     instrument windows) instead of shuffling both sides again by all join
     keys; pair keys have high cardinality, so this adds no skew.
     """
-    parts = max(1, min(max_partitions, math.ceil(input_bytes / (target_partition_mb * MB))))
+    parts = max(1, math.ceil(input_bytes / (target_partition_mb * MB)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

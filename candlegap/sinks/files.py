@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlegap.functions.columns import pair_id
+from candlegap.sinks.paths import drop_pairs
 
 # Microseconds survive the text round trip (Spark's default JSON timestamp
 # format keeps milliseconds only).
@@ -15,7 +16,7 @@ JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def with_pair(df: DataFrame) -> DataFrame:
-    """Add the ``pair`` directory key (upper(from) || upper(to)) if missing."""
+    """Add the ``pair`` directory key (``pair_id``) if missing."""
     return df if "pair" in df.columns else df.withColumn("pair", pair_id())
 
 
@@ -27,7 +28,10 @@ def write_raw_json(df: DataFrame, root: str, *, mode: str = "overwrite") -> None
     ``REBALANCE`` hint keeps few files per pair folder and lets adaptive
     execution split a pair too large for one writer.
     """
-    (with_pair(df).hint("rebalance", "pair").write.mode(mode)
+    rows = with_pair(df).hint("rebalance", "pair")
+    if "date" in rows.columns:  # after the exchange, so that files are in date order
+        rows = rows.sortWithinPartitions("pair", "date")
+    (rows.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
      .partitionBy("pair")
@@ -42,6 +46,7 @@ def write_layer(
     partition_by: Sequence[str] = ("pair",),
     cluster_by: Sequence[str] = ("pair",),
     fmt: str = "parquet",
+    whole_table: bool = False,
 ) -> None:
     """Bronze/silver/gold table under ``root``, partitioned by ``pair``.
 
@@ -52,6 +57,9 @@ def write_layer(
     big for one task and merges small ones -- unlike ``repartition("pair")``,
     which would send a hot pair whole to one writer.
 
+    ``whole_table=True`` replaces everything under ``root``, so that pairs
+    without rows do not keep old ones.
+
     ``partition_by=()`` writes one folder instead (for very many small
     instruments): rows are rebalanced by ``cluster_by`` and sorted by it (and
     date) within each file, so Parquet min/max statistics let a pair filter
@@ -65,11 +73,21 @@ def write_layer(
     if not partition_by and cluster_by:
         out = out.sortWithinPartitions(*cluster_by, *(["date"] if "date" in out.columns else []))
     (out.write.format(fmt).mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
      .partitionBy(*partition_by)
      .save(root))
 
 
+def replace_pairs(df: DataFrame, root: str, touched: DataFrame) -> None:
+    """Writes ``df`` as the whole content of the ``touched`` pairs (column ``pair``): a touched
+    pair without rows in ``df`` loses its folder. Only those pairs' names reach the
+    driver, one after another."""
+    write_layer(df, root)
+    gone = touched.select("pair").distinct().join(
+        with_pair(df).select("pair").distinct(), "pair", "left_anti")
+    drop_pairs(df.sparkSession, root, (r["pair"] for r in gone.toLocalIterator()))
+
+
 def write_raw_json_arrays(df: DataFrame, root: str) -> None:
     """Raw zone in the provider-file layout: JSON array files per pair folder.
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir). Only a local-mode session without one gets a fresh
-    temporary folder, set as its checkpoint dir; a cluster session must
-    name a shared folder, since a machine-local one is invisible to other
-    executors and lost with them.
+    """The folder named by ``spark.checkpoint.dir`` (or the context's checkpoint dir), or a
+    folder in the SQL warehouse, which is shared too; it then becomes the context's
+    checkpoint dir. Never a machine-local temporary folder: other executors do not see
+    it, and it is lost with its machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -24,10 +23,9 @@ def shared_root(spark: SparkSession) -> str:
         root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if sc is None or not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="candlegap-")
-    sc.setCheckpointDir(root)
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if sc is not None:
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -45,3 +43,16 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(conf).exists(jpath))
+
+
+#: Characters that a partition folder's name holds in percent form.
+_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+
+
+def drop_pairs(spark: SparkSession, root: str, pairs: Iterable[str]) -> None:
+    """Removes the folders of ``pairs`` (those that exist) from a layer's table."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for pair in pairs:
+        name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in pair)
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/pair={name}")
+        path.getFileSystem(conf).delete(path, True)

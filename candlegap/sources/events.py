@@ -18,22 +18,9 @@ from pyspark.sql import functions as F
 from candlegap.functions.columns import PRICE_TYPE
 
 
-_READERS: dict[str, tuple[SparkSession, str, DataFrame]] = {}
-
-
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The (read-only) ``events`` table; the lazy reader is reused within one
-    live session so repeated queries skip the file listing and footer read."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # Spark Connect: no local context, no reuse
-        return spark.read.parquet(path)
-    hit = _READERS.get(path)
-    if hit is None or hit[0] is not spark or hit[1] != app:
-        hit = (spark, app, spark.read.parquet(path))
-        _READERS[path] = hit
-    return hit[2]
+    """The (read-only) ``events`` table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def event_bars(events: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ picked up once (tracked in the checkpoint). Each micro-batch
    deliveries of a day win;
 2. rebuilds silver for the touched pairs only, from their bronze history
    (a ``left_semi`` join on ``pair``);
-3. rebuilds gold for the same pairs from the silver just written.
+3. rebuilds gold for the same pairs. A touched pair without rows left in silver
+   or gold loses its folder there.
 
 A bar's gap needs the next bar, so recomputing a touched pair from its full
 (calendar-bounded) history keeps gold exact without tracking dirty ranges.
@@ -29,9 +30,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlegap.plans.pipeline import build_gold, build_silver, merge_into_bronze, stamp_ingest
 from candlegap.schemas import BRONZE_SCHEMA
-from candlegap.sinks.files import with_pair, write_layer
+from candlegap.sinks.files import replace_pairs, with_pair, write_layer
 from candlegap.sinks.paths import scratch_path
-from candlegap.sources.files import scan_layer
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_root: str,
@@ -48,10 +48,10 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_r
         run_ts = datetime.now(timezone.utc).isoformat()
         merged = merge_into_bronze(spark, stamp_ingest(batch, run_ts), bronze_root)
         write_layer(merged, bronze_root)
-        write_layer(build_silver(merged), silver_root)
         touched = with_pair(batch).select("pair").distinct()
-        silver = scan_layer(spark, silver_root).join(touched, "pair", "left_semi").drop("pair")
-        write_layer(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), gold_root)
+        silver = build_silver(merged)
+        replace_pairs(silver, silver_root, touched)
+        replace_pairs(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), gold_root, touched)
     finally:
         batch.unpersist()
 

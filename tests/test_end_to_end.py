@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from candlegap import catalog
 from candlegap.plans import pipeline, reports
-from candlegap.plans.report_sql import REPORT_SQL, run_report_sql
+from candlegap.plans.named_reports import NAMED_REPORTS, register_views, run_named_report
 from candlegap.sources import scan_layer
 
 SF = "/root/testdata/sf0.001"
@@ -26,9 +26,10 @@ def test_documents_to_reports(spark, tmp_root):
     s = scan_layer(spark, silver).drop("pair")
     g = scan_layer(spark, gold).drop("pair")
     want = {r["fvg_type"]: tuple(r) for r in catalog.q_report_fill_rate(spark, SF).collect()}
-    got = {r["fvg_type"]: tuple(r) for r in run_report_sql(spark, "report_fill_rate", s, g)
+    views = register_views(s, g, prefix="end_to_end")
+    got = {r["fvg_type"]: tuple(r) for r in run_named_report(spark, "report_fill_rate", *views)
            .collect()}
     assert got == want
-    for name in REPORT_SQL:
-        assert run_report_sql(spark, name, s, g).count() > 0
+    for name in NAMED_REPORTS:
+        assert run_named_report(spark, name, *views).count() > 0
     assert reports.gap_summary(g).first()["total_fvgs"] == n_gold

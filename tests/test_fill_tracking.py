@@ -81,3 +81,14 @@ def test_first_fill_across_arrow_batches(spark):
             assert (have, g["bars_to_fill"]) == (want_date, want_bars)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_first_fill_ignores_null_prices(spark):
+    rows = [("2024-01-01", 1.0, 1.1, 0.9, 1.0), ("2024-01-02", 1.1, 1.5, 1.0, 1.4), ("2024-01-03", 1.5, 1.8, 1.3, 1.6),
+            ("2024-01-04", 1.6, 1.9, None, 1.7), ("2024-01-05", 1.7, 1.9, 1.5, 1.8)]
+    bars = spark.createDataFrame(rows, "date string, open double, high double, low double, close double").selectExpr(
+        "cast(date AS date) date", "'EUR' from_symbol", "'USD' to_symbol",
+        *[f"cast({c} AS decimal(10,5)) {c}" for c in ("open", "high", "low", "close")])
+    first = {r["date"]: r["is_filled"] for r in gap_first_fill(bars).collect()}
+    future = {r["date"]: r["is_filled"] for r in gap_fill_future(bars).collect()}
+    assert first == future and 0 in first.values()

@@ -29,7 +29,7 @@ def b(date, price, pair=("EUR", "USD"), ts=T0):
 
 def test_raw_json_array_files_round_trip(spark, tmp_root):
     # the provider-file layout: one JSON array per pair folder
-    os.makedirs(f"{tmp_root}/raw/pair=EURUSD")
+    os.makedirs(f"{tmp_root}/raw/pair=EUR_USD")
     recs = [{"date": "2024-01-02", "open": "1.1", "high": "1.2", "low": "1.0", "close": 1.15,
              "from_symbol": "EUR", "to_symbol": "USD",
              "_ingest_timestamp": "2024-01-10T12:00:00.123456+00:00"},
@@ -37,12 +37,12 @@ def test_raw_json_array_files_round_trip(spark, tmp_root):
             # isoformat() drops the fraction when microseconds are zero
             {"date": "2024-01-03", "open": "1.2", "from_symbol": "EUR", "to_symbol": "USD",
              "_ingest_timestamp": "2024-01-10T12:00:00+00:00"}]
-    with open(f"{tmp_root}/raw/pair=EURUSD/data.json", "w") as f:
+    with open(f"{tmp_root}/raw/pair=EUR_USD/data.json", "w") as f:
         json.dump(recs, f, indent=2)
     out = sorted(scan_raw_json(spark, f"{tmp_root}/raw", multi_line=True).collect())
     assert len(out) == 3
     assert out[2]["_ingest_timestamp"] == dt.datetime(2024, 1, 10, 12, 0, 0)
-    assert out[0]["high"] is None and out[0]["pair"] == "EURUSD"   # missing -> NULL
+    assert out[0]["high"] is None and out[0]["pair"] == "EUR_USD"   # missing -> NULL
     assert out[1]["close"] == "1.15"                                # number kept as text
     assert out[1]["_ingest_timestamp"] == T0
 
@@ -62,19 +62,19 @@ def test_dynamic_overwrite_replaces_only_its_pairs(spark, tmp_root):
     root = f"{tmp_root}/bronze"
     write_layer(bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-01", "150", ("USD", "JPY"))]),
                 root)
-    write_layer(bronze(spark, [b("2024-01-02", "1.3")]), root)    # EURUSD only
+    write_layer(bronze(spark, [b("2024-01-02", "1.3")]), root)    # EUR_USD only
     got = {(r["pair"], r["date"]) for r in scan_layer(spark, root).collect()}
-    assert got == {("EURUSD", "2024-01-02"), ("USDJPY", "2024-01-01")}
+    assert got == {("EUR_USD", "2024-01-02"), ("USD_JPY", "2024-01-01")}
 
 
 def test_pair_selection_prunes_partitions(spark, tmp_root):
     root = f"{tmp_root}/layer"
     write_layer(bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-01", "150", ("USD", "JPY"))]),
                 root)
-    df = scan_layer(spark, root, pairs=["usdjpy"])
+    df = scan_layer(spark, root, pairs=["usd_jpy"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(pair" in plan and "USDJPY" in plan
-    assert [r["pair"] for r in df.collect()] == ["USDJPY"]
+    assert "PartitionFilters: [isnotnull(pair" in plan and "USD_JPY" in plan
+    assert [r["pair"] for r in df.collect()] == ["USD_JPY"]
 
 
 def test_load_bronze_stamps_and_skips_empty(spark, tmp_root):
@@ -174,8 +174,8 @@ def test_unpartitioned_layer_is_clustered_by_pair(spark, tmp_root):
     rows = [b(f"2024-01-0{d}", "1.1", pair=(f"P{p}", "USD")) for p in range(6) for d in (1, 2)]
     root = f"{tmp_root}/flat"
     write_layer(bronze(spark, rows).repartition(3), root, partition_by=())
-    df = scan_layer(spark, root).filter("pair = 'P3USD'")
-    assert "EqualTo(pair,P3USD)" in df._jdf.queryExecution().executedPlan().toString()
+    df = scan_layer(spark, root).filter("pair = 'P3_USD'")
+    assert "EqualTo(pair,P3_USD)" in df._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["date"] for r in df.collect()) == ["2024-01-01", "2024-01-02"]
     assert not any(name.startswith("pair=") for name in os.listdir(root))
 
@@ -183,8 +183,8 @@ def test_unpartitioned_layer_is_clustered_by_pair(spark, tmp_root):
 def test_layer_format_is_a_parameter(spark, tmp_root):
     df = bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-01", "150", ("USD", "JPY"))])
     write_layer(df, f"{tmp_root}/orc", fmt="orc")
-    back = scan_layer(spark, f"{tmp_root}/orc", fmt="orc", pairs=["EURUSD"]).collect()
-    assert [(r["pair"], r["close"]) for r in back] == [("EURUSD", "1.1")]
+    back = scan_layer(spark, f"{tmp_root}/orc", fmt="orc", pairs=["EUR_USD"]).collect()
+    assert [(r["pair"], r["close"]) for r in back] == [("EUR_USD", "1.1")]
 
 
 def test_bronze_merge_keeps_history(spark, tmp_root):
@@ -192,20 +192,20 @@ def test_bronze_merge_keeps_history(spark, tmp_root):
     write_raw_json(bronze(spark, full), f"{tmp_root}/raw1")
     root = f"{tmp_root}/bronze"
     assert pipeline.run_bronze(spark, f"{tmp_root}/raw1", root, run_ts="2024-02-01T00:00:00Z") == 6
-    # a short delivery for EURUSD: two days updated, one day new
+    # a short delivery for EUR_USD: two days updated, one day new
     short = [b("2024-01-04", "2.0"), b("2024-01-05", "2.0"), b("2024-01-06", "2.0")]
     write_raw_json(bronze(spark, short), f"{tmp_root}/raw2")
     n = pipeline.run_bronze(spark, f"{tmp_root}/raw2", root, run_ts="2024-02-02T00:00:00Z",
                             merge=True)
-    assert n == 6                                   # EURUSD now holds 6 days
+    assert n == 6                                   # EUR_USD now holds 6 days
     got = {(r["pair"], r["date"]): r["close"] for r in scan_layer(spark, root).collect()}
-    assert got == {("EURUSD", "2024-01-01"): "1.0", ("EURUSD", "2024-01-02"): "1.0",
-                   ("EURUSD", "2024-01-03"): "1.0", ("EURUSD", "2024-01-04"): "2.0",
-                   ("EURUSD", "2024-01-05"): "2.0", ("EURUSD", "2024-01-06"): "2.0",
-                   ("USDJPY", "2024-01-01"): "150"}
+    assert got == {("EUR_USD", "2024-01-01"): "1.0", ("EUR_USD", "2024-01-02"): "1.0",
+                   ("EUR_USD", "2024-01-03"): "1.0", ("EUR_USD", "2024-01-04"): "2.0",
+                   ("EUR_USD", "2024-01-05"): "2.0", ("EUR_USD", "2024-01-06"): "2.0",
+                   ("USD_JPY", "2024-01-01"): "150"}
     # without merge the short delivery replaces the pair's history
     pipeline.run_bronze(spark, f"{tmp_root}/raw2", root, run_ts="2024-02-03T00:00:00Z")
-    assert sorted(r["date"] for r in scan_layer(spark, root, pairs=["EURUSD"]).collect()) == \
+    assert sorted(r["date"] for r in scan_layer(spark, root, pairs=["EUR_USD"]).collect()) == \
         ["2024-01-04", "2024-01-05", "2024-01-06"]
 
 
@@ -214,7 +214,49 @@ def test_array_files_when_pairs_span_many_splits(spark, tmp_root):
             for d in range(1, 21)]
     df = bronze(spark, rows).repartition(5)           # every pair spread over 5 splits
     write_raw_json_arrays(df, f"{tmp_root}/arr")
-    files = [f for f in os.listdir(f"{tmp_root}/arr/pair=P0USD") if f.endswith(".txt")]
+    files = [f for f in os.listdir(f"{tmp_root}/arr/pair=P0_USD") if f.endswith(".txt")]
     assert len(files) > 1                               # one array per (pair, split)
     back = scan_raw_json(spark, f"{tmp_root}/arr", multi_line=True).drop("pair").collect()
     assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in df.collect())
+
+
+def test_jobs_end_cleanly_on_no_rows_and_drop_what_is_gone(spark, tmp_root):
+    from candlegap.plans import pipeline
+    from candlegap.schemas import GOLD_SCHEMA, SILVER_SCHEMA
+
+    bronze_root, silver_root, gold_root = (f"{tmp_root}/{x}" for x in ("b", "s", "g"))
+    write_layer(bronze(spark, [b(f"2024-01-0{d}", f"{d}.0") for d in (1, 2, 3, 4)]), bronze_root)
+    assert pipeline.run_silver(spark, bronze_root, silver_root) == 4
+    assert pipeline.run_gold(spark, silver_root, gold_root, run_ts=T0.isoformat()) > 0
+    write_layer(bronze(spark, [b(f"2024-01-0{d}", "0") for d in (1, 2, 3, 4)]), bronze_root)
+    assert pipeline.run_silver(spark, bronze_root, silver_root) == 0
+    assert pipeline.run_gold(spark, silver_root, gold_root, run_ts=T0.isoformat()) == 0
+    assert scan_layer(spark, silver_root, schema=SILVER_SCHEMA).count() == 0
+    assert scan_layer(spark, gold_root, schema=GOLD_SCHEMA).count() == 0
+
+
+def test_pair_keys_do_not_collide(spark):
+    from candlegap.sinks.files import with_pair
+
+    rows = [("AB", "CUSD"), ("ABC", "USD"), ("abc", "usd"), ("A_B", "C"), ("A", "B_C")]
+    keys = [r["pair"] for r in with_pair(spark.createDataFrame(rows, "from_symbol string, to_symbol string")).collect()]
+    assert len(set(keys)) == 4 and keys[1] == keys[2] == "ABC_USD"
+
+
+def test_later_delivery_wins_before_the_run_stamps(spark):
+    from datetime import timedelta
+
+    from candlegap.plans.pipeline import stamp_ingest
+
+    rows = [b("2024-01-01", "2.0"), b("2024-01-01", "1.0", ts=T0 + timedelta(days=1))]
+    out = stamp_ingest(bronze(spark, rows), "2024-02-01T00:00:00Z").collect()
+    assert [r["close"] for r in out] == ["1.0"]
+
+
+def test_merge_keeps_columns_that_came_later(spark, tmp_root):
+    from candlegap.plans.pipeline import merge_into_bronze
+
+    root = f"{tmp_root}/bronze"
+    write_layer(bronze(spark, [b("2024-01-01", "1.0")]).withColumn("note", F.lit("kept")), root)
+    out = merge_into_bronze(spark, bronze(spark, [b("2024-01-02", "1.1")]), root)
+    assert {(r["date"], r["note"]) for r in out.collect()} == {("2024-01-01", "kept"), ("2024-01-02", None)}

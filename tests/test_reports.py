@@ -1,4 +1,4 @@
-"""Reports: values on hand-made tables, SQL text = DataFrame versions."""
+"""Reports: values on hand-made tables, named tables = DataFrame versions."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 
 from candlegap.catalog import gaps_ordered, silver
 from candlegap.plans import reports
-from candlegap.plans.report_sql import REPORT_SQL, run_report_sql
+from candlegap.plans.named_reports import NAMED_REPORTS, register_views, run_named_report
 from candlegap.operators import detect_gaps, gap_fill_close
 from tests.helpers import silver_bars
 from candlegap.operators.enrich import derive_fields
@@ -25,13 +25,13 @@ def layers(spark):
     g.unpersist()
 
 
-@pytest.mark.parametrize("name", sorted(REPORT_SQL))
-def test_sql_text_equals_dataframe_report(spark, layers, name):
+@pytest.mark.parametrize("name", sorted(NAMED_REPORTS))
+def test_named_tables_equal_dataframe_report(spark, layers, name):
     s, g = layers
     df_fn = getattr(reports, name)
     want = df_fn(s, g) if name == "report_volatility" else (
         df_fn(s) if name == "report_largest_moves" else df_fn(g))
-    got = run_report_sql(spark, name, s, g)
+    got = run_named_report(spark, name, *register_views(s, g, prefix="test"))
     assert got.columns == want.columns
     assert got.collect() == want.collect()
 

@@ -26,28 +26,28 @@ def bars(spark, pair, closes, start=1):
 def test_refresh_stream(spark, tmp_root):
     raw, ck = f"{tmp_root}/raw", f"{tmp_root}/ck"
     roots = [f"{tmp_root}/{x}" for x in ("bronze", "silver", "gold")]
-    # a rising EURUSD (bullish gaps) and a flat USDJPY (none)
+    # a rising EUR_USD (bullish gaps) and a flat USD_JPY (none)
     eur = bars(spark, ("EUR", "USD"), [1.0, 1.1, 1.2, 1.3, 1.4])
     jpy = bars(spark, ("USD", "JPY"), [150.0] * 5)
     write_raw_json(eur.unionByName(jpy), raw)
     start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
     gold = scan_layer(spark, roots[2])
     assert {(r["pair"], str(r["date"])) for r in gold.collect()} == {
-        ("EURUSD", "2024-01-02"), ("EURUSD", "2024-01-03"), ("EURUSD", "2024-01-04")}
-    jpy_files = sorted(glob.glob(f"{roots[1]}/pair=USDJPY/*.parquet"))
+        ("EUR_USD", "2024-01-02"), ("EUR_USD", "2024-01-03"), ("EUR_USD", "2024-01-04")}
+    jpy_files = sorted(glob.glob(f"{roots[1]}/pair=USD_JPY/*.parquet"))
     jpy_mtimes = [os.path.getmtime(f) for f in jpy_files]
 
-    # re-deliver EURUSD from the 3rd flat: the later delivery must win
+    # re-deliver EUR_USD from the 3rd flat: the later delivery must win
     write_raw_json(bars(spark, ("EUR", "USD"), [1.2, 1.2, 1.2], start=3), raw, mode="append")
     start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
     silver = {str(r["date"]): r["close"] for r in
-              scan_layer(spark, roots[1], pairs=["EURUSD"]).collect()}
+              scan_layer(spark, roots[1], pairs=["EUR_USD"]).collect()}
     assert [float(silver[f"2024-01-0{i}"]) for i in range(1, 6)] == [1.0, 1.1, 1.2, 1.2, 1.2]
-    gold = scan_layer(spark, roots[2], pairs=["EURUSD"]).collect()
+    gold = scan_layer(spark, roots[2], pairs=["EUR_USD"]).collect()
     # bar 4's gap (1.31 < 1.39 before) is gone; bars 2 and 3 keep theirs
     assert sorted(str(r["date"]) for r in gold) == ["2024-01-02", "2024-01-03"]
     # the untouched pair was not rewritten
-    assert sorted(glob.glob(f"{roots[1]}/pair=USDJPY/*.parquet")) == jpy_files
+    assert sorted(glob.glob(f"{roots[1]}/pair=USD_JPY/*.parquet")) == jpy_files
     assert [os.path.getmtime(f) for f in jpy_files] == jpy_mtimes
 
     # nothing new: the stream has nothing to do and changes nothing
