@@ -47,8 +47,9 @@ FREQUENT = 1 << 20
 FREQUENT_DOCS = 4
 #: Hashes that a task holds before it counts them.
 COUNTED_AT_ONCE = 2_000_000
-#: Least hashes kept of each set, and how many of them name its buckets in step 4.
-LOW, STARS, LEADERS = 16, 8, 3
+#: Least hashes kept of each set, how many of them name its buckets in step 4, and how many
+#: leaders a large bucket has, and a small one.
+LOW, STARS, LEADERS, FEW = 16, 8, 16, 3
 BITMAP_BITS = 1 << 23
 #: Longs of a set's parity bitmap.
 PARITY_LONGS = 16
@@ -174,8 +175,9 @@ def star_pairs(classes: DataFrame) -> DataFrame:
     sought = known.join(known.groupBy("cid").agg(F.sum("size").alias("sought")), "cid")
     leaders = (sought.groupBy("v", "band").agg(F.array(
         F.max(F.struct("sought", F.xxhash64("cid"), "cid"))["cid"],
-        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"))
-        .select("v", "band", F.explode("leaders").alias("a")))
+        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"),
+        F.greatest(F.lit(FEW), F.least(F.lit(LEADERS), F.max("size") / 8)).cast("int").alias("wanted"))
+        .select("v", "band", F.explode(F.slice("leaders", F.lit(1), F.col("wanted"))).alias("a")))
     pairs = known.join(leaders, ["v", "band"]).select("a", F.col("cid").alias("b"))
     head = classes.groupBy("grp").agg(F.min("cid").alias("a"))
     in_group = classes.join(head, "grp").select("a", F.col("cid").alias("b"))
