@@ -14,9 +14,11 @@ components of its links, by a grouped prefix join.
    does not make all its pairs. This step may miss links; the next one finds the rest.
 5. **Join.** Groups are joined on prefix shingles where their components differ, their sizes
    are within the bound and the places of the shared shingle leave room for the needed
-   overlap; the number of shared shingles bounds the overlap of a pair once more. Group pairs
-   are expanded to their members, pairs whose parity bitmaps differ in more bits than similar
-   sets can differ in hashes are dropped, and each pair left is verified on whole sets.
+   overlap; the number of shared shingles bounds the overlap of a pair once more. Pairs whose
+   parity bitmaps differ in more bits than similar sets can differ in hashes are no links: a
+   frequent shingle of a group of one carries the bitmap into the join, so many sets just
+   below the threshold make no rows there. Group pairs are expanded to their members, compared
+   by bitmap, and each pair left is verified on whole sets.
 
 Whole sets are never shuffled for all documents: candidates' sets are made anew from the
 texts that a bitmap of fixed size admits (a filter only: what it admits wrongly is dropped by
@@ -45,14 +47,15 @@ from candlegap.llm.shingles import shingle_sets
 #: Frequent shingles known to all tasks: at most so many, each in at least so many documents.
 FREQUENT = 1 << 20
 FREQUENT_DOCS = 4
-#: Hashes that a task holds before it counts them.
-COUNTED_AT_ONCE = 2_000_000
+#: Hashes that a task holds before it counts them, and input splits that one task counts: a
+#: shingle met once in a task is left out, so a task should meet many documents.
+COUNTED_AT_ONCE, SPLITS_COUNTED = 2_000_000, 16
 #: Least hashes kept of each set, how many of them name its buckets in step 4, and how many
-#: leaders a large bucket has, and a small one.
-LOW, STARS, LEADERS, FEW = 16, 8, 16, 3
+#: leaders a bucket has.
+LOW, STARS, LEADERS = 16, 8, 3
 BITMAP_BITS = 1 << 23
 #: Longs of a set's parity bitmap.
-PARITY_LONGS = 16
+PARITY_LONGS = 8
 
 Frequent = tuple[np.ndarray, np.ndarray]
 
@@ -83,11 +86,13 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
                 n += len(s)
                 if n >= COUNTED_AT_ONCE:
                     yield out()
-                    held, n, seen = [], 0, set()
+                    held, n, seen = [], 0, set()  # nothing outlives a count, so memory stays bounded
         if held:
             yield out()
 
-    counted = (docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    splits = docs.rdd.getNumPartitions()  # planned, not run
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, splits // SPLITS_COUNTED)
+    counted = (docs.select("text").coalesce(tasks).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
                .where(F.col("n") >= FREQUENT_DOCS).orderBy(F.desc("n"), "h").limit(FREQUENT))
     table = counted.toPandas()  # at most FREQUENT rows
     h = table["h"].to_numpy(np.int64).view(np.uint64)
@@ -96,14 +101,19 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
     return h[order], rank[order]
 
 
+def _places(s: np.ndarray, frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the frequent shingles, whether it is one) of each shingle."""
+    known, _ = frequent
+    if not len(known):
+        return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
+    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+    return at, known[at] == s
+
+
 def in_order(s: np.ndarray, frequent: Frequent) -> np.ndarray:
     """A set (ascending) in the global order."""
-    known, rank = frequent
-    if not len(known) or not len(s):
-        return s
-    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-    hot = known[at] == s
-    return np.concatenate([s[~hot], s[hot][np.argsort(rank[at[hot]], kind="stable")]])
+    at, hot = _places(s, frequent)
+    return np.concatenate([s[~hot], s[hot][np.argsort(frequent[1][at[hot]], kind="stable")]])
 
 
 def prefix_of(s: np.ndarray, frequent: Frequent) -> np.ndarray:
@@ -143,17 +153,20 @@ def described(docs: DataFrame, frequent: Broadcast) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, frequent: Broadcast) -> DataFrame:
-    """``sig, prefix`` of every distinct set."""
+    """``sig, prefix`` of every distinct set, and the place of its first frequent shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in sliced(batches):
             sets = {digest(s): s for s in shingle_sets(cols["text"]) if len(s)}  # copies in a slice once
+            firsts = [prefix_of(s, frequent.value) for s in sets.values()]
             yield pa.RecordBatch.from_pydict({
                 "sig": pa.array(list(sets), pa.binary()),
-                "prefix": pa.array([prefix_of(s, frequent.value).view(np.int64) for s in sets.values()],
-                                   pa.list_(pa.int64()))})
+                "prefix": pa.array([p.view(np.int64) for p in firsts], pa.list_(pa.int64())),
+                "hot_at": pa.array([len(p) - np.count_nonzero(_places(p, frequent.value)[1]) for p in firsts],
+                                   pa.int32())})
 
-    return docs.select("text").mapInArrow(run, "sig binary, prefix array<long>").dropDuplicates(["sig"])
+    return (docs.select("text").mapInArrow(run, "sig binary, prefix array<long>, hot_at int")
+            .dropDuplicates(["sig"]))
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -175,9 +188,8 @@ def star_pairs(classes: DataFrame) -> DataFrame:
     sought = known.join(known.groupBy("cid").agg(F.sum("size").alias("sought")), "cid")
     leaders = (sought.groupBy("v", "band").agg(F.array(
         F.max(F.struct("sought", F.xxhash64("cid"), "cid"))["cid"],
-        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"),
-        F.greatest(F.lit(FEW), F.least(F.lit(LEADERS), F.max("size") / 8)).cast("int").alias("wanted"))
-        .select("v", "band", F.explode(F.slice("leaders", F.lit(1), F.col("wanted"))).alias("a")))
+        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"))
+        .select("v", "band", F.explode("leaders").alias("a")))
     pairs = known.join(leaders, ["v", "band"]).select("a", F.col("cid").alias("b"))
     head = classes.groupBy("grp").agg(F.min("cid").alias("a"))
     in_group = classes.join(head, "grp").select("a", F.col("cid").alias("b"))
@@ -197,26 +209,40 @@ def _needed(a: Column, b: Column) -> Column:
     return F.lit(4) * (a + b)
 
 
+def _may_link(a: str, b: str, sizes: Column) -> Column:
+    """Whether two parity bitmaps differ in so few bits as similar sets of these sizes in sum
+    can: with the needed overlap, sets differ in at most a ninth of that sum of hashes."""
+    differ = F.lit(0)
+    for k in range(PARITY_LONGS):
+        differ = differ + F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
+    return differ * 9 <= sizes
+
+
 def candidate_pairs(docs: DataFrame, frequent: Broadcast, classes: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of classes in different components that the prefixes do not exclude."""
     members = (classes.select("cid", "grp", "n").join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
                .select("cid", "grp", F.coalesce("root", "cid").alias("comp")))
     # one entry per group and prefix shingle; a group whose members are linked has their component
-    groups = members.groupBy("grp").agg(F.min("cid").alias("gid"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-    heads = (classes.select("cid", "sig", "n").join(groups.select(
-        F.col("gid").alias("cid"), F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(-1 - F.col("gid")).alias("comp")), "cid"))
+    groups = members.groupBy("grp").agg(F.min("cid").alias("gid"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+                                        F.count(F.lit(1)).alias("size"))
+    heads = (classes.select("cid", "sig", "n", "parity").join(groups.select(
+        F.col("gid").alias("cid"), F.when(F.col("c0") == F.col("c1"), F.col("c0")).otherwise(-1 - F.col("gid")).alias("comp"),
+        "size"), "cid").withColumn("parity", F.when(F.col("size") == 1, F.col("parity"))))
     entries = (prefixes(docs, frequent).join(heads, "sig")
-               .select(F.col("cid").alias("g"), "comp", "n", F.posexplode("prefix").alias("at", "token"))
+               .select(F.col("cid").alias("g"), "comp", "n", "parity", "hot_at", F.posexplode("prefix").alias("at", "token"))
                # size and place in one column: this is the largest exchange of the join
-               .select("token", "g", "comp", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("n_at")))
+               .select("token", "g", "comp", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("n_at"),
+                       F.when(F.col("at") >= F.col("hot_at"), F.col("parity")).alias("parity")))
     left, right = (entries.select("token", F.col("g").alias(f"g{k}"), F.col("comp").alias(f"comp{k}"),
+                                  F.col("parity").alias(f"parity{k}"),
                                   F.shiftright("n_at", 32).alias(f"n{k}"),
                                   F.col("n_at").bitwiseAND(F.lit((1 << 32) - 1)).alias(f"at{k}")) for k in (1, 2))
     room = F.lit(9) * F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))
     need = _needed(F.col("n1"), F.col("n2"))
     shared = left.join(right, "token").where(
         (F.col("g1") < F.col("g2")) & (F.col("comp1") != F.col("comp2"))
-        & (F.col("n1") * 5 >= F.col("n2") * 4) & (F.col("n2") * 5 >= F.col("n1") * 4) & (room >= need))
+        & (F.col("n1") * 5 >= F.col("n2") * 4) & (F.col("n2") * 5 >= F.col("n1") * 4) & (room >= need)
+        & F.coalesce(_may_link("parity1", "parity2", F.col("n1") + F.col("n2")), F.lit(True)))
     pairs = (shared.groupBy("g1", "g2").agg(
         F.count(F.lit(1)).alias("c"), F.first("n1").alias("n1"), F.first("n2").alias("n2"),
         F.max("at1").alias("at1"), F.max("at2").alias("at2"))
@@ -248,9 +274,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
     """The pairs whose whole sets have a similarity of 0.8 or more (a written table)."""
     one, two = (classes.select(F.col("cid").alias(x), F.col("sig").alias(f"sig{x}"), F.col("n").alias(f"n{x}"),
                                F.col("parity").alias(f"p{x}")) for x in "ab")
-    # sets of sizes n and m with the needed overlap differ in at most (n + m) / 9 hashes
-    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    pairs = written(pairs.join(one, "a").join(two, "b").where(differ * 9 <= F.col("na") + F.col("nb"))
+    pairs = written(pairs.join(one, "a").join(two, "b").where(_may_link("pa", "pb", F.col("na") + F.col("nb")))
                     .select("a", "b", "siga", "sigb"), "pairs")
     cids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(classes, cids))
