@@ -56,7 +56,10 @@ LOW, STARS, LEADERS = 16, 8, 3
 BITMAP_BITS = 1 << 23
 #: Longs of a set's parity bitmap.
 PARITY_LONGS = 8
+#: Steps of the counts of shingles in one doubling; bounds the histogram that chooses the list.
+STEPS = 8
 
+#: Hashes in ascending order, and their ranks by frequency.
 Frequent = tuple[np.ndarray, np.ndarray]
 
 
@@ -66,7 +69,7 @@ def prefix_length(n: int) -> int:
 
 
 def frequent_shingles(docs: DataFrame) -> Frequent:
-    """(hashes in ascending order, their ranks by frequency) of the frequent shingles."""
+    """The frequent shingles, from counts of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n, seen = [], 0, set()
@@ -92,18 +95,27 @@ def frequent_shingles(docs: DataFrame) -> Frequent:
 
     splits = docs.rdd.getNumPartitions()  # planned, not run
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, splits // SPLITS_COUNTED)
-    counted = (docs.select("text").coalesce(tasks).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-               .where(F.col("n") >= FREQUENT_DOCS).orderBy(F.desc("n"), "h").limit(FREQUENT))
-    table = counted.toPandas()  # at most FREQUENT rows
-    h = table["h"].to_numpy(np.int64).view(np.uint64)
+    counted = written(docs.select("text").coalesce(tasks).mapInArrow(run, "h long, n long").groupBy("h")
+                      .agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_DOCS), "counts")
+    step = F.floor(F.log2(F.col("n").cast("double")) * STEPS)
+    first, total = 0, 0  # the most frequent steps that fit, each whole: at most 64 * STEPS rows to read
+    for row in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("shingles")).orderBy(F.desc("step")).collect():
+        total += row["shingles"]
+        if total > FREQUENT:
+            first = row["step"] + 1
+            break
+    table = counted.where(step >= first).toArrow()  # at most FREQUENT rows, by Arrow: no row objects on the driver
+    h, n = (table[c].to_numpy() for c in ("h", "n"))
+    rank = np.empty(len(h), np.int32)
+    rank[np.lexsort((h, -n))] = np.arange(len(h), 0, -1, dtype=np.int32)  # the most frequent one last
+    h = h.view(np.uint64)
     order = np.argsort(h)
-    rank = np.arange(len(h), 0, -1, dtype=np.int32)  # the most frequent one last
     return h[order], rank[order]
 
 
 def _places(s: np.ndarray, frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
     """(place among the frequent shingles, whether it is one) of each shingle."""
-    known, _ = frequent
+    known = frequent[0]
     if not len(known):
         return np.zeros(len(s), np.int64), np.zeros(len(s), bool)
     at = np.minimum(np.searchsorted(known, s), len(known) - 1)
@@ -264,9 +276,9 @@ def _bitmap(classes: DataFrame, cids: DataFrame) -> np.ndarray:
     at = F.pmod(F.xxhash64("rep"), F.lit(BITMAP_BITS))
     words = (classes.join(cids, "cid", "left_semi").select(F.shiftright(at, 6).alias("w"), F.expr(
         f"shiftleft(1L, cast(pmod(xxhash64(rep), {BITMAP_BITS}) % 64 AS int))").alias("bit"))
-        .groupBy("w").agg(F.bit_or("bit").alias("bits"))).toPandas()  # at most BITMAP_BITS / 64 rows
+        .groupBy("w").agg(F.bit_or("bit").alias("bits"))).toArrow()  # at most BITMAP_BITS / 64 rows
     bits = np.zeros(BITMAP_BITS // 64, np.uint64)
-    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    bits[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return bits
 
 
@@ -309,6 +321,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     near = verified(docs, classes, star_pairs(classes))
     roots = written(connected_components(near), "roots")
     rest = verified(docs, classes, candidate_pairs(docs, frequent, classes, roots))
+    frequent.unpersist()  # the rows read from here on are written
     # links of the join connect what the stars have connected
     final = connected_components(near.unionByName(rest))
     named = (classes.select("cid", "sig", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left")
