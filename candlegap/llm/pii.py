@@ -2,18 +2,27 @@
 
 Base spans (emails, IP addresses, card and phone numbers) come from patterns with checks.
 The corpus then tells which ordinary words give a found entity away. With N documents,
-df(e) documents that hold entity e, df(t) that hold term t and df(t, e) that hold t within
-``WINDOW`` words of e:
+df(e) documents that hold entity e, df(t) that hold term t and df(t, e) that hold both,
+anywhere in them:
 
     IC(e) = log2(N / df(e))            what naming e tells
     PMI(t, e) = log2(N df(t, e) / (df(t) df(e)))   what t tells about e
     disclosure(t, e) = PMI(t, e) / IC(e)           1: whoever reads t knows e
 
-A term is sanitised beside e where its disclosure is at least ``DISCLOSURE`` and it was
-seen beside e in at least ``MIN_CONTEXTS`` different contexts (copies of one passage are one
-context, so words of a text that was merely copied are left alone). From ``REMOVE`` on it is
-removed, below that generalised to a class mark. All counts cover all documents: words are
-counted in each task's table before they are shuffled.
+Documents that hold e in one passage (equal ``WINDOW`` terms on both sides; of a document's
+passages of e the one of least hash stands for it) are copies and count once in all four
+numbers of a pair, however often a document repeats e or t.
+
+A term is sanitised where its disclosure is at least ``DISCLOSURE`` and meeting in so many
+documents is no chance: the Chernoff bound of the hypergeometric tail, times the number of
+terms that e is met with (Bonferroni), is at most ``CHANCE``. No number of documents is asked
+for, so an entity met once is decided too: a term of its document alone, one among m terms,
+goes where m / N is at most ``CHANCE``. A term goes at each of its places in each document
+that holds e. From ``REMOVE`` on it is removed, below that generalised to a class mark.
+
+All counts cover all documents: words are counted in each task's table before they are
+shuffled. Terms too frequent for the threshold, whatever they are met with, are left out
+before terms meet entities. Keys that many rows share are joined by broadcast.
 
 Defined results: NULL and empty texts have no spans; offsets are code points of the whole
 text, end exclusive; repeated rows (also with equal or NULL ``doc_id``) are separate
@@ -38,11 +47,13 @@ from candlegap.llm.common import read_table, sliced, written
 #: Kinds in the order that breaks ties of the start.
 KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 6
-MIN_CONTEXTS = 3
+CHANCE = 0.05
 DISCLOSURE = 0.8
 REMOVE = 0.95
 #: Distinct terms that a task counts before it hands them on.
 TABLE_TERMS = 300_000
+#: A key that more than one row in so many has is joined by broadcast.
+COMMON = 100
 
 # A run that fails once fails from each later position in it, so a match may begin only where
 # a run begins or where the match before it ended: linear time on very long runs.
@@ -96,33 +107,36 @@ def _hash(value: str) -> int:
     return xxhash.xxh3_64_intdigest(value.encode("utf-8")) - (1 << 63)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
-    """The terms beside each base span: entity, term, its place, and the context's hash."""
+def contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> tuple[list[dict], list[dict]]:
+    """The entities of a text, each with the hash of the passage that stands for it, and
+    the terms outside the spans, each with its places."""
     if not spans:
-        return []
+        return [], []
     ends = [e for _, _, e in spans]
-    terms = []
+    terms, places = [], {}
     for m in _TERM.finditer(text):
         k = bisect.bisect_right(ends, m.start())
         if all(s >= m.end() or e <= m.start() for s, _, e in spans[max(0, k - 2):k + 3]):
-            terms.append((m.start(), m.end(), m[0].lower()))
-    starts, out = [t[0] for t in terms], []
+            term = m[0].lower()
+            terms.append((m.start(), term))
+            places.setdefault(term, []).append({"start": m.start(), "end": m.end()})
+    starts, least = [t[0] for t in terms], {}
     for s, kind, e in spans:
         entity = _hash(f"{kind}:{text[s:e].lower()}")
         at = bisect.bisect_left(starts, s)
-        near = terms[max(0, at - window):at + window]
-        ctx = _hash(" ".join(t for _, _, t in near))
-        out += [{"entity": entity, "term": t, "start": a, "end": b, "ctx": ctx} for a, b, t in near]
-    return out
+        ctx = _hash(" ".join(t for _, t in terms[max(0, at - window):at + window]))
+        least[entity] = min(ctx, least.get(entity, ctx))
+    return ([{"entity": e, "ctx": c} for e, c in least.items()],
+            [{"term": t, "places": p} for t, p in places.items()])
 
 
 FOUND = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-         "base array<struct<start:int,kind:int,end:int>>, "
-         "near array<struct<entity:long,term:string,start:int,end:int,ctx:long>>")
+         "base array<struct<start:int,kind:int,end:int>>, entities array<struct<entity:long,ctx:long>>, "
+         "words array<struct<term:string,places:array<struct<start:int,end:int>>>>")
 
 
 def detect(docs: DataFrame, kept: list[str], text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Base spans and their contexts, a written table: columns ``doc`` (a struct of the
+    """Base spans, entities and the terms of their documents, a written table: columns ``doc`` (a struct of the
     input's ``kept`` columns), those of FOUND, and ``row``, a number for the row."""
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(f"`{text}`").alias("text"))
     schema = T.StructType([given.schema["doc"], *T.StructType.fromDDL(FOUND).fields])
@@ -141,7 +155,9 @@ def detect(docs: DataFrame, kept: list[str], text: str = "text", window: int = W
                     joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
                     rows["base_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
                     rows["base"].append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                    rows["near"].append(contexts(value, spans, window) if spans else [])
+                    entities, words = contexts(value, spans, window)
+                    rows["entities"].append(entities)
+                    rows["words"].append(words)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).cast(arrow.field(0).type), *(pa.array(rows[f.name], f.type) for f in list(arrow)[1:])],
                     schema=arrow)
@@ -162,7 +178,7 @@ def term_documents(docs: DataFrame, text: str = "text") -> DataFrame:
         for cols in sliced(batches):
             for value in cols["text"]:
                 if value:
-                    table.update(set(_TERM.findall(value.lower())))
+                    table.update({t.lower() for t in set(_TERM.findall(value))})
             if len(table) >= TABLE_TERMS:
                 yield out()
                 table.clear()
@@ -173,30 +189,74 @@ def term_documents(docs: DataFrame, text: str = "text") -> DataFrame:
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
-def revealing_terms(found: DataFrame, docs: DataFrame, text: str = "text", min_contexts: int = MIN_CONTEXTS,
-                    disclosure: float = DISCLOSURE) -> DataFrame:
-    """``entity, term, disclosure`` of the terms that give an entity away."""
-    n = found.count()
-    near = found.select("row", F.explode("near").alias("c")).select("row", "c.entity", "c.term", "c.ctx")
-    # copies of one context are one row before anything is counted per pair
-    pairs = (near.groupBy("entity", "term", "ctx").agg(F.count_distinct("row").alias("rows"))
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("both"))
-             .where(F.col("contexts") >= min_contexts))
-    entities = near.groupBy("entity").agg(F.count_distinct("row").alias("df_entity"))
-    terms = term_documents(docs, text).withColumnRenamed("n", "df_term")
-    ic = F.log2(F.lit(float(max(n, 1))) / F.col("df_entity"))
-    pmi = F.log2(F.col("both") * F.lit(float(max(n, 1))) / (F.col("df_term") * F.col("df_entity")))
-    return (pairs.join(entities, "entity").join(terms, "term")
-            .withColumn("disclosure", F.when(ic > 0, pmi / ic))
-            .where(F.col("disclosure") >= disclosure).select("entity", "term", "disclosure"))
-
-
-def term_spans(found: DataFrame, revealing: DataFrame) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, key: list[str], count: str, rows: float) -> DataFrame:
+    """``left`` joined with ``right``, of whose ``key`` ``count`` tells about how many rows of
+    ``left`` have it: keys with more than a ``COMMON``-th of ``rows`` go by broadcast."""
+    common = F.broadcast(right.where(F.col(count) > max(rows / COMMON, COMMON)))
+    rest = right.where(F.col(count) <= max(rows / COMMON, COMMON))
+    return (left.join(common, key)
+            .unionByName(left.join(common.select(key), key, "left_anti").join(rest, key)))
+
+
+def _exponent(n: Column, k: Column, p: Column) -> Column:
+    """-ln of the Chernoff bound that at least ``k`` of ``n`` draws hit, each with chance ``p``."""
+    a = k / n
+    rest = F.when(a < 1, (1 - a) * F.log((1 - a) / (1 - p))).otherwise(0.0)
+    return F.when(a > p, n * (a * F.log(a / p) + rest)).otherwise(0.0)
+
+
+def candidates(found: DataFrame, docs: DataFrame, n: int, text: str = "text",
+               disclosure: float = DISCLOSURE) -> DataFrame:
+    """``row, ctx, term, df_term, e`` for each entity (the struct ``e``: entity, its documents,
+    passages, and terms tested) and each term of its document that is rare enough to reveal it."""
+    private = found.where(F.size("entities") > 0)
+    held = private.select("row", F.size("words").alias("m"), F.explode("entities").alias("x")).select("row", "m", "x.*")
+    entities = (held.groupBy("entity", "ctx").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m"))
+                .groupBy("entity").agg(F.sum("n").alias("df"), F.count(F.lit(1)).alias("passages"), F.sum("m").alias("m")))
+    entities = written(entities, "pii-entities")
+    total = F.col("n_docs") - F.col("df") + F.col("passages")
+    # at most df - passages of a term's documents are copies, and the others must be few
+    most = F.col("df") - F.col("passages") + total * F.pow(F.col("passages") / total, F.lit(disclosure))
+    entities = (entities.withColumn("n_docs", F.lit(float(n))).withColumn("most", most * (1 + 1e-9))
+                .select("entity", "df", F.struct("entity", "df", "passages", "m").alias("e"), "most"))
+    n_held = entities.agg(F.sum("df")).first()[0] or 0
+    held = _joined(held.select("row", "entity", "ctx"), entities, ["entity"], "df", n_held).select("row", "ctx", "e", "most")
+    held = written(held, "pii-held")
+    terms = written(term_documents(docs, text).withColumnRenamed("n", "df_term"), "pii-terms")
+    words = private.select("row", F.explode("words.term").alias("term"))
+    words = words.join(held.groupBy("row").agg(F.max("most").alias("row_most")), "row")
+    words = _joined(words, terms, ["term"], "df_term", n).where("df_term <= row_most").select("row", "term", "df_term")
+    near = held.join(words, "row").where("df_term <= most").select("row", "ctx", "term", "df_term", "e")
+    return written(near, "pii-candidates")
+
+
+def revealing_terms(near: DataFrame, n: int, chance: float = CHANCE, disclosure: float = DISCLOSURE) -> DataFrame:
+    """``entity, term, both, disclosure`` of the terms that give an entity away, from ``candidates``."""
+    pairs = (near.groupBy("e", "term", "df_term", "ctx").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("e", "term", "df_term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("k")))
+    # every number without the copies
+    total = F.lit(float(n)) - F.col("e.df") + F.col("e.passages")
+    of_e, of_t, k = F.col("e.passages"), F.col("df_term") - F.col("both") + F.col("k"), F.col("k")
+    ic = F.log2(total / of_e)
+    pmi = F.log2(k * total / (of_t * of_e))
+    exponent = F.greatest(_exponent(of_e, k, of_t / total), _exponent(of_t, k, of_e / total))
+    return (pairs.withColumn("disclosure", F.when(ic > 0, pmi / ic))
+            .where((F.col("disclosure") >= disclosure) & (exponent >= F.log(F.col("e.m") / F.lit(chance))))
+            .select("e.entity", "term", "both", "disclosure"))
+
+
+def term_spans(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """``row, terms``: the spans of revealing terms of each row that has some."""
-    near = found.select("row", F.explode("near").alias("c")).select("row", "c.entity", "c.term", "c.start", "c.end")
-    return (near.join(revealing, ["entity", "term"])
-            .groupBy("row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-            .groupBy("row").agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", "disclosure")).alias("terms")))
+    n = found.count()
+    near = candidates(found, docs, n, text)
+    revealing = written(revealing_terms(near, n), "pii-revealing")
+    n_near = near.count()
+    rows = (_joined(near.select("row", "e.entity", "term"), revealing, ["entity", "term"], "both", n_near)
+            .groupBy("row", "term").agg(F.max("disclosure").alias("disclosure")))
+    words = (found.where(F.size("entities") > 0).select("row", F.explode("words").alias("w"))
+             .select("row", "w.term", "w.places"))
+    return (words.join(rows, ["row", "term"]).select("row", "disclosure", F.explode("places").alias("p"))
+            .groupBy("row").agg(F.collect_list(F.struct("p.start", F.lit(4).alias("kind"), "p.end", "disclosure")).alias("terms")))
 
 
 def all_spans() -> Column:
@@ -216,7 +276,7 @@ def spans_string(spans: Column) -> Column:
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """Counts and spans of personal data and revealing terms, one row per document."""
     found = detect(docs, ["doc_id"], text)
-    spans = term_spans(found, revealing_terms(found, docs, text))
+    spans = term_spans(found, docs, text)
     return found.join(spans, "row", "left").select(
         "doc.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans_string(all_spans()).alias("spans"))
 
@@ -240,7 +300,7 @@ def cleaned(text: str | None, spans: list[dict]) -> str | None:
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the text sanitised."""
     found = detect(docs, docs.columns, text)
-    spans = term_spans(found, revealing_terms(found, docs, text))
+    spans = term_spans(found, docs, text)
     schema, place = docs.schema, docs.columns.index(text)
     arrow = to_arrow_schema(schema)
 

@@ -114,6 +114,18 @@ def test_terms_that_reveal_an_entity_are_removed(spark):
     assert "zyxclinic" not in text and "[EMAIL]" in text and "note" in text
 
 
+def test_an_entity_met_once_is_decided(spark):
+    between = " ".join(["some text about this and that"] * 5)
+    rows = [(0, f"zyxclinic here, {between}, mail jo@x.org, {between}, the ZyxClinic there")]
+    rows += [(i, f"some text about this and that mail here the there, {between}") for i in range(1, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    first = rows[0][1]
+    places = [first.index("zyxclinic"), first.index("ZyxClinic")]  # both far from the address
+    assert [s for s in found[0].split(",") if s.startswith("term")] == [f"term:{p}:{p + 9}" for p in places]
+    assert {found[i] for i in range(1, 600)} == {""}
+
+
 def test_copies_reveal_nothing(spark):
     docs = spark.createDataFrame([(i, "rare words beside jo@x.org in one copied text") for i in range(9)], "doc_id long, text string")
     assert {r["spans"].count("term") for r in pii.personal_data(docs).collect()} == {0}
