@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -126,6 +127,20 @@ def test_an_entity_met_once_is_decided(spark):
     assert {found[i] for i in range(1, 600)} == {""}
 
 
+def test_a_document_counts_once_however_often_it_repeats_an_entity(spark):
+    # "common" stands beside the address in 40 different contexts of one document
+    listed = " ".join(f"common {chr(97 + i % 26) * 3}{chr(97 + i // 26) * 4} mail jo@x.org" for i in range(40))
+    rows = [(0, listed)] + [(i, f"{'common' if i < 30 else 'other'} words are here") for i in range(1, 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.detect(docs, ["doc_id"])
+    near = pii.candidates(found, docs, 900, disclosure=0.1)
+    counts = {r["term"]: (r["both"], r["disclosure"]) for r in pii.revealing_terms(near, 900, chance=1e9, disclosure=0.1).collect()}
+    assert counts["common"][0] == 1 and counts["common"][1] == pytest.approx(math.log2(900 / 30) / math.log2(900))
+    spans = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}[0].split(",")
+    at = listed.index("common")
+    assert f"term:{at}:{at + 6}" not in spans
+
+
 def test_copies_reveal_nothing(spark):
     docs = spark.createDataFrame([(i, "rare words beside jo@x.org in one copied text") for i in range(9)], "doc_id long, text string")
     assert {r["spans"].count("term") for r in pii.personal_data(docs).collect()} == {0}
