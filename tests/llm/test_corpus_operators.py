@@ -100,6 +100,24 @@ def test_pages_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html, want", [
+    ('<article><p>a <a href="/hidden-gems">b</a> <i style="overflow:hidden">c</i></p></article>', ["a b c"]),
+    ('<article><p>a</p><div data-id="menu">b</div><p><a href="/view?id=comment-5">c</a></p></article>', ["a", "b", "c"]),
+    ('<body class="has-sidebar"><div class="content-with-sidebar"><article><p>a</p></article></div><p>x', ["a"]),
+    ('<body class="sidebar"><p>a</p><div class="sidebar">x</div>', ["a"]),
+    ('<div>skip</div><form action="/"><div class="menu">x</div><article><p>a b c</p></article></form>', ["a b c"]),
+    ('<p>skip</p><form action="/"><div class="menu">x</div><p>a b c</p></form>', ["skip", "a b c"]),
+    ('<div class="widget"><main><p>a b</p><div class="comments">x</div></main></div>', ["a b"]),
+    ('<p>the text of the page</p><div class="related"><article>x</article></div>', ["the text of the page"]),
+    ('<article><p class="notice">x<p>a<p>b<ul><li class="ad">x<li>c</ul><dl><dt class="ad">x<dd>d</dl>'
+     '<table><tr><td class="ad">x<td>e</table></article>', ["a", "b", "c", "d", "e"]),
+    ('<aside><article>x</article></aside><p>a</p><form>x</form>', ["a"]),
+    ('<article><div class="cookie-banner">x</div><div hidden>x</div><p aria-hidden="false">a</p></article>', ["a"]),
+])
+def test_markup_drops_what_it_names_and_no_more(html, want):
+    assert html_text.blocks(html)[0] == want
+
+
 def test_host_suffix_array_finds_what_pages_share(spark):
     shared = "home about us contact our team read all the news of this town every day"
     rows = [(i, "http://h.org/%d" % i, f"<div>{shared}</div><div>story {i} " + " ".join(f"w{i}x{k}" for k in range(20)) + "</div>")
