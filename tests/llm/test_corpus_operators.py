@@ -132,6 +132,16 @@ def test_host_suffix_array_finds_what_pages_share(spark):
     assert list(np.argsort(rank, kind="stable")) == order
 
 
+def test_what_a_host_shares_does_not_depend_on_its_size(spark):
+    shared = "home about us contact our team read all the news of this town every day"
+    own = {i: f"story {i} " + " ".join(f"w{i}x{k}" for k in range(20)) for i in range(40)}
+    rows = [(i, "http://h.org/%d" % i, (f"<div>{shared}</div>" if i % 13 == 0 else "") + f"<div>{text}</div>"
+             + "<script>'<article>'</script>" * (i % 2)) for i, text in own.items()]  # a word of the mark marks nothing
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for host_pages in (1, 7, 256):
+        assert {r["page_id"]: r["text"] for r in html_text.main_text(pages, host_pages).collect()} == own
+
+
 def test_pages_of_the_table_equal_their_article(spark):
     import html
 
