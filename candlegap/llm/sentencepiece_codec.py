@@ -31,7 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from candlegap.llm.common import read_table, sliced
 
@@ -191,9 +192,14 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_documents(docs: DataFrame, model_file: str, text: str = "text", with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, model_file: str, text: str = "text", with_ids: bool = True,
+                     kept: list[str] | None = None) -> DataFrame:
     """Per document: token count and digests of ids and decoded text; ``with_ids`` adds the
-    ids themselves (begin and end included), else they never leave the task."""
+    ids themselves (begin and end included), else they never leave the task. The columns
+    ``kept`` come last, as they are."""
+    kept = kept or []
+    given = docs.select("doc_id", F.col(f"`{text}`").alias("text"), *kept)
+    types = {f.name: f.type for f in to_arrow_schema(given.schema)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_file)
@@ -208,10 +214,11 @@ def encode_documents(docs: DataFrame, model_file: str, text: str = "text", with_
             if with_ids:
                 values = np.frombuffer(b"".join(raws), dtype="<i4")
                 out["ids"] = pa.ListArray.from_arrays(np.cumsum([0, *counts]).astype(np.int32), values)
+            out.update({c: pa.array(cols[c], types[c]) for c in kept})
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = DIGEST_SCHEMA + (", ids array<int>" if with_ids else "")
-    return docs.selectExpr("doc_id", f"`{text}` AS text").mapInArrow(run, schema)
+    schema = T.StructType.fromDDL(DIGEST_SCHEMA + (", ids array<int>" if with_ids else ""))
+    return given.mapInArrow(run, T.StructType([*schema.fields, *(given.schema[c] for c in kept)]))
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

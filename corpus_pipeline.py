@@ -4,7 +4,9 @@
 2. n-gram Jaccard join; one document of each group of near copies stays
 3. personal data and revealing terms are replaced in the texts
 4. the sources are interleaved to their target weights: the rows come in that order
-5. SentencePiece encoding, with the ids and the digests of the round trip
+5. SentencePiece encoding, with the ids and the digests of the round trip, and each row's
+   place in the mix (``block``, ``within``, ``release``, ``deadline``, ``slot``, ``in_target``):
+   files keep no order, so the order of the mix is that of ``slot, within``
 
 The stages in between return the columns of ``documents``.
 """
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlegap.llm.common import read_table, written
 from candlegap.llm.language_id import UNKNOWN, identify, learn
-from candlegap.llm.mixing import mix
+from candlegap.llm.mixing import PLACED, mix, place
 from candlegap.llm.ngram_join import one_of_each
 from candlegap.llm.pii import sanitise
 from candlegap.llm.sentencepiece_codec import default_model, encode_documents
@@ -53,7 +55,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _bounded(spark)
-    return encode_documents(docs, default_model())
+    placed = place(docs.select(COLUMNS)).select("doc.doc_id", "doc.text", *[f"mix.{c}" for c in PLACED])
+    return encode_documents(placed, default_model(), kept=PLACED)
 
 
 STAGES = [

@@ -231,6 +231,15 @@ def test_mixing_edges(edge_documents, no_documents):
     assert mixing.mix(no_documents).count() == 0
 
 
+def test_pipeline_returns_the_mix(spark):
+    docs = read_table(spark, SF, "documents").where("length(text) < 3000").limit(60).select(corpus_pipeline.COLUMNS)
+    rows = corpus_pipeline.encoding_stage(spark, docs, SF).toPandas()
+    want = mixing.place(docs).select("doc.doc_id", "mix.*").toPandas()
+    columns = ["doc_id", *mixing.PLACED]
+    assert sorted(map(str, rows[columns].values.tolist())) == sorted(map(str, want[columns].values.tolist()))
+    assert not rows.duplicated(["slot", "within"]).any()
+
+
 def test_pipeline_stages(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "ngram_jaccard_join", "pii", "mixing", "sentencepiece"]
