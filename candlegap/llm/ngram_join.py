@@ -310,9 +310,10 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, sig, rep`` of every row of ``docs``.
+    """``doc_id, n_shingles, component_id, sig, rep, root`` of every row of ``docs``.
 
-    ``sig`` is the digest of the row's set and ``rep`` the least ``doc_id`` with that set.
+    ``sig`` is the digest of the row's set, ``rep`` the least ``doc_id`` with that set and
+    ``root`` the component, also where no row of it has a ``doc_id``.
     """
     docs = docs.select("doc_id", "text")
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
@@ -327,19 +328,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = (classes.select("cid", "sig", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("root", F.coalesce("root", "cid")))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_sig = named.join(least, "root").select("sig", "rep", "component_id")
+    by_sig = named.join(least, "root").select("sig", "rep", "component_id", "root")
     alone = F.when(F.col("sig").isNull(), F.col("doc_id"))
     return rows.select("doc_id", "sig", "n").join(by_sig, "sig", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component_id", alone).alias("component_id"), "sig", "rep")
+        F.coalesce("component_id", alone).alias("component_id"), "sig", "rep", "root")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs``, one row of each component (the least ``doc_id``) and every
-    row without words."""
-    found = jaccard_components(docs)
-    kept = (found.where(F.col("sig").isNotNull() & F.col("rep").eqNullSafe(F.col("component_id")))
-            .select("sig", "component_id").distinct())
+    """All columns of ``docs``, one row of each component (the least ``doc_id``, of its sets the
+    one of least digest) and every row without words."""
+    found = jaccard_components(docs).where(F.col("sig").isNotNull())
+    kept = (found.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "sig")).alias("least"))
+            .select("least.sig", "least.rep"))
 
     columns = [F.col(f"`{c}`") for c in docs.columns]
     place = docs.columns.index("text")
@@ -355,7 +356,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     tagged = given.mapInArrow(run, f"doc {given.schema['doc'].dataType.simpleString()}, sig binary")
     order = Window.partitionBy("sig").orderBy(*[F.col(f"doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
     chosen = (tagged.where("sig IS NOT NULL").join(kept, "sig")
-              .where(F.col("doc.doc_id").eqNullSafe(F.col("component_id")))
+              .where(F.col("doc.doc_id").eqNullSafe(F.col("rep")))
               .withColumn("rn", F.row_number().over(order)).where("rn = 1"))
     return chosen.select("doc.*").unionByName(tagged.where("sig IS NULL").select("doc.*"))
 

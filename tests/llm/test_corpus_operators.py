@@ -69,6 +69,14 @@ def test_one_document_of_each_group(edge_documents, no_documents):
     assert ngram_join.one_of_each(no_documents).count() == 0
 
 
+def test_one_document_of_groups_without_distinct_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    for doc_id in (7, None):  # near copies under one id, and under none
+        rows = [(doc_id, " ".join([*base, f"end{i}"])) for i in range(4)] + [(9, "another text that has nothing to do with it")]
+        kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted(str(r["doc_id"]) for r in kept) == sorted([str(doc_id), "9"])
+
+
 def test_frequent_list_does_not_change_links(spark, monkeypatch):
     docs = read_table(spark, SF, "documents")
     want = sorted(map(str, ngram_join.jaccard_components(docs).select("doc_id", "component_id").collect()))
