@@ -6,13 +6,16 @@ their overlap estimates containment between documents of very unequal length:
 
     likeness(A, B) = |A and B| / min(|A|, |B|)
 
-A document none of whose hashes is low enough keeps its least one (which a union with lower
-hashes drops again, so merging still gives the sketch of the joined set).
+One hash in ``SCALE`` is kept, so a text of 20 shingles keeps five on average; likenesses of
+shorter texts rest on fewer. A document none of whose hashes is low enough keeps its least one
+(which a union with lower hashes drops again, so merging still gives the sketch of the joined
+set). A longer document that holds this shingle does not keep it: in the query such a
+stand-in is looked up in the other document's whole set.
 
 The query compares each document with an edited copy, whose last half is replaced by the next
-document's beginning, and with the next document. Documents are range-partitioned by
-``doc_id``; each task handles neighbours inside its range, and the few pairs across ranges (one
-per partition) are finished from a written table.
+document's beginning, and with the next document. Documents are dealt to ranges of ``doc_id``
+with stated bounds; each range gets the first document of the next one (the last range that of
+the first), so each task finishes all pairs of its ranges and nothing is written in between.
 
 Defined results: a NULL text is empty; texts without words have the empty fingerprint, two of
 which have likeness 1 and any other pair with one 0; rows that repeat a ``doc_id`` follow one
@@ -27,18 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from candlegap.llm.common import read_table, sliced, written
 from candlegap.llm.shingles import shingle_sets
 
 #: One hash in so many is retained.
-SCALE = 16
-CLOSED, HEAD, TAIL = 0, 1, 2
+SCALE = 4
 _RESULT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
            "near_edited double, near_next double")
-_ROWS = f"part int, kind int, {_RESULT}, text string"
 
 
 def sketch(s: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -59,6 +59,17 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return len(np.intersect1d(a, b, assume_unique=True)) / least
 
 
+def compared(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> float:
+    """The likeness of the sketches of two whole sets, where a stand-in counts as kept by a
+    set that holds it."""
+    x, y = sketch(a, scale), sketch(b, scale)
+    bound = np.uint64((1 << 64) // scale)
+    lone = [s[:1] for s in (x, y) if len(s) and s[0] >= bound]
+    if lone and len(x) and len(y):
+        return float(any(len(np.intersect1d(one, a)) and len(np.intersect1d(one, b)) for one in lone))
+    return likeness(x, y)
+
+
 def packed(a: np.ndarray) -> bytes:
     """Hashes in order, big-endian: their hex digits are the fingerprint string."""
     return a.astype(">u8").tobytes()
@@ -69,67 +80,53 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _compared(texts: list[str], sketches: list[np.ndarray], following: list[str],
-              next_sketches: list[np.ndarray]) -> list[tuple]:
-    changed = [edited(t, f) for t, f in zip(texts, following, strict=True)]
-    out = []
-    for text, own, other, new, s in zip(texts, sketches, next_sketches, changed, shingle_sets(changed), strict=True):
-        new_sketch = sketch(s)
-        out.append((len(text), hashlib.sha256(new.encode("utf-8")).digest(), packed(own), packed(new_sketch),
-                    likeness(own, new_sketch), likeness(own, other)))
-    return out
-
-
-_ARROW = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()),
-                    ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
-                    ("near_edited", pa.float64()), ("near_next", pa.float64()), ("text", pa.string())])
+_ARROW = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.binary()),
+                    ("fingerprint", pa.binary()), ("edited_fingerprint", pa.binary()),
+                    ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def _batch(ids: list, texts: list[str], sets: list[np.ndarray], closed: list[bool]) -> pa.RecordBatch:
+    """The rows of all documents but the last, and but those that only follow another."""
+    at = [i for i in range(len(texts) - 1) if not closed[i]]
+    changed = [edited(texts[i], texts[i + 1]) for i in at]
+    rows = []
+    for i, new, s in zip(at, changed, shingle_sets(changed), strict=True):
+        rows.append((ids[i], len(texts[i]), hashlib.sha256(new.encode("utf-8")).digest(), packed(sketch(sets[i])),
+                     packed(sketch(s)), compared(sets[i], s), compared(sets[i], sets[i + 1])))
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in _ARROW]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Finished rows of a range, its first document, and its last one, which is open."""
-    part, last = TaskContext.get().partitionId(), None
+    """Ranges one after another, each closed by the document that follows it."""
+    ids, texts, sets, closed = [], [], [], []
     for cols in sliced(batches):
-        ids, texts = cols["doc_id"], [t or "" for t in cols["text"]]
-        sketches = [sketch(s) for s in shingle_sets(texts)]
-        rows = []
-        if last is None:
-            rows.append((part, HEAD, ids[0], None, None, packed(sketches[0]), None, None, None, texts[0]))
-        else:
-            ids, texts, sketches = [last[0], *ids], [last[1], *texts], [last[2], *sketches]
-        done = _compared(texts[:-1], sketches[:-1], texts[1:], sketches[1:])
-        rows += [(part, CLOSED, i, *row, None) for i, row in zip(ids, done, strict=False)]
-        last = ids[-1], texts[-1], sketches[-1]
-        yield _batch(rows)
-    if last is not None:
-        yield _batch([(part, TAIL, last[0], None, None, packed(last[2]), None, None, None, last[1])])
-
-
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for cols in sliced(batches, 16):
-        own, other = ([np.frombuffer(b, ">u8").astype(np.uint64) for b in cols[c]] for c in ("fingerprint", "next"))
-        done = _compared(cols["text"], own, cols["next_text"], other)
-        yield _batch([(0, CLOSED, i, *row, None) for i, row in zip(cols["doc_id"], done, strict=True)]
-                     ).select([f.name for f in _ARROW][2:-1])
+        given = [t or "" for t in cols["text"]]
+        ids, texts, closed = ids + cols["doc_id"], texts + given, closed + cols["follows"]
+        sets += shingle_sets(given)
+        yield _batch(ids, texts, sets, closed)
+        ids, texts, sets, closed = ids[-1:], texts[-1:], sets[-1:], closed[-1:]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likenesses."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows = written(ordered.mapInArrow(_neighbours, _ROWS), "neighbours")
-    heads, tails = (rows.where(F.col("kind") == k) for k in (HEAD, TAIL))  # one of each per partition
-    order = Window.orderBy("part")
-    follows = (heads.select("part").withColumn("to", F.lead("part").over(order))
-               .withColumn("to", F.coalesce("to", F.min("part").over(Window.partitionBy(F.lit(0))))))
-    beginnings = heads.select(F.col("part").alias("to"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next"))
-    across = (tails.select("part", "doc_id", "text", "fingerprint").join(follows, "part").join(beginnings, "to")
-              .select("doc_id", "text", "fingerprint", "next_text", "next").mapInArrow(_finish, _RESULT))
-    names = across.columns
-    whole = rows.where(F.col("kind") == CLOSED).select(names).unionByName(across)
+    docs = docs.select("doc_id", "text")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    quantiles = docs.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0]
+    bounds = F.array(*[F.lit(b).cast("long") for b in sorted(set(quantiles or []))]).cast("array<long>")
+    # NULL is in the first range, as it sorts
+    part = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))))
+    dealt = docs.withColumn("part", part)
+    order = F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id", F.col("text").isNotNull().alias("some"), "text")
+    heads = written(dealt.groupBy("part").agg(F.min(order).alias("head")), "heads")  # one row of each range
+    before = Window.orderBy("part")
+    follows = (heads.select("part").withColumn("to", F.lag("part").over(before))
+               .withColumn("to", F.coalesce("to", F.max("part").over(Window.partitionBy(F.lit(0))))))
+    closing = (heads.join(follows, "part").select(F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"),
+                                                  F.col("to").alias("part"), F.lit(True).alias("follows")))
+    rows = dealt.withColumn("follows", F.lit(False)).unionByName(closing)
+    whole = (rows.repartitionByRange(ranges, "part").sortWithinPartitions("part", "follows", "doc_id", "text")
+             .select("doc_id", "text", "follows").mapInArrow(_neighbours, _RESULT))
     return whole.select(*[F.lower(F.hex(c)).alias(c) if kind == "binary" else F.col(c) for c, kind in whole.dtypes])
 
 

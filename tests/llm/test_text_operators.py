@@ -161,6 +161,34 @@ def test_fingerprints_follow_the_next_document(spark, edge_documents, no_documen
     assert fp.fingerprints(no_documents).count() == 0
 
 
+def test_likeness_against_containment():
+    rnd = random.Random(4)
+    words = [f"w{rnd.randrange(5000)}" for _ in range(3000)]
+    long, errors = next(shingles.shingle_sets([" ".join(words)])), []
+    for n in [5, 6, 8] * 8 + [24] * 40 + [200] * 10:  # short texts that the long one holds wholly
+        at = rnd.randrange(2500)
+        short = next(shingles.shingle_sets([" ".join(words[at:at + n])]))
+        assert fp.compared(short, long) == fp.compared(long, short) == 1.0
+        half = next(shingles.shingle_sets([" ".join(words[at:at + n] + [f"x{i}" for i in range(n)])]))
+        if n == 24:
+            assert len(fp.sketch(short)) >= 1
+            errors.append(abs(fp.compared(half, long) - len(np.intersect1d(half, long)) / len(half)))
+    assert np.mean(errors) < 0.2
+    assert fp.compared(long[:0], long) == 0.0 and fp.compared(long[:0], long[:0]) == 1.0
+
+
+def test_fingerprint_ranges_do_not_show(spark):
+    docs = spark.createDataFrame([(i % 37 if i % 9 else None, f"text {i} of many words that go on for a while") for i in range(120)],
+                                 "doc_id long, text string")
+    found = []
+    for n in ("1", "8", "64"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted(map(str, fp.fingerprints(docs).collect())))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 120
+
+
 def test_sketches_merge():
     a, b = (next(shingles.shingle_sets([t])) for t in ("one two three four five six seven eight", "six seven eight nine ten eleven twelve"))
     joined = fp.sketch(np.union1d(a, b))
