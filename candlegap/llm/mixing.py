@@ -4,7 +4,9 @@ functions only.
 Each source's documents are cut into blocks of ``block_docs``. Block i (from 0) of a source
 of weight w is released at slot floor(i / w) and due at slot ceil((i + 1) / w); each slot goes
 to the released block with the earliest deadline (ties: the source first by name). At every
-slot t each source has then had its w t blocks to within less than one block.
+slot t each source has then had its w t blocks to within less than one block, w being the
+rounded weight: from the target the distance grows with t, and with many sources of small
+weight, which get one slot of a period at least, the shares differ from the target.
 
 Unless ``weights`` are given, a source's weight is the square root of its size. Weights are
 rounded to k / Q with Q the sum of all k (about ``slots``), so the schedule
