@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from candlegap.llm.ann import op6_multi_index_hashing
+from candlegap.llm.fill_in_middle import ORACLE_OP12, op12_fill_in_middle
 from candlegap.llm.fingerprints import op9_fingerprints
 from candlegap.llm.html_text import op2_html_text
 from candlegap.llm.language_id import op10_language_id
+from candlegap.llm.merkle import ORACLE_OP11, op11_merkle
 from candlegap.llm.mixing import ORACLE_OP7, op7_mixing
 from candlegap.llm.ngram_join import op3_ngram_jaccard_join
 from candlegap.llm.pii import op8_pii
@@ -28,7 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
+    "op11_merkle": op11_merkle,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 #: The others are tested against brute force, the libraries or held-out labels.
-ORACLE_SQL: dict[str, str] = {"op7_mixing": ORACLE_OP7}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": ORACLE_OP7, "op11_merkle": ORACLE_OP11, "op12_fill_in_middle": ORACLE_OP12}
