@@ -15,6 +15,7 @@ from candlegap.llm.merkle import ORACLE_OP11, op11_merkle
 from candlegap.llm.mixing import ORACLE_OP7, op7_mixing
 from candlegap.llm.ngram_join import op3_ngram_jaccard_join
 from candlegap.llm.pii import op8_pii
+from candlegap.llm.quality import op13_quality
 from candlegap.llm.sentencepiece_codec import op1_sentencepiece
 from candlegap.llm.token_files import op5_token_files
 from candlegap.llm.warc import op4_warc
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_merkle": op11_merkle,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_quality": op13_quality,
 }
 
 #: The others are tested against brute force, the libraries or held-out labels.
