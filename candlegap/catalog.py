@@ -46,6 +46,7 @@ UPSERT_INCOMING_FROM = "2024-01-15"
 WHITELIST = ("U1", "U2", "U3", "U4", "U5", "USD")
 NOTE_TEXT = "call frequency limit reached"
 TOP = 10
+ONE_PAIR = ("U1", "USD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -349,6 +350,41 @@ def q_scan_bars(spark, sf):
     return scan_layer(spark, root)
 
 
+def q_scan_one_pair(spark, sf):
+    """One instrument of the stored table, by its symbols: one bucket is read."""
+    root = scratch_path(spark, "silver-one")
+    write_layer(silver(spark, sf), root)
+    return scan_layer(spark, root, pairs=[ONE_PAIR])
+
+
+def q_run_one_pair(spark, sf):
+    """The reference's own interface: bronze to gold for one instrument, beside whose layers
+    those of all others stay."""
+    b, s, g = (scratch_path(spark, f"one-{layer}") for layer in ("bronze", "silver", "gold"))
+    write_layer(bronze(spark, sf), b)
+    pipeline.run_silver(spark, b, s)
+    pipeline.run_silver(spark, b, s, pairs=[ONE_PAIR])
+    pipeline.run_gold(spark, s, g, run_ts=RUN_TS, pairs=[ONE_PAIR])
+    return scan_layer(spark, g)
+
+
+def _malformed_run(spark, sf):
+    b, s, r = (scratch_path(spark, f"checked-{layer}") for layer in ("bronze", "silver", "rejects"))
+    write_layer(bronze(spark, sf, malformed=True).unionByName(replay_batch(spark, sf)), b)
+    return pipeline.run_silver(spark, b, s, rejects_root=r), r
+
+
+def q_silver_run_counts(spark, sf):
+    """What the silver job counts at four points of its one write."""
+    run, _ = _malformed_run(spark, sf)
+    return spark.createDataFrame(list(run.counts.items()), "point string, n_rows long")
+
+
+def q_silver_rejects(spark, sf):
+    """The bronze rows that the checked silver sink refused, as they came, with the reason."""
+    return scan_layer(spark, _malformed_run(spark, sf)[1])
+
+
 def q_load_bronze(spark, sf):
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
     write_raw_json(bronze(spark, sf), raw)
@@ -402,9 +438,7 @@ def q_null_violations(spark, sf):
 
 def q_layer_row_counts(spark, sf):
     b = bronze(spark, sf, malformed=True).unionByName(replay_batch(spark, sf))
-    s = pipeline.build_silver(b)
-    return pipeline.layer_row_counts(bronze=b, silver=s,
-                                     gold=op.detect_gaps(s))
+    return pipeline.layer_row_counts(b)
 
 
 def q_stream_refresh(spark, sf):

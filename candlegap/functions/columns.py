@@ -25,11 +25,37 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def pair_id(from_col: str = "from_symbol", to_col: str = "to_symbol") -> Column:
-    """Directory key of one instrument, e.g. EUR_USD: one key for each pair of symbols,
-    whatever their case. An underscore inside a symbol is written %5F."""
-    symbols = [F.replace(F.upper(F.col(c)), F.lit("_"), F.lit("%5F")) for c in (from_col, to_col)]
-    return F.concat_ws("_", *symbols)
+#: How a pair key writes what would make two keys alike.
+_PAIR_ESCAPES = (("%", "%25"), ("_", "%5F"))
+_NO_SYMBOL = "%"
+
+
+def pair_id(from_col: str | Column = "from_symbol", to_col: str | Column = "to_symbol") -> Column:
+    """Key of one instrument, e.g. EUR_USD: one key for each pair of symbols, whatever their
+    case. Inside a symbol an underscore is written %5F and a percent sign %25; a NULL symbol
+    is a lone percent sign."""
+    parts = []
+    for c in (from_col, to_col):
+        symbol = F.upper(col(c))
+        for plain, escaped in _PAIR_ESCAPES:
+            symbol = F.replace(symbol, F.lit(plain), F.lit(escaped))
+        parts.append(F.coalesce(symbol, F.lit(_NO_SYMBOL)))
+    return F.concat_ws("_", *parts)
+
+
+def pair_symbols(pair: str | tuple[str, str]) -> tuple[str, str]:
+    """The two symbols, in upper case, of ``("EUR", "USD")`` or its key ``"EUR_USD"``."""
+    if isinstance(pair, str):
+        parts = pair.split("_")
+        if len(parts) != 2:
+            raise ValueError(f"{pair!r} names no instrument: give ('EUR', 'USD') or 'EUR_USD'")
+        for plain, escaped in reversed(_PAIR_ESCAPES):
+            parts = [p.replace(escaped, plain).replace(escaped.lower(), plain) for p in parts]
+    else:
+        parts = list(pair)
+        if len(parts) != 2:
+            raise ValueError(f"{pair!r} is no pair of symbols")
+    return parts[0].upper(), parts[1].upper()
 
 
 def to_price(c: str | Column) -> Column:

@@ -8,8 +8,11 @@ types do (returns, rolling means, percentages, averages).
 
 from __future__ import annotations
 
+import re
+
 from candlegap.catalog import (
     NOTE_TEXT,
+    ONE_PAIR,
     RUN_TS,
     RUN_TS_2,
     TOP,
@@ -442,3 +445,20 @@ ORACLE_SQL["report_volatility_join"] = ORACLE_SQL["report_volatility"]
 ORACLE_SQL["rebuild_after_correction"] = with_(*GOLD) + """
 SELECT date, from_symbol, to_symbol, fvg_type, fvg_high, fvg_low, fvg_size_pips, is_filled
 FROM gold WHERE CAST(SUBSTR(from_symbol, 2) AS BIGINT) % 2 = 1"""
+_ONE = f"from_symbol = '{ONE_PAIR[0]}' AND to_symbol = '{ONE_PAIR[1]}'"
+ORACLE_SQL["scan_one_pair"] = ORACLE_SQL["scan_bars"] + f" WHERE {_ONE}"
+ORACLE_SQL["run_one_pair"] = ORACLE_SQL["write_layer"] + f" WHERE {_ONE}"
+_REJECTED = f"""refused AS (
+    SELECT * EXCLUDE (d, o, h, l, c), upper(from_symbol) || '_' || upper(to_symbol) AS pair,
+           {re.sub(r"\b(date|open|high|low|close)\b(?!')", lambda m: m[1][0], REASON)} AS reject_reason
+    FROM (SELECT *, TRY_CAST(date AS DATE) AS d, TRY_CAST(open AS DECIMAL(10,5)) AS o,
+                 TRY_CAST(high AS DECIMAL(10,5)) AS h, TRY_CAST(low AS DECIMAL(10,5)) AS l,
+                 TRY_CAST(close AS DECIMAL(10,5)) AS c FROM mixed))"""
+ORACLE_SQL["silver_rejects"] = with_(*BUILD_SILVER, _REJECTED) + "SELECT * FROM refused WHERE reject_reason IS NOT NULL"
+ORACLE_SQL["silver_run_counts"] = with_(*BUILD_SILVER) + f"""
+SELECT 'read' AS point, COUNT(*) AS n_rows FROM mixed
+UNION ALL SELECT 'rejected', COUNT(*) FROM silver_typed WHERE NOT ({GOOD}) OR ({GOOD}) IS NULL
+UNION ALL SELECT 'unique', COUNT(*) FROM silver
+UNION ALL SELECT 'violating', COUNT(*) FROM silver WHERE from_symbol IS NULL OR to_symbol IS NULL OR daily_range IS NULL
+UNION ALL SELECT 'written', COUNT(*) FROM silver
+    WHERE from_symbol IS NOT NULL AND to_symbol IS NOT NULL AND daily_range IS NOT NULL"""

@@ -2,26 +2,33 @@
 
 ``build_silver`` / ``build_gold`` are pure DataFrame -> DataFrame plans; the
 ``run_*`` jobs add the reads and writes. A job performs one write action and
-reports row counts through an ``Observation`` filled during that write -- no
-extra ``count()`` jobs, no re-computation for summaries.
+counts rows at several points of its plan through ``Observation``s filled during that
+write (``LayerRun``): no extra ``count()`` jobs, no re-computation for summaries. Only rows that
+satisfy the layer's NOT NULL columns are written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from candlegap.functions.columns import DEFAULT_PIP_FACTOR, PAIR_KEYS, timestamp_literal
+from candlegap.functions.columns import DEFAULT_PIP_FACTOR, PAIR_KEYS, pair_symbols, timestamp_literal
 from candlegap.operators.enrich import derive_fields
 from candlegap.operators.gaps import detect_gaps, gap_fill_close, gap_fill_future
 from candlegap.operators.merge import upsert_bars
-from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
-from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform
-from candlegap.sinks.files import with_pair, write_layer, write_raw_json
-from candlegap.sinks.paths import drop_pairs, path_exists, shared_root
+from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest, reject_reason
+from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, broken_not_null, conform
+from candlegap.sinks import layout
+from candlegap.sinks.files import (
+    observed,
+    replace_pairs,
+    replace_partitions,
+    write_layer,
+    write_raw_json,
+)
+from candlegap.sinks.layout import DEFAULT_BUCKETS, Pair, with_pair
 from candlegap.sources.documents import (
     REJECTED,
     WARNING,
@@ -29,7 +36,7 @@ from candlegap.sources.documents import (
     flatten_documents,
     read_documents,
 )
-from candlegap.sources.files import scan_layer, scan_raw_json
+from candlegap.sources.files import scan_layer, scan_partitions, scan_raw_json
 
 
 def stamp_ingest(raw: DataFrame, run_ts: str | None) -> DataFrame:
@@ -51,7 +58,11 @@ def build_silver(bronze: DataFrame) -> DataFrame:
     """
     typed = clean_bars(cast_bars(bronze))
     names = BRONZE_SCHEMA.fieldNames()
-    unique = dedup_latest(typed if typed.columns == names else typed.select(*names))
+    return derive_silver(dedup_latest(typed if typed.columns == names else typed.select(*names)))
+
+
+def derive_silver(unique: DataFrame) -> DataFrame:
+    """The derived fields of clean bars, one row per key, in the silver column order."""
     return conform(derive_fields(unique), SILVER_SCHEMA)
 
 
@@ -79,132 +90,199 @@ def build_gold(
     return conform(gaps.withColumn("_updated_at", timestamp_literal(run_ts)), GOLD_SCHEMA)
 
 
-def layer_row_counts(**layers: DataFrame) -> DataFrame:
-    """(layer, n_rows) for each named frame: one global count aggregate per
-    frame (partial counts per task), unioned -- one job for all layers."""
-    frames = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("layer"), "n_rows") for name, df in layers.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+class LayerRun(int):
+    """What a job did: as a number the rows written, and by name what it counted on the way:
+    ``read`` (rows of its input), ``rejected`` (broke a rule), ``unique`` (left after one row
+    per key was kept), ``violating`` (NULL where the layer allows none), ``written``."""
+
+    counts: dict[str, int]
+
+    def __new__(cls, **counts: int) -> LayerRun:
+        run = super().__new__(cls, counts["written"])
+        run.counts = counts
+        return run
+
+    def __getattr__(self, name: str) -> int:
+        try:
+            return self.__dict__["counts"][name]
+        except KeyError:
+            raise AttributeError(name) from None
+
+    def __repr__(self) -> str:
+        return f"LayerRun({', '.join(f'{k}={v}' for k, v in self.counts.items())})"
+
+
+class RowCounts:
+    """Counts taken while one write runs: ``at`` puts a counting point into the plan."""
 
+    def __init__(self) -> None:
+        self._points: dict[str, tuple[Observation, DataFrame]] = {}
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    def at(self, df: DataFrame, name: str, what: Column | None = None) -> DataFrame:
+        """``df``, whose rows (or those that satisfy ``what``) are counted as ``name``."""
+        seen = Observation(name)
+        rows = (F.count(F.lit(1)) if what is None else F.count_if(what)).alias("rows")
+        self._points[name] = seen, df.agg(rows)
+        return df.observe(seen, rows)
 
+    def taken(self) -> dict[str, int]:
+        """The counts, after the write."""
+        return {name: observed(seen, rows)["rows"] for name, (seen, rows) in self._points.items()}
 
-def _observed_rows(obs: Observation, name: str = "rows") -> int:
-    """The observed count; 0 where the plan had nothing to observe."""
-    try:
-        return int(obs.get[name])
-    except AssertionError:
-        return 0
+
+def checked(df: DataFrame, layer: str, counts: RowCounts) -> DataFrame:
+    """Rows fit for ``layer``: those with a NULL in one of its NOT NULL columns are counted as
+    ``violating`` and go, the others are counted as ``written``."""
+    broken = broken_not_null(layer)
+    return counts.at(counts.at(df, "violating", broken.isNotNull()).where(broken.isNull()), "written")
+
+
+def layer_row_counts(bronze: DataFrame) -> DataFrame:
+    """(layer, n_rows) of bronze and what is built from it: one pass over ``bronze`` through silver
+    to its gaps, counted at three points of that plan."""
+    counts = RowCounts()
+    silver = counts.at(build_silver(counts.at(bronze, "bronze")), "silver")
+    counts.at(detect_gaps(silver), "gold").write.format("noop").mode("overwrite").save()
+    return bronze.sparkSession.createDataFrame(list(counts.taken().items()), "layer string, n_rows long")
 
 
 def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_ts: str,
                   source: str, multi_line: bool = False) -> dict[str, int]:
-    """Landed provider documents -> raw zone (JSON lines under ``pair=…``).
+    """Landed provider documents -> raw zone (JSON lines).
 
     Rejected documents (error message, no series) are skipped and counted,
-    documents with a note are kept and counted as warnings. Everything is
-    counted during the single write job.
+    documents with a note are kept and counted as warnings.
     """
     docs = classify_documents(read_documents(spark, docs_path, multi_line=multi_line))
-    doc_obs = Observation("documents")
-    docs = docs.observe(
-        doc_obs,
-        F.count(F.lit(1)).alias("documents"),
-        F.count_if(F.col("status") == REJECTED).alias("rejected"),
-        F.count_if(F.col("status") == WARNING).alias("warnings"),
-    )
-    rows, row_obs = _observed(flatten_documents(docs, ingest_ts=ingest_ts, source=source), "raw")
+    counts = RowCounts()
+    docs = counts.at(docs, "documents")
+    docs = counts.at(docs, "rejected", F.col("status") == REJECTED)
+    docs = counts.at(docs, "warnings", F.col("status") == WARNING)
+    rows = counts.at(flatten_documents(docs, ingest_ts=ingest_ts, source=source), "rows")
     write_raw_json(rows, raw_root)
-    counts = {k: _observed_rows(doc_obs, k) for k in ("documents", "rejected", "warnings")}
-    counts["rows"] = _observed_rows(row_obs)
-    return counts
+    return counts.taken()
+
 
+def _incoming(incoming: DataFrame, n_buckets: int) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """A batch with its partition columns, and which partitions it touches."""
+    laid = layout.with_layout(with_pair(incoming.drop("pair")), n_buckets)
+    return laid, layout.touched_partitions(laid)
 
-def _existing(spark: SparkSession, root: str) -> DataFrame | None:
-    if path_exists(spark, root) is False:  # nothing written yet
-        return None
-    try:
-        return scan_layer(spark, root, merge_schema=True)
-    except AnalysisException:  # no JVM access to check first, and nothing there
-        return None
+
+def _merged(spark: SparkSession, incoming: DataFrame, bronze_root: str, n_buckets: int,
+            parts: list[tuple[int, int]]) -> DataFrame:
+    """``incoming`` upserted into the stored rows of the partitions ``parts``."""
+    stored = scan_partitions(spark, bronze_root, merge_schema=True)  # with the columns of earlier batches
+    history = layout.without_layout(layout.in_partitions(stored, parts))
+    return upsert_bars(history.drop("pair"), layout.without_layout(incoming).drop("pair"))
 
 
 def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str) -> DataFrame:
-    """``incoming`` bronze rows upserted into the history of the pairs they
-    touch; returns the merged rows of those pairs, staged as a written table.
-
-    Spark cannot overwrite a path it is reading, so the merge is
-    materialised with an eager ``checkpoint()`` into the session's shared
-    checkpoint folder first: that cuts the lineage back to the bronze files,
-    and the caller then replaces the pairs' bronze folders from it. Upsert
-    by (date, pair), incoming rows win: running the same incoming batch twice
-    gives the same table.
+    """``incoming`` bronze rows upserted into the stored rows of the (bucket, month) partitions
+    they touch; returns all rows of those partitions.
+
+    The touched partitions reach the driver (at most buckets x months of them) and become literal
+    filters of the scan of history, so a batch of one bar lists and reads one partition. Upsert is
+    by (date, pair), incoming rows win: the same batch twice gives the same table.
     """
-    incoming = incoming.drop("pair")
-    old = _existing(spark, bronze_root)  # with the columns that earlier batches added
-    if old is None:
-        return incoming
-    touched = with_pair(incoming).select("pair").distinct()
-    history = old.join(touched, "pair", "left_semi").drop("pair")
-    shared_root(spark)  # a local session without a checkpoint folder gets one
-    return upsert_bars(history, incoming).checkpoint(eager=True)
+    n = layout.stored_buckets(spark, bronze_root)
+    if n is None:
+        return incoming.drop("pair")
+    laid, parts = _incoming(incoming, n)
+    return _merged(spark, laid, bronze_root, n, parts)
+
+
+def write_merged(spark: SparkSession, incoming: DataFrame, bronze_root: str, counts: RowCounts | None = None) -> int:
+    """``merge_into_bronze`` and its write: the touched partitions are replaced, no other one is
+    read or rewritten, and nothing is staged beside the table (Spark moves the new partitions
+    into place once all are complete). Returns the buckets of the table."""
+    counts = counts or RowCounts()
+    n = layout.stored_buckets(spark, bronze_root)
+    if n is None:
+        write_layer(checked(incoming, "bronze", counts), bronze_root)
+        return DEFAULT_BUCKETS
+    laid, parts = _incoming(incoming, n)
+    merged = _merged(spark, laid, bronze_root, n, parts)
+    replace_partitions(with_pair(checked(merged, "bronze", counts)), bronze_root, parts, n_buckets=n)
+    return n
 
 
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,
-               pairs: Iterable[str] | None = None, multi_line: bool = False,
-               merge: bool = False) -> int:
+               pairs: Iterable[Pair] | None = None, multi_line: bool = False,
+               merge: bool = False) -> LayerRun:
     """Raw JSON -> bronze table. Skips the write when there is no input
-    (``isEmpty`` is a one-row job, not a count). Returns rows written.
+    (``isEmpty`` is a one-row job, not a count). Returns rows written, and read.
 
-    Default: the pairs in this run replace their bronze folders (a
-    delivery is the pair's whole history). ``merge=True`` keeps history
+    Default: the instruments in this run replace what bronze has of them (a
+    delivery is an instrument's whole history). ``merge=True`` keeps history
     instead (``merge_into_bronze``): a short delivery after a long one only
-    updates and adds days.
+    updates and adds days, and ``written`` counts the rows of the rewritten partitions.
     """
     raw = scan_raw_json(spark, raw_root, pairs=pairs, multi_line=multi_line)
     if raw.isEmpty():
-        return 0
-    bronze = stamp_ingest(raw, run_ts)
+        return LayerRun(read=0, violating=0, written=0)
+    counts = RowCounts()
+    bronze = stamp_ingest(counts.at(raw.drop("pair"), "read"), run_ts)
     if merge:
-        bronze = merge_into_bronze(spark, bronze, bronze_root)
-    bronze, obs = _observed(bronze, "bronze")
-    write_layer(bronze, bronze_root)
-    return _observed_rows(obs)
+        held = bronze.persist()  # asked for its partitions, then merged
+        try:
+            write_merged(spark, held, bronze_root, counts)
+        finally:
+            held.unpersist()
+    else:
+        write_layer(checked(bronze, "bronze", counts), bronze_root)
+    return LayerRun(**counts.taken())
 
 
-def _replace(df: DataFrame, root: str, pairs: list[str] | None) -> None:
-    """The job's result as the whole table, or as the whole content of the named pairs."""
+def _replace(df: DataFrame, root: str, pairs: list[Pair] | None) -> None:
+    """The job's result as the whole table, or as the whole content of the named instruments.
+    Nothing that is stored goes before the new rows are complete."""
     if pairs is None:
         write_layer(df, root, whole_table=True)
     else:
-        drop_pairs(df.sparkSession, root, pairs)
-        write_layer(df, root)
+        symbols = [pair_symbols(p) for p in pairs]
+        touched = df.sparkSession.createDataFrame(symbols, "from_symbol string, to_symbol string")
+        replace_pairs(with_pair(df), root, touched)
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, *,
-               pairs: Iterable[str] | None = None) -> int:
-    """Bronze -> silver, of all pairs or of ``pairs``. Pairs whose bars are all rejected
-    end up without rows. Returns rows written."""
+               pairs: Iterable[Pair] | None = None, rejects_root: str | None = None) -> LayerRun:
+    """Bronze -> silver, of all instruments or of ``pairs``. Those whose bars are all rejected
+    end up without rows. Returns rows written; by name also the bars read, rejected by a rule,
+    unique, and violating a NOT NULL column. With ``rejects_root`` the bars that were not
+    written for such a reason are kept there with it (``reject_reason``): one more pass over
+    bronze, made only if there were any.
+    """
     pairs = None if pairs is None else list(pairs)
-    bronze = scan_layer(spark, bronze_root, pairs=pairs, schema=BRONZE_SCHEMA)
-    silver, obs = _observed(build_silver(bronze), "silver")
-    _replace(silver, silver_root, pairs)
-    return _observed_rows(obs)
+    bronze = scan_layer(spark, bronze_root, pairs=pairs, schema=BRONZE_SCHEMA).drop("pair")
+    counts = RowCounts()
+    typed = counts.at(counts.at(cast_bars(bronze), "read"), "rejected", reject_reason().isNotNull())
+    silver = derive_silver(counts.at(dedup_latest(clean_bars(typed)), "unique"))
+    _replace(checked(silver, "silver", counts), silver_root, pairs)
+    run = LayerRun(**counts.taken())
+    if rejects_root is not None:
+        rejects = silver_rejects(bronze) if run.rejected or run.violating else silver_rejects(bronze).limit(0)
+        _replace(rejects, rejects_root, pairs)
+    return run
+
+
+def silver_rejects(bronze: DataFrame) -> DataFrame:
+    """Bronze rows that no silver table holds, as they came, with ``reject_reason``: the first
+    rule that their typed form breaks, or the NOT NULL column that is NULL in it."""
+    typed = cast_bars(bronze.withColumn("_came", F.struct(*bronze.columns)))
+    reason = F.coalesce(reject_reason(), broken_not_null("silver", typed.columns))
+    return typed.withColumn("reject_reason", reason).where("reject_reason IS NOT NULL").select("_came.*", "reject_reason")
 
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, *, run_ts: str,
-             pairs: Iterable[str] | None = None, levels: str = "ordered",
-             fill: str = "close") -> int:
-    """Silver -> gold, of all pairs or of ``pairs``. Pairs that lost their gaps end up without
-    rows. Returns rows written."""
+             pairs: Iterable[Pair] | None = None, levels: str = "ordered",
+             fill: str = "close") -> LayerRun:
+    """Silver -> gold, of all instruments or of ``pairs``. Those that lost their gaps end up
+    without rows. Returns rows written; by name also the bars read and the gaps violating a NOT NULL
+    column."""
     pairs = None if pairs is None else list(pairs)
     silver = scan_layer(spark, silver_root, pairs=pairs, schema=SILVER_SCHEMA).drop("pair")
-    gold, obs = _observed(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), "gold")
-    _replace(gold, gold_root, pairs)
-    return _observed_rows(obs)
+    counts = RowCounts()
+    gold = build_gold(counts.at(silver, "read"), run_ts=run_ts, levels=levels, fill=fill)
+    _replace(checked(gold, "gold", counts), gold_root, pairs)
+    return LayerRun(**counts.taken())

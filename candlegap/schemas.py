@@ -6,6 +6,8 @@ silver and gold carry the typed columns in their physical order.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -116,3 +118,12 @@ def null_violations(df: DataFrame, schema: StructType | str) -> DataFrame:
         for f in schema.fields if not f.nullable and f.name in df.columns
     ]
     return df.agg(*checks)
+
+
+def broken_not_null(schema: StructType | str, columns: Iterable[str] | None = None) -> Column:
+    """``null_<column>`` of the first NOT NULL column of ``schema`` (of those in ``columns``) that a
+    row has no value in; NULL for a row that may be stored."""
+    if isinstance(schema, str):
+        schema = LAYERS[schema]
+    names = [f.name for f in schema.fields if not f.nullable and (columns is None or f.name in columns)]
+    return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in names], F.lit(None).cast("string"))

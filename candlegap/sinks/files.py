@@ -2,40 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from candlegap.functions.columns import pair_id
-from candlegap.sinks.paths import drop_pairs
+from candlegap.sinks import layout
+from candlegap.sinks.layout import BUCKET, COUNT, DEFAULT_BUCKETS, MONTH, PARTITIONS, with_pair
+from candlegap.sinks.paths import remove
 
 # Microseconds survive the text round trip (Spark's default JSON timestamp
 # format keeps milliseconds only).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def with_pair(df: DataFrame) -> DataFrame:
-    """Add the ``pair`` directory key (``pair_id``) if missing."""
-    return df if "pair" in df.columns else df.withColumn("pair", pair_id())
+def observed(seen: Observation, rows: DataFrame) -> dict:
+    """What was observed while a write ran; asked of ``rows`` where adaptive execution cut the
+    observing part out of the plan, which it does when a stage before it gave no rows."""
+    try:
+        return seen.get
+    except (AssertionError, Py4JJavaError):
+        return rows.first().asDict()
 
 
-def write_raw_json(df: DataFrame, root: str, *, mode: str = "overwrite") -> None:
-    """Raw zone: JSON lines under ``root/pair=XXXYYY/``.
-
-    Dynamic partition overwrite: a run replaces only the pairs it carries.
-    JSON lines (not one array per file) so the files stay splittable; the
-    ``REBALANCE`` hint keeps few files per pair folder and lets adaptive
-    execution split a pair too large for one writer.
-    """
-    rows = with_pair(df).hint("rebalance", "pair")
-    if "date" in rows.columns:  # after the exchange, so that files are in date order
-        rows = rows.sortWithinPartitions("pair", "date")
-    (rows.write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
+def _save(df: DataFrame, root: str, *, mode: str, fmt: str, n_buckets: int,
+          whole_table: bool = False) -> set[tuple[int, int]]:
+    """``df`` as (bucket, month) partitions: those it carries, or all there are. Returns which it
+    carried, as observed while they were written (at most buckets x months)."""
+    seen = Observation("partitions")
+    rows, parts = layout.with_layout(df, n_buckets), F.collect_set(F.struct(BUCKET, MONTH)).alias("parts")
+    (layout.clustered(rows.observe(seen, parts)).write.format(fmt).mode(mode)
+     .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
      .option("timestampFormat", JSON_TIMESTAMP_FORMAT)
-     .partitionBy("pair")
-     .json(root))
+     .partitionBy(*PARTITIONS).save(root))
+    return {(r[BUCKET], r[MONTH]) for r in observed(seen, rows.agg(parts))["parts"]}
+
+
+def _read(spark: SparkSession, root: str, fmt: str, like: DataFrame) -> DataFrame:
+    """A laid-out table with all columns that any batch brought (Parquet), or those of ``like``."""
+    reader = spark.read.format(fmt)
+    reader = reader.option("mergeSchema", "true") if fmt == "parquet" else reader.schema(like.schema)
+    return reader.load(root)
+
+
+def replace_partitions(df: DataFrame, root: str, owned: Iterable[tuple[int, int]], *, fmt: str = "parquet",
+                       n_buckets: int) -> None:
+    """``df`` becomes the whole content of the partitions ``owned``, all others stay. One write:
+    Spark moves the new partitions into place when all of them are complete, so ``df`` may read the
+    old ones and a failed run leaves them as they were. Then those without new rows go."""
+    kept = _save(df, root, mode="overwrite", fmt=fmt, n_buckets=n_buckets)
+    for bucket, month in sorted(set(owned) - kept):
+        remove(df.sparkSession, f"{root.rstrip('/')}/{COUNT}={n_buckets}/{BUCKET}={bucket}/{MONTH}={month}")
 
 
 def write_layer(
@@ -43,70 +61,99 @@ def write_layer(
     root: str,
     *,
     mode: str = "overwrite",
-    partition_by: Sequence[str] = ("pair",),
+    partition_by: Sequence[str] | None = None,
     cluster_by: Sequence[str] = ("pair",),
     fmt: str = "parquet",
     whole_table: bool = False,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> None:
-    """Bronze/silver/gold table under ``root``, partitioned by ``pair``.
-
-    Dynamic partition overwrite replaces only the partitions present in
-    ``df``; other pairs' files stay. Rows are clustered by the partition key
-    with a ``REBALANCE`` hint: each task writes few pair folders (no
-    small-file explosion), and adaptive execution splits a pair that is too
-    big for one task and merges small ones -- unlike ``repartition("pair")``,
-    which would send a hot pair whole to one writer.
-
-    ``whole_table=True`` replaces everything under ``root``, so that pairs
-    without rows do not keep old ones.
-
-    ``partition_by=()`` writes one folder instead (for very many small
-    instruments): rows are rebalanced by ``cluster_by`` and sorted by it (and
-    date) within each file, so Parquet min/max statistics let a pair filter
-    skip row groups. Readers use ``mergeSchema`` only when batches added
-    columns.
+    """Bronze/silver/gold table under ``root``, laid out by ``layout`` with the key ``pair``
+    stored in its rows.
+
+    ``mode="overwrite"`` replaces the instruments that ``df`` carries (``replace_pairs``), or with
+    ``whole_table=True`` everything, so that instruments without rows keep none;
+    ``mode="append"`` adds rows. ``buckets`` counts for a table's first or whole write; later
+    ones keep the number it has.
+
+    ``partition_by`` (``()`` for a single folder) writes a plain table by those columns instead:
+    rebalanced by ``cluster_by`` and sorted by it (and date) within each file.
     """
-    keys = list(partition_by) or list(cluster_by)
-    out = with_pair(df) if "pair" in keys else df
-    if keys:
-        out = out.hint("rebalance", *keys)
-    if not partition_by and cluster_by:
-        out = out.sortWithinPartitions(*cluster_by, *(["date"] if "date" in out.columns else []))
-    (out.write.format(fmt).mode(mode)
-     .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
-     .partitionBy(*partition_by)
-     .save(root))
-
-
-def replace_pairs(df: DataFrame, root: str, touched: DataFrame) -> None:
-    """Writes ``df`` as the whole content of the ``touched`` pairs (column ``pair``): a touched
-    pair without rows in ``df`` loses its folder. Only those pairs' names reach the
-    driver, one after another."""
-    write_layer(df, root)
-    gone = touched.select("pair").distinct().join(
-        with_pair(df).select("pair").distinct(), "pair", "left_anti")
-    drop_pairs(df.sparkSession, root, (r["pair"] for r in gone.toLocalIterator()))
-
-
-def write_raw_json_arrays(df: DataFrame, root: str) -> None:
-    """Raw zone in the provider-file layout: JSON array files per pair folder.
-
-    Each task turns the records it holds for a pair into one array
-    (grouped by pair and the producing task, so an array never exceeds one
-    input split however many rows a pair has) and every array goes to its
-    own file (``maxRecordsPerFile=1``), as ``multiLine`` readers expect.
-    Such files cannot be split on read; prefer ``write_raw_json`` for bulk.
-    Records in an array are in date order (structs compare field by field,
-    date first).
+    df = with_pair(df)
+    if partition_by is not None:
+        keys = list(partition_by) or list(cluster_by)
+        out = df.hint("rebalance", *keys) if keys else df
+        if not partition_by and cluster_by:
+            out = out.sortWithinPartitions(*cluster_by, *(["date"] if "date" in out.columns else []))
+        (out.write.format(fmt).mode(mode)
+         .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
+         .partitionBy(*partition_by).save(root))
+    elif whole_table:
+        _save(df, root, mode=mode, fmt=fmt, n_buckets=buckets, whole_table=True)
+    elif mode == "append":
+        _save(df, root, mode=mode, fmt=fmt, n_buckets=layout.stored_buckets(df.sparkSession, root) or buckets)
+    else:
+        replace_pairs(df, root, fmt=fmt, buckets=buckets)
+
+
+def write_raw_json(df: DataFrame, root: str, *, mode: str = "overwrite", buckets: int = DEFAULT_BUCKETS) -> None:
+    """Raw zone: JSON lines, laid out by ``layout``.
+
+    A run replaces the instruments it carries and no others; ``mode="append"`` adds a delivery.
+    JSON lines (not one array per file) so the files stay splittable.
+    """
+    df = df.drop("pair")
+    if mode == "append":
+        _save(df, root, mode=mode, fmt="json", n_buckets=layout.stored_buckets(df.sparkSession, root) or buckets)
+    else:
+        replace_pairs(df, root, fmt="json", buckets=buckets)
+
+
+def replace_pairs(df: DataFrame, root: str, touched: DataFrame | None = None, *, fmt: str = "parquet",
+                  buckets: int = DEFAULT_BUCKETS) -> None:
+    """``df`` becomes the whole content of the ``touched`` instruments (columns from_symbol,
+    to_symbol; by default those it carries): one that has no rows in ``df`` loses what it had.
+
+    Only the buckets of touched instruments are read and rewritten, as a literal list of at most
+    ``buckets`` numbers; the other instruments of these buckets are laid beside the new rows.
+    """
+    spark = df.sparkSession
+    n = layout.stored_buckets(spark, root)
+    if n is None:
+        _save(df, root, mode="overwrite", fmt=fmt, n_buckets=buckets)
+        return
+    held = df.persist() if touched is None else df  # its instruments are asked for before its rows
+    try:
+        given = (df if touched is None else touched).select("from_symbol", "to_symbol").distinct()
+        names = layout.with_layout(with_pair(given), n).select("pair", BUCKET)
+        where = [r[BUCKET] for r in names.select(BUCKET).distinct().collect()]
+        old = _read(spark, root, fmt, df).where(F.col(BUCKET).isin(where))
+        owned = layout.touched_partitions(old)
+        others = with_pair(old).join(names.select("pair"), "pair", "left_anti").select(
+            *[c for c in old.columns if c not in PARTITIONS])
+        replace_partitions(held.unionByName(others, allowMissingColumns=True), root, owned, fmt=fmt, n_buckets=n)
+    finally:
+        if touched is None:
+            held.unpersist()
+
+
+def write_raw_json_arrays(df: DataFrame, root: str, *, buckets: int = DEFAULT_BUCKETS) -> None:
+    """Raw zone in the provider-file layout: each file one JSON array of an instrument's records.
+
+    Each task turns the records it holds for an instrument into one array (so an array never
+    exceeds one input split however many rows an instrument has) and every array goes to its own
+    file (``maxRecordsPerFile=1``) in its bucket's folder, as ``multiLine`` readers expect. Such
+    files cannot be split on read; prefer ``write_raw_json`` for bulk. Records in an array are
+    in date order (structs compare field by field, date first).
     """
-    rows = with_pair(df)
-    cols = [c for c in rows.columns if c != "pair"]
+    rows = df.drop("pair")
+    cols = rows.columns
     if "date" in cols:
         cols = ["date"] + [c for c in cols if c != "date"]
-    arrays = rows.groupBy("pair", F.spark_partition_id().alias("_split")).agg(
+    n = layout.stored_buckets(df.sparkSession, root) or buckets
+    arrays = rows.groupBy("from_symbol", "to_symbol", F.spark_partition_id().alias("_split")).agg(
         F.to_json(F.array_sort(F.collect_list(F.struct(*cols))),
                   {"timestampFormat": JSON_TIMESTAMP_FORMAT}).alias("value"))
-    (arrays.select("pair", "value").write.mode("overwrite")
+    (layout.with_layout(arrays, n).select(*PARTITIONS, "value").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", 1)
-     .partitionBy("pair").text(root))
+     .partitionBy(*PARTITIONS).text(root))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import SparkSession
 
 
@@ -45,14 +43,20 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
     return bool(jpath.getFileSystem(conf).exists(jpath))
 
 
-#: Characters that a partition folder's name holds in percent form.
-_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+def _folder(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``; none where it does not exist."""
+    jpath, fs = _folder(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory())
 
 
-def drop_pairs(spark: SparkSession, root: str, pairs: Iterable[str]) -> None:
-    """Removes the folders of ``pairs`` (those that exist) from a layer's table."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for pair in pairs:
-        name = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in pair)
-        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/pair={name}")
-        path.getFileSystem(conf).delete(path, True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a job wrote for itself, if it is there."""
+    jpath, fs = _folder(spark, path)
+    fs.delete(jpath, True)

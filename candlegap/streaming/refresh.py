@@ -3,19 +3,17 @@
 The raw zone is a file source: every new JSON file under ``raw_root`` is
 picked up once (tracked in the checkpoint). Each micro-batch
 
-1. upserts its records, stamped with the batch's start instant, into the bronze history
-   of the pairs it touches (``merge_into_bronze``: the merge is checkpointed
-   into the shared checkpoint folder, then replaces those pair folders), so bronze
-   stays one folder per pair with one row per (date, pair), and later
-   deliveries of a day win;
-2. rebuilds silver for the touched pairs only, from their bronze history
-   (a ``left_semi`` join on ``pair``);
+1. upserts its records, stamped with the batch's start instant, into the (bucket, month)
+   partitions of bronze that they touch (``write_merged``), so bronze keeps one row per
+   (date, pair), and later deliveries of a day win;
+2. rebuilds silver for the touched pairs only, from their bronze history, read from their
+   buckets (a literal filter) by a ``left_semi`` join;
 3. rebuilds gold for the same pairs. A touched pair without rows left in silver
-   or gold loses its folder there.
+   or gold has none there afterwards.
 
 A bar's gap needs the next bar, so recomputing a touched pair from its full
 (calendar-bounded) history keeps gold exact without tracking dirty ranges.
-Untouched pairs' files are never rewritten, and a replayed batch merges the
+Other buckets' files are never rewritten, and a replayed batch merges the
 same records again, which changes nothing. The checkpoint lives under the
 session's shared checkpoint folder unless given, so a restarted driver
 resumes where the last committed batch ended.
@@ -26,12 +24,16 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlegap.plans.pipeline import build_gold, build_silver, merge_into_bronze, stamp_ingest
+from candlegap.functions.columns import PAIR_KEYS
+from candlegap.plans.pipeline import build_gold, build_silver, stamp_ingest, write_merged
 from candlegap.schemas import BRONZE_SCHEMA
-from candlegap.sinks.files import replace_pairs, with_pair, write_layer
+from candlegap.sinks.files import replace_pairs
+from candlegap.sinks.layout import BUCKET, with_layout, with_pair, without_layout
 from candlegap.sinks.paths import scratch_path
+from candlegap.sources.files import scan_partitions
 
 
 def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_root: str,
@@ -43,15 +45,18 @@ def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_r
     try:
         if batch.isEmpty():
             return
-        # the touched pairs' whole bronze history, merged with this batch
         # one instant per batch, so bronze and silver carry the same stamp
         run_ts = datetime.now(timezone.utc).isoformat()
-        merged = merge_into_bronze(spark, stamp_ingest(batch, run_ts), bronze_root)
-        write_layer(merged, bronze_root)
-        touched = with_pair(batch).select("pair").distinct()
-        silver = build_silver(merged)
-        replace_pairs(silver, silver_root, touched)
-        replace_pairs(build_gold(silver, run_ts=run_ts, levels=levels, fill=fill), gold_root, touched)
+        incoming = stamp_ingest(batch, run_ts)
+        n = write_merged(spark, incoming, bronze_root)
+        touched = with_pair(incoming).select("pair", *PAIR_KEYS).distinct()
+        buckets = [r[BUCKET] for r in with_layout(touched, n).select(BUCKET).distinct().collect()]
+        bronze = scan_partitions(spark, bronze_root, schema=BRONZE_SCHEMA)
+        history = (bronze.where(F.col(BUCKET).isin(buckets)).join(touched.select("pair"), "pair", "left_semi"))
+        silver = build_silver(without_layout(history).drop("pair"))
+        replace_pairs(with_pair(silver), silver_root, touched)
+        gold = build_gold(silver, run_ts=run_ts, levels=levels, fill=fill)
+        replace_pairs(with_pair(gold), gold_root, touched)
     finally:
         batch.unpersist()
 

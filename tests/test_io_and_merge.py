@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import pathlib
+import re
 
 from pyspark.sql import functions as F
 
@@ -27,6 +29,15 @@ def b(date, price, pair=("EUR", "USD"), ts=T0):
     return (date, price, price, price, price, pair[0], pair[1], ts, "test")
 
 
+def read_files(df):
+    """Files that rows of a frame come from."""
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def folders(root):
+    return {str(p.relative_to(root)) for p in pathlib.Path(root).rglob("*") if p.is_dir()}
+
+
 def test_raw_json_array_files_round_trip(spark, tmp_root):
     # the provider-file layout: one JSON array per pair folder
     os.makedirs(f"{tmp_root}/raw/pair=EUR_USD")
@@ -73,8 +84,11 @@ def test_pair_selection_prunes_partitions(spark, tmp_root):
                 root)
     df = scan_layer(spark, root, pairs=["usd_jpy"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(pair" in plan and "USD_JPY" in plan
+    # the hash of the symbols is folded to a literal bucket, the key reaches the Parquet scan
+    assert re.search(r"PartitionFilters: \[isnotnull\(bucket#\d+\), \(bucket#\d+ = \d+\)\]", plan)
+    assert "EqualTo(pair,USD_JPY)" in plan
     assert [r["pair"] for r in df.collect()] == ["USD_JPY"]
+    assert len(read_files(df)) == 1
 
 
 def test_load_bronze_stamps_and_skips_empty(spark, tmp_root):
@@ -214,8 +228,10 @@ def test_array_files_when_pairs_span_many_splits(spark, tmp_root):
             for d in range(1, 21)]
     df = bronze(spark, rows).repartition(5)           # every pair spread over 5 splits
     write_raw_json_arrays(df, f"{tmp_root}/arr")
-    files = [f for f in os.listdir(f"{tmp_root}/arr/pair=P0_USD") if f.endswith(".txt")]
-    assert len(files) > 1                               # one array per (pair, split)
+    files = list(pathlib.Path(f"{tmp_root}/arr").rglob("*.txt"))
+    assert len(files) > 3                               # one array per (pair, split)
+    for f in files:
+        assert len({r["from_symbol"] for r in json.loads(f.read_text())}) == 1
     back = scan_raw_json(spark, f"{tmp_root}/arr", multi_line=True).drop("pair").collect()
     assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in df.collect())
 
@@ -260,3 +276,125 @@ def test_merge_keeps_columns_that_came_later(spark, tmp_root):
     write_layer(bronze(spark, [b("2024-01-01", "1.0")]).withColumn("note", F.lit("kept")), root)
     out = merge_into_bronze(spark, bronze(spark, [b("2024-01-02", "1.1")]), root)
     assert {(r["date"], r["note"]) for r in out.collect()} == {("2024-01-01", "kept"), ("2024-01-02", None)}
+
+
+# -- bucketed layout -----------------------------------------------------------
+
+def many(spark, pairs=40, days=("2024-01-30", "2024-02-01", "2024-02-02")):
+    return bronze(spark, [b(d, "1.1", pair=(f"P{p}", "USD")) for p in range(pairs) for d in days])
+
+
+def test_folders_grow_with_buckets_and_months_not_with_instruments(spark, tmp_root):
+    from candlegap.sinks import layout
+
+    for writer, name in ((write_layer, "layer"), (write_raw_json, "raw")):
+        root = f"{tmp_root}/{name}"
+        writer(many(spark), root, buckets=4)
+        assert folders(root) == {"n_buckets=4"} | {f"n_buckets=4/bucket={k}" for k in range(4)} | {
+            f"n_buckets=4/bucket={k}/month={m}" for k in range(4) for m in (202401, 202402)}
+        assert layout.stored_buckets(spark, root) == 4
+        # later writers keep the number of buckets that the table has
+        writer(bronze(spark, [b("2024-03-01", "2.0", pair=("P7", "USD"))]), root, buckets=16)
+        assert layout.stored_buckets(spark, root) == 4
+    got = scan_layer(spark, f"{tmp_root}/layer").groupBy("pair").count().collect()
+    assert {r["pair"]: r["count"] for r in got} == {f"P{p}_USD": 1 if p == 7 else 3 for p in range(40)}
+    raw = scan_raw_json(spark, f"{tmp_root}/raw", pairs=[("p7", "usd"), "P8_USD"])
+    assert sorted((r["pair"], r["date"]) for r in raw.collect()) == [
+        ("P7_USD", "2024-03-01"), ("P8_USD", "2024-01-30"), ("P8_USD", "2024-02-01"), ("P8_USD", "2024-02-02")]
+
+
+def test_instruments_are_named_by_symbols_or_key(spark, tmp_root):
+    import pytest
+
+    root = f"{tmp_root}/layer"
+    write_layer(bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-01", "2", ("A_B", "c%")),
+                               b("2024-01-01", "3", (None, "USD")), b("2024-01-01", "4", ("USD", None))]), root)
+    assert scan_layer(spark, root, pairs=[("a_b", "C%")]).first()["close"] == "2"
+    assert scan_layer(spark, root, pairs=["a%5Fb_C%25"]).first()["close"] == "2"
+    assert scan_layer(spark, root, pairs=[]).count() == 0
+    assert len({r["pair"] for r in scan_layer(spark, root).collect()}) == 4
+    for wrong in ("EURUSD", "A_B_C", ("EUR",)):
+        with pytest.raises(ValueError):
+            scan_layer(spark, root, pairs=[wrong])
+
+
+def test_replaced_instruments_lose_months_that_they_no_longer_have(spark, tmp_root):
+    root = f"{tmp_root}/layer"
+    write_layer(many(spark, pairs=6), root, buckets=2)
+    write_layer(bronze(spark, [b("2024-02-05", "9", pair=(f"P{p}", "USD")) for p in range(6)]), root)
+    assert not any("202401" in f for f in folders(root))
+    assert {(r["date"], r["close"]) for r in scan_layer(spark, root).collect()} == {("2024-02-05", "9")}
+
+
+def test_a_one_bar_batch_reads_and_rewrites_one_partition(spark, tmp_root):
+    from candlegap.plans.pipeline import merge_into_bronze, write_merged
+
+    root = f"{tmp_root}/bronze"
+    write_layer(many(spark), root, buckets=4)
+    before = {p: p.stat().st_mtime_ns for p in pathlib.Path(root).rglob("*.parquet")}
+    batch = bronze(spark, [b("2024-02-01", "5.0", pair=("P7", "USD"))])
+    merged = merge_into_bronze(spark, batch, root)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ = \d+.*month#\d+ = 202402", plan)
+    scans = re.findall(r"Location: InMemoryFileIndex\((\d+) paths?\)", plan)
+    assert scans and merged.count() < 30
+    write_merged(spark, batch, root)
+    after = {p: p.stat().st_mtime_ns for p in pathlib.Path(root).rglob("*.parquet")}
+    gone, new = set(before) - set(after), set(after) - set(before)
+    assert len({p.parent for p in gone}) == len({p.parent for p in new}) == 1
+    assert {p.parent for p in gone} == {p.parent for p in new}
+    rows = {(r["pair"], r["date"]): r["close"] for r in scan_layer(spark, root).collect()}
+    assert len(rows) == 120 and rows[("P7_USD", "2024-02-01")] == "5.0"
+    assert set(rows.values()) == {"1.1", "5.0"}
+
+
+def test_a_failing_run_leaves_stored_rows(spark, tmp_root):
+    import pytest
+
+    bronze_root, silver_root = f"{tmp_root}/b", f"{tmp_root}/s"
+    write_layer(bronze(spark, [b(f"2024-01-0{d}", f"{d}.0") for d in (1, 2, 3, 4)]), bronze_root)
+    assert pipeline.run_silver(spark, bronze_root, silver_root) == 4
+    for path in pathlib.Path(bronze_root).rglob("*.parquet"):
+        path.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        pipeline.run_silver(spark, bronze_root, silver_root, pairs=[("EUR", "USD")])
+    assert scan_layer(spark, silver_root).count() == 4
+
+
+def test_one_pair_end_to_end_and_empty_layers(spark, tmp_root):
+    roots = [f"{tmp_root}/{x}" for x in ("b", "s", "g")]
+    good = [b(f"2024-01-0{d}", f"{d}.0") for d in (1, 2, 3, 4)]
+    write_layer(bronze(spark, [*good, *[b(f"2024-01-0{d}", "0", ("USD", "JPY")) for d in (1, 2, 3)]]), roots[0])
+    pair = [("usd", "jpy")]
+    run = pipeline.run_silver(spark, *roots[:2], pairs=pair)          # all bars rejected
+    assert (run, run.read, run.rejected, run.written) == (0, 3, 3, 0)
+    assert pipeline.run_gold(spark, *roots[1:], run_ts=T0.isoformat(), pairs=pair) == 0
+    run = pipeline.run_silver(spark, *roots[:2], pairs=["EUR_USD"])
+    assert (run, run.read, run.rejected, run.unique) == (4, 4, 0, 4)
+    run = pipeline.run_gold(spark, *roots[1:], run_ts=T0.isoformat(), pairs=[("EUR", "USD")])
+    assert run == 2 and run.read == 4
+    assert pipeline.run_silver(spark, *roots[:2], pairs=pair) == 0     # the other pair stays
+    assert scan_layer(spark, roots[1], pairs=[("EUR", "USD")]).count() == 4
+
+
+def test_checked_sinks_count_and_keep_what_they_refuse(spark, tmp_root):
+    roots = [f"{tmp_root}/{x}" for x in ("b", "s", "rejects")]
+    rows = [b("2024-01-01", "1.0"), b("2024-01-01", "1.0"), b("2024-01-02", "bad"), b("2024-01-03", "-1"),
+            b("soon", "1.0"), b("2024-01-04", "2.0", (None, "USD"))]
+    write_layer(bronze(spark, rows), roots[0])
+    run = pipeline.run_silver(spark, *roots[:2], rejects_root=roots[2])
+    assert run.counts == {"read": 6, "rejected": 3, "unique": 2, "violating": 1, "written": 1}
+    kept = {(r["date"], r["open"], r["reject_reason"]) for r in scan_layer(spark, roots[2]).collect()}
+    assert kept == {("2024-01-02", "bad", "missing_open"), ("2024-01-03", "-1", "non_positive_open"),
+                    ("soon", "1.0", "missing_date"), ("2024-01-04", "2.0", "null_from_symbol")}
+    write_layer(bronze(spark, [b("2024-01-01", "1.0")]), roots[0], whole_table=True)
+    assert pipeline.run_silver(spark, *roots[:2], rejects_root=roots[2]).rejected == 0
+    assert scan_layer(spark, roots[2], schema=BRONZE_SCHEMA).count() == 0
+
+
+def test_raw_files_are_in_date_order_with_several_documents_a_pair(spark, tmp_root):
+    rows = [b(f"2024-01-{d:02d}", "1.1", pair=(f"P{p}", "USD")) for d in range(28, 0, -1) for p in range(3)]
+    write_raw_json(bronze(spark, rows).repartition(7), f"{tmp_root}/raw", buckets=2)
+    for f in pathlib.Path(f"{tmp_root}/raw").rglob("*.json"):
+        held = [json.loads(line) for line in f.read_text().splitlines()]
+        assert [(r["from_symbol"], r["date"]) for r in held] == sorted((r["from_symbol"], r["date"]) for r in held)
