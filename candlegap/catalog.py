@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from candlegap import operators as op
 from candlegap.functions.columns import quote_pip_factor
-from candlegap.plans import pipeline, reports
-from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, conform, null_violations
+from candlegap.plans import incremental, pipeline, reports
+from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, conform, null_violations
 from candlegap.sinks.files import write_layer, write_raw_json, write_raw_json_arrays
 from candlegap.sinks.paths import scratch_path
 from candlegap.sources.documents import (
@@ -456,6 +456,45 @@ def q_stream_refresh(spark, sf):
     return scan_layer(spark, roots[2]).drop("_updated_at")
 
 
+def _refreshed(spark, sf) -> incremental.Roots:
+    """A full delivery, then a later one from mid-month on, through the batch refresh."""
+    roots = incremental.Roots(*(scratch_path(spark, f"refresh-{x}") for x in ("bronze", "silver", "gold", "state")))
+    for batch in (bronze(spark, sf), replay_batch(spark, sf)):
+        raw = scratch_path(spark, "refresh-raw")
+        write_raw_json(batch, raw)
+        incremental.run_refresh(spark, raw, roots, run_ts=RUN_TS)
+    return roots
+
+
+def q_refresh_silver(spark, sf):
+    """Silver after a correction, recomputed from the first changed day with a halo bar."""
+    return scan_layer(spark, _refreshed(spark, sf).silver, schema=SILVER_SCHEMA).drop("_ingest_timestamp")
+
+
+def q_refresh_gold(spark, sf):
+    """Gold after a correction, recomputed from the bar before the first changed day."""
+    return scan_layer(spark, _refreshed(spark, sf).gold, schema=GOLD_SCHEMA).drop("_updated_at")
+
+
+def q_state_fill_rate(spark, sf):
+    return incremental.state_fill_rate(scan_layer(spark, _refreshed(spark, sf).state))
+
+
+def q_state_monthly_activity(spark, sf):
+    return incremental.state_monthly_activity(scan_layer(spark, _refreshed(spark, sf).state))
+
+
+def q_state_summary(spark, sf):
+    return incremental.state_summary(scan_layer(spark, _refreshed(spark, sf).state))
+
+
+def q_volatility_since(spark, sf):
+    """Rolling means from a changed day on, with 19 halo bars before it."""
+    s = silver(spark, sf)
+    starts = incremental.first_changes(bronze(spark, sf).filter(F.col("date") >= UPSERT_INCOMING_FROM))
+    return incremental.volatility_since(s, starts)
+
+
 def q_build_gold(spark, sf):
     return pipeline.build_gold(silver(spark, sf), run_ts=RUN_TS)
 

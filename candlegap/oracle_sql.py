@@ -462,3 +462,16 @@ UNION ALL SELECT 'unique', COUNT(*) FROM silver
 UNION ALL SELECT 'violating', COUNT(*) FROM silver WHERE from_symbol IS NULL OR to_symbol IS NULL OR daily_range IS NULL
 UNION ALL SELECT 'written', COUNT(*) FROM silver
     WHERE from_symbol IS NOT NULL AND to_symbol IS NOT NULL AND daily_range IS NOT NULL"""
+
+_REFRESHED = ORACLE_SQL["stream_refresh"].split("\nSELECT *, upper(from_symbol)")[0]
+ORACLE_SQL["refresh_gold"] = ORACLE_SQL["stream_refresh"]
+ORACLE_SQL["refresh_silver"] = _REFRESHED + """
+SELECT * EXCLUDE (_ingest_timestamp), upper(from_symbol) || '_' || upper(to_symbol) AS pair FROM silver"""
+for _report, _plain in (("state_fill_rate", "report_fill_rate"), ("state_summary", "gap_summary")):
+    ORACLE_SQL[_report] = _REFRESHED + ORACLE_SQL[_plain].split(close_fill_cte("gold", "gaps"))[1]
+ORACLE_SQL["state_monthly_activity"] = _REFRESHED + ORACLE_SQL["report_monthly_activity"].split(
+    close_fill_cte("gold", "gaps"))[1]
+ORACLE_SQL["volatility_since"] = with_(*SILVER, _vol_cte()) + f"""
+SELECT * FROM vol v WHERE date >= (
+    SELECT MIN(CAST(date AS DATE)) FROM bronze s WHERE s.date >= '{UPSERT_INCOMING_FROM}'
+      AND s.from_symbol = v.from_symbol AND s.to_symbol = v.to_symbol)"""

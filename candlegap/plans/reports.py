@@ -40,7 +40,7 @@ def report_active_gaps(gold: DataFrame) -> DataFrame:
             .orderBy(F.col("date").desc(), *PAIR))
 
 
-def _pct(part: Column, whole: Column) -> Column:
+def percent(part: Column, whole: Column) -> Column:
     """ROUND(part * 100.0 / whole, 2) in exact decimal arithmetic."""
     return F.round(part * F.lit(Decimal("100.0")) / whole, 2).cast("decimal(5,2)")
 
@@ -56,7 +56,7 @@ def report_fill_rate(gold: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_fvgs"),
         filled.alias("filled_count"),
         (F.count(F.lit(1)) - filled).alias("unfilled_count"),
-        _pct(filled, F.count(F.lit(1))).alias("fill_rate_pct"),
+        percent(filled, F.count(F.lit(1))).alias("fill_rate_pct"),
     ).orderBy(F.col("fill_rate_pct").desc(), "fvg_type"))
 
 

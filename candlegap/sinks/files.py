@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,17 +44,24 @@ def _read(spark: SparkSession, root: str, fmt: str, like: DataFrame) -> DataFram
     """A laid-out table with all columns that any batch brought (Parquet), or those of ``like``."""
     reader = spark.read.format(fmt)
     reader = reader.option("mergeSchema", "true") if fmt == "parquet" else reader.schema(like.schema)
-    return reader.load(root)
+    try:
+        return layout.laid_out(reader.load(root))
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # all rows had gone
+            raise
+        return layout.laid_out(spark.createDataFrame([], like.schema))
 
 
 def replace_partitions(df: DataFrame, root: str, owned: Iterable[tuple[int, int]], *, fmt: str = "parquet",
-                       n_buckets: int) -> None:
+                       n_buckets: int) -> set[tuple[int, int]]:
     """``df`` becomes the whole content of the partitions ``owned``, all others stay. One write:
     Spark moves the new partitions into place when all of them are complete, so ``df`` may read the
-    old ones and a failed run leaves them as they were. Then those without new rows go."""
+    old ones and a failed run leaves them as they were. Then those without new rows go.
+    Returns the partitions that got rows."""
     kept = _save(df, root, mode="overwrite", fmt=fmt, n_buckets=n_buckets)
     for bucket, month in sorted(set(owned) - kept):
         remove(df.sparkSession, f"{root.rstrip('/')}/{COUNT}={n_buckets}/{BUCKET}={bucket}/{MONTH}={month}")
+    return kept
 
 
 def write_layer(

@@ -71,6 +71,11 @@ def is_laid_out(df: DataFrame) -> bool:
     return set(PARTITIONS) <= set(df.columns)
 
 
+def laid_out(df: DataFrame) -> DataFrame:
+    """``df`` with partition columns, which Spark does not find in a table without files."""
+    return df if is_laid_out(df) else df.withColumns({c: F.lit(None).cast("int") for c in PARTITIONS})
+
+
 def without_layout(df: DataFrame) -> DataFrame:
     return df.drop(*PARTITIONS)
 

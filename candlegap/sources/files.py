@@ -33,8 +33,8 @@ def scan_raw_json(
     df = (spark.read.schema(schema)
           .option("multiLine", str(multi_line).lower())
           .json(root))
-    df = layout.with_pair(df if "pair" in schema.fieldNames() else df.drop("pair"))
-    n = layout.stored_buckets(spark, root) if pairs is not None and layout.is_laid_out(df) else None
+    df = layout.laid_out(layout.with_pair(df if "pair" in schema.fieldNames() else df.drop("pair")))
+    n = layout.stored_buckets(spark, root) if pairs is not None else None
     return layout.without_layout(layout.select_pairs(df, pairs, n))
 
 
@@ -46,14 +46,14 @@ def scan_partitions(
     merge_schema: bool = False,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """A layer table with its partition columns (``layout.PARTITIONS``), if it has rows."""
+    """A layer table with its partition columns (``layout.PARTITIONS``)."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema if "pair" in schema.fieldNames() else
                                StructType([*schema.fields]).add("pair", StringType()))
     if merge_schema and fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
-    return reader.load(root)
+    return layout.laid_out(reader.load(root))
 
 
 def scan_layer(
@@ -76,5 +76,5 @@ def scan_layer(
     later batches added, and reads a table without rows as one.
     """
     df = scan_partitions(spark, root, fmt=fmt, merge_schema=merge_schema, schema=schema)
-    n = layout.stored_buckets(spark, root) if pairs is not None and layout.is_laid_out(df) else None
+    n = layout.stored_buckets(spark, root) if pairs is not None else None
     return layout.without_layout(layout.select_pairs(df, pairs, n))

@@ -1,19 +1,13 @@
 """Incremental bronze -> silver -> gold refresh as a Structured Streaming job.
 
 The raw zone is a file source: every new JSON file under ``raw_root`` is
-picked up once (tracked in the checkpoint). Each micro-batch
+picked up once (tracked in the checkpoint). Each micro-batch, stamped with its start instant, goes
+through ``plans.incremental.refresh_layers``: merged into the (bucket, month) partitions of bronze
+that it touches, later deliveries of a day winning; silver and gold recomputed from each
+instrument's first changed day with halo rows before it; and the report state, where one is kept,
+replaced for the gold partitions that were rewritten.
 
-1. upserts its records, stamped with the batch's start instant, into the (bucket, month)
-   partitions of bronze that they touch (``write_merged``), so bronze keeps one row per
-   (date, pair), and later deliveries of a day win;
-2. rebuilds silver for the touched pairs only, from their bronze history, read from their
-   buckets (a literal filter) by a ``left_semi`` join;
-3. rebuilds gold for the same pairs. A touched pair without rows left in silver
-   or gold has none there afterwards.
-
-A bar's gap needs the next bar, so recomputing a touched pair from its full
-(calendar-bounded) history keeps gold exact without tracking dirty ranges.
-Other buckets' files are never rewritten, and a replayed batch merges the
+Other partitions' files are never rewritten, and a replayed batch merges the
 same records again, which changes nothing. The checkpoint lives under the
 session's shared checkpoint folder unless given, so a restarted driver
 resumes where the last committed batch ended.
@@ -24,41 +18,22 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlegap.functions.columns import PAIR_KEYS
-from candlegap.plans.pipeline import build_gold, build_silver, stamp_ingest, write_merged
+from candlegap.plans.incremental import Roots, refresh_layers
+from candlegap.plans.pipeline import stamp_ingest
 from candlegap.schemas import BRONZE_SCHEMA
-from candlegap.sinks.files import replace_pairs
-from candlegap.sinks.layout import BUCKET, with_layout, with_pair, without_layout
 from candlegap.sinks.paths import scratch_path
-from candlegap.sources.files import scan_partitions
 
 
-def refresh_batch(batch: DataFrame, batch_id: int, *, bronze_root: str, silver_root: str,
-                  gold_root: str, levels: str = "ordered", fill: str = "close") -> None:
-    """One micro-batch of raw records -> bronze merge, silver/gold rebuild of
-    the touched pairs. Safe to run again for the same ``batch_id``."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    try:
-        if batch.isEmpty():
-            return
-        # one instant per batch, so bronze and silver carry the same stamp
-        run_ts = datetime.now(timezone.utc).isoformat()
-        incoming = stamp_ingest(batch, run_ts)
-        n = write_merged(spark, incoming, bronze_root)
-        touched = with_pair(incoming).select("pair", *PAIR_KEYS).distinct()
-        buckets = [r[BUCKET] for r in with_layout(touched, n).select(BUCKET).distinct().collect()]
-        bronze = scan_partitions(spark, bronze_root, schema=BRONZE_SCHEMA)
-        history = (bronze.where(F.col(BUCKET).isin(buckets)).join(touched.select("pair"), "pair", "left_semi"))
-        silver = build_silver(without_layout(history).drop("pair"))
-        replace_pairs(with_pair(silver), silver_root, touched)
-        gold = build_gold(silver, run_ts=run_ts, levels=levels, fill=fill)
-        replace_pairs(with_pair(gold), gold_root, touched)
-    finally:
-        batch.unpersist()
+def refresh_batch(batch: DataFrame, batch_id: int, *, roots: Roots, levels: str = "ordered",
+                  fill: str = "close") -> None:
+    """One micro-batch of raw records -> all layers. Safe to run again for the same ``batch_id``."""
+    if batch.isEmpty():
+        return
+    # one instant per batch, so bronze and silver carry the same stamp
+    run_ts = datetime.now(timezone.utc).isoformat()
+    refresh_layers(batch.sparkSession, stamp_ingest(batch, run_ts), roots, run_ts=run_ts, levels=levels, fill=fill)
 
 
 def start_refresh(
@@ -67,6 +42,7 @@ def start_refresh(
     bronze_root: str,
     silver_root: str,
     gold_root: str,
+    state_root: str | None = None,
     *,
     checkpoint: str | None = None,
     available_now: bool = True,
@@ -83,9 +59,10 @@ def start_refresh(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(raw_root)
 
+    roots = Roots(bronze_root, silver_root, gold_root, state_root)
+
     def _each(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, batch_id, bronze_root=bronze_root, silver_root=silver_root,
-                      gold_root=gold_root, levels=levels, fill=fill)
+        refresh_batch(batch, batch_id, roots=roots, levels=levels, fill=fill)
 
     writer = (raw.writeStream.foreachBatch(_each)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "refresh-ckpt")))

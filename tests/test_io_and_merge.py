@@ -374,6 +374,12 @@ def test_one_pair_end_to_end_and_empty_layers(spark, tmp_root):
     run = pipeline.run_gold(spark, *roots[1:], run_ts=T0.isoformat(), pairs=[("EUR", "USD")])
     assert run == 2 and run.read == 4
     assert pipeline.run_silver(spark, *roots[:2], pairs=pair) == 0     # the other pair stays
+    # a table that lost all its rows is read and written like any other
+    write_layer(bronze(spark, [b("2024-01-01", "0")]), roots[0], whole_table=True)
+    assert pipeline.run_silver(spark, *roots[:2], pairs=["EUR_USD"]) == 0
+    assert pipeline.run_gold(spark, *roots[1:], run_ts=T0.isoformat(), pairs=["EUR_USD"]) == 0
+    write_layer(bronze(spark, good), roots[0], whole_table=True)
+    assert pipeline.run_silver(spark, *roots[:2], pairs=["EUR_USD"]) == 4
     assert scan_layer(spark, roots[1], pairs=[("EUR", "USD")]).count() == 4
 
 
