@@ -47,6 +47,8 @@ WHITELIST = ("U1", "U2", "U3", "U4", "U5", "USD")
 NOTE_TEXT = "call frequency limit reached"
 TOP = 10
 ONE_PAIR = ("U1", "USD")
+#: Layout of the tables that the queries write, which are small beside the library's default.
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,13 +299,13 @@ def q_rebuild_after_correction(spark, sf):
     b, s, g = (scratch_path(spark, f"rebuilt-{layer}") for layer in ("bronze", "silver", "gold"))
     first = bronze(spark, sf)
     even = F.substring("from_symbol", 2, 20).cast("long") % 2 == 0
-    write_raw_json(first, raw1)
+    write_raw_json(first, raw1, buckets=BUCKETS)
     write_raw_json(first.where(even).withColumns({c: F.lit("0") for c in ("open", "high", "low", "close")})
-                   .withColumn("_ingest_timestamp", F.col("_ingest_timestamp") + F.make_dt_interval(F.lit(1))), raw2)
+                   .withColumn("_ingest_timestamp", F.col("_ingest_timestamp") + F.make_dt_interval(F.lit(1))), raw2, buckets=BUCKETS)
     for raw in (raw1, raw2):
-        pipeline.run_bronze(spark, raw, b, run_ts=RUN_TS, merge=True)
-        pipeline.run_silver(spark, b, s)
-        pipeline.run_gold(spark, s, g, run_ts=RUN_TS)
+        pipeline.run_bronze(spark, raw, b, run_ts=RUN_TS, merge=True, buckets=BUCKETS)
+        pipeline.run_silver(spark, b, s, buckets=BUCKETS)
+        pipeline.run_gold(spark, s, g, run_ts=RUN_TS, buckets=BUCKETS)
     return scan_layer(spark, g, schema=GOLD_SCHEMA).select(
         "date", "from_symbol", "to_symbol", "fvg_type", "fvg_high", "fvg_low", "fvg_size_pips", "is_filled")
 
@@ -328,32 +330,32 @@ def q_ingest_documents(spark, sf):
     """Landed documents -> raw zone through the ingest job, read back."""
     docs, raw = scratch_path(spark, "docs"), scratch_path(spark, "raw-docs")
     documents(spark, sf).write.mode("overwrite").json(docs)
-    pipeline.run_documents(spark, docs, raw, ingest_ts=RUN_TS, source="events")
+    pipeline.run_documents(spark, docs, raw, ingest_ts=RUN_TS, source="events", buckets=BUCKETS)
     return scan_raw_json(spark, raw)
 
 
 def q_write_raw_json(spark, sf):
     root = scratch_path(spark, "raw-lines")
-    write_raw_json(bronze(spark, sf), root)
+    write_raw_json(bronze(spark, sf), root, buckets=BUCKETS)
     return scan_raw_json(spark, root)
 
 
 def q_scan_raw_json(spark, sf):
     root = scratch_path(spark, "raw-arrays")
-    write_raw_json_arrays(bronze(spark, sf), root)
+    write_raw_json_arrays(bronze(spark, sf), root, buckets=BUCKETS)
     return scan_raw_json(spark, root, multi_line=True)
 
 
 def q_scan_bars(spark, sf):
     root = scratch_path(spark, "silver")
-    write_layer(silver(spark, sf), root)
+    write_layer(silver(spark, sf), root, buckets=BUCKETS)
     return scan_layer(spark, root)
 
 
 def q_scan_one_pair(spark, sf):
     """One instrument of the stored table, by its symbols: one bucket is read."""
     root = scratch_path(spark, "silver-one")
-    write_layer(silver(spark, sf), root)
+    write_layer(silver(spark, sf), root, buckets=BUCKETS)
     return scan_layer(spark, root, pairs=[ONE_PAIR])
 
 
@@ -361,17 +363,17 @@ def q_run_one_pair(spark, sf):
     """The reference's own interface: bronze to gold for one instrument, beside whose layers
     those of all others stay."""
     b, s, g = (scratch_path(spark, f"one-{layer}") for layer in ("bronze", "silver", "gold"))
-    write_layer(bronze(spark, sf), b)
-    pipeline.run_silver(spark, b, s)
-    pipeline.run_silver(spark, b, s, pairs=[ONE_PAIR])
-    pipeline.run_gold(spark, s, g, run_ts=RUN_TS, pairs=[ONE_PAIR])
+    write_layer(bronze(spark, sf), b, buckets=BUCKETS)
+    pipeline.run_silver(spark, b, s, buckets=BUCKETS)
+    pipeline.run_silver(spark, b, s, pairs=[ONE_PAIR], buckets=BUCKETS)
+    pipeline.run_gold(spark, s, g, run_ts=RUN_TS, pairs=[ONE_PAIR], buckets=BUCKETS)
     return scan_layer(spark, g)
 
 
 def _malformed_run(spark, sf):
     b, s, r = (scratch_path(spark, f"checked-{layer}") for layer in ("bronze", "silver", "rejects"))
-    write_layer(bronze(spark, sf, malformed=True).unionByName(replay_batch(spark, sf)), b)
-    return pipeline.run_silver(spark, b, s, rejects_root=r), r
+    write_layer(bronze(spark, sf, malformed=True).unionByName(replay_batch(spark, sf)), b, buckets=BUCKETS)
+    return pipeline.run_silver(spark, b, s, rejects_root=r, buckets=BUCKETS), r
 
 
 def q_silver_run_counts(spark, sf):
@@ -387,8 +389,8 @@ def q_silver_rejects(spark, sf):
 
 def q_load_bronze(spark, sf):
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
-    write_raw_json(bronze(spark, sf), raw)
-    pipeline.run_bronze(spark, raw, out, run_ts=RUN_TS)
+    write_raw_json(bronze(spark, sf), raw, buckets=BUCKETS)
+    pipeline.run_bronze(spark, raw, out, run_ts=RUN_TS, buckets=BUCKETS)
     return scan_layer(spark, out)
 
 
@@ -396,16 +398,16 @@ def q_load_bronze_merge(spark, sf):
     """Full delivery, then a re-delivery from mid-month merged into history."""
     raw1, raw2 = scratch_path(spark, "raw-full"), scratch_path(spark, "raw-replay")
     out = scratch_path(spark, "bronze-merged")
-    write_raw_json(bronze(spark, sf), raw1)
-    pipeline.run_bronze(spark, raw1, out, run_ts=RUN_TS)
-    write_raw_json(replay_batch(spark, sf), raw2)
-    pipeline.run_bronze(spark, raw2, out, run_ts=RUN_TS_2, merge=True)
+    write_raw_json(bronze(spark, sf), raw1, buckets=BUCKETS)
+    pipeline.run_bronze(spark, raw1, out, run_ts=RUN_TS, buckets=BUCKETS)
+    write_raw_json(replay_batch(spark, sf), raw2, buckets=BUCKETS)
+    pipeline.run_bronze(spark, raw2, out, run_ts=RUN_TS_2, merge=True, buckets=BUCKETS)
     return scan_layer(spark, out)
 
 
 def q_write_layer(spark, sf):
     root = scratch_path(spark, "gold")
-    write_layer(pipeline.build_gold(silver(spark, sf), run_ts=RUN_TS), root)
+    write_layer(pipeline.build_gold(silver(spark, sf), run_ts=RUN_TS), root, buckets=BUCKETS)
     return scan_layer(spark, root)
 
 
@@ -416,9 +418,9 @@ def q_upsert_bars(spark, sf):
 
 def q_evolve_schema(spark, sf):
     root = scratch_path(spark, "evolve")
-    write_layer(bronze(spark, sf), root)
+    write_layer(bronze(spark, sf), root, buckets=BUCKETS)
     second = replay_batch(spark, sf).withColumn("_batch_note", F.lit("replay"))
-    write_layer(second, root, mode="append")
+    write_layer(second, root, mode="append", buckets=BUCKETS)
     return scan_layer(spark, root, merge_schema=True).select(
         *BRONZE_SCHEMA.fieldNames(), "_batch_note", "pair")
 
@@ -449,19 +451,19 @@ def q_stream_refresh(spark, sf):
 
     raw, ck = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-ckpt")
     roots = [scratch_path(spark, f"stream-{layer}") for layer in ("bronze", "silver", "gold")]
-    write_raw_json(bronze(spark, sf), raw)
-    start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
-    write_raw_json(replay_batch(spark, sf), raw, mode="append")
-    start_refresh(spark, raw, *roots, checkpoint=ck).awaitTermination()
+    write_raw_json(bronze(spark, sf), raw, buckets=BUCKETS)
+    start_refresh(spark, raw, *roots, checkpoint=ck, buckets=BUCKETS).awaitTermination()
+    write_raw_json(replay_batch(spark, sf), raw, mode="append", buckets=BUCKETS)
+    start_refresh(spark, raw, *roots, checkpoint=ck, buckets=BUCKETS).awaitTermination()
     return scan_layer(spark, roots[2]).drop("_updated_at")
 
 
 def _refreshed(spark, sf) -> incremental.Roots:
     """A full delivery, then a later one from mid-month on, through the batch refresh."""
-    roots = incremental.Roots(*(scratch_path(spark, f"refresh-{x}") for x in ("bronze", "silver", "gold", "state")))
+    roots = incremental.Roots(*(scratch_path(spark, f"refresh-{x}") for x in ("bronze", "silver", "gold", "state")), buckets=BUCKETS)
     for batch in (bronze(spark, sf), replay_batch(spark, sf)):
         raw = scratch_path(spark, "refresh-raw")
-        write_raw_json(batch, raw)
+        write_raw_json(batch, raw, buckets=BUCKETS)
         incremental.run_refresh(spark, raw, roots, run_ts=RUN_TS)
     return roots
 

@@ -38,12 +38,14 @@ PAIR = list(PAIR_KEYS)
 
 @dataclass(frozen=True)
 class Roots:
-    """Where the layers lie; without ``state`` no report state is kept."""
+    """Where the layers lie, and the buckets of those that are not there yet; without ``state``
+    no report state is kept."""
 
     bronze: str
     silver: str
     gold: str
     state: str | None = None
+    buckets: int = layout.DEFAULT_BUCKETS
 
 
 # -- what a delivery changes ---------------------------------------------------
@@ -107,7 +109,7 @@ def refresh_silver(spark: SparkSession, starts: DataFrame, roots: Roots) -> None
     fresh = dedup_latest(clean_bars(cast_bars(came)))
     n = layout.stored_buckets(spark, roots.silver)
     if n is None:
-        write_layer(_valid(derive_silver(fresh), "silver"), roots.silver)
+        write_layer(_valid(derive_silver(fresh), "silver"), roots.silver, buckets=roots.buckets)
         return
     stored = _silver_table(spark, roots.silver)
     first = _first_months(starts, n)
@@ -146,7 +148,7 @@ def refresh_gold(spark: SparkSession, starts: DataFrame, roots: Roots, *, run_ts
         new = new.where("date >= start").drop("start")
         n = layout.stored_buckets(spark, roots.gold)
         if n is None:
-            return sorted(replace_partitions(new, roots.gold, [], n_buckets=layout.DEFAULT_BUCKETS))
+            return sorted(replace_partitions(new, roots.gold, [], n_buckets=roots.buckets))
         table = scan_partitions(spark, roots.gold, schema=GOLD_SCHEMA)
         rewritten = _months(table, _first_months(since, n), later=True)
         owned = layout.touched_partitions(rewritten)
@@ -163,7 +165,7 @@ def refresh_layers(spark: SparkSession, incoming: DataFrame, roots: Roots, *, ru
     close any earlier gap, so the gold of touched instruments is rebuilt from all their bars."""
     incoming = incoming.persist()
     try:
-        write_merged(spark, incoming, roots.bronze)
+        write_merged(spark, incoming, roots.bronze, buckets=roots.buckets)
         starts = first_changes(incoming).persist()  # one row a touched instrument
         try:
             refresh_silver(spark, starts, roots)
@@ -185,7 +187,7 @@ def _rebuild_gold(spark: SparkSession, starts: DataFrame, roots: Roots, *, run_t
     silver = without_layout(_silver_table(spark, roots.silver).where(F.col(BUCKET).isin(buckets)))
     silver = silver.join(starts.select("pair"), "pair", "left_semi")
     gold = build_gold(silver.drop("pair"), run_ts=run_ts, levels=levels, fill=fill)
-    replace_pairs(with_pair(_valid(gold, "gold")), roots.gold, starts)
+    replace_pairs(with_pair(_valid(gold, "gold")), roots.gold, starts, buckets=roots.buckets)
     if layout.stored_buckets(spark, roots.gold) is None:  # no gap yet
         return []
     buckets = sorted(_first_months(starts, layout.stored_buckets(spark, roots.gold)))

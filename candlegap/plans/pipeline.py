@@ -147,7 +147,7 @@ def layer_row_counts(bronze: DataFrame) -> DataFrame:
 
 
 def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_ts: str,
-                  source: str, multi_line: bool = False) -> dict[str, int]:
+                  source: str, multi_line: bool = False, buckets: int = DEFAULT_BUCKETS) -> dict[str, int]:
     """Landed provider documents -> raw zone (JSON lines).
 
     Rejected documents (error message, no series) are skipped and counted,
@@ -159,7 +159,7 @@ def run_documents(spark: SparkSession, docs_path: str, raw_root: str, *, ingest_
     docs = counts.at(docs, "rejected", F.col("status") == REJECTED)
     docs = counts.at(docs, "warnings", F.col("status") == WARNING)
     rows = counts.at(flatten_documents(docs, ingest_ts=ingest_ts, source=source), "rows")
-    write_raw_json(rows, raw_root)
+    write_raw_json(rows, raw_root, buckets=buckets)
     return counts.taken()
 
 
@@ -192,24 +192,24 @@ def merge_into_bronze(spark: SparkSession, incoming: DataFrame, bronze_root: str
     return _merged(spark, laid, bronze_root, n, parts)
 
 
-def write_merged(spark: SparkSession, incoming: DataFrame, bronze_root: str, counts: RowCounts | None = None) -> int:
+def write_merged(spark: SparkSession, incoming: DataFrame, bronze_root: str, counts: RowCounts | None = None,
+                 buckets: int = DEFAULT_BUCKETS) -> None:
     """``merge_into_bronze`` and its write: the touched partitions are replaced, no other one is
     read or rewritten, and nothing is staged beside the table (Spark moves the new partitions
-    into place once all are complete). Returns the buckets of the table."""
+    into place once all are complete)."""
     counts = counts or RowCounts()
     n = layout.stored_buckets(spark, bronze_root)
     if n is None:
-        write_layer(checked(incoming, "bronze", counts), bronze_root)
-        return DEFAULT_BUCKETS
+        write_layer(checked(incoming, "bronze", counts), bronze_root, buckets=buckets)
+        return
     laid, parts = _incoming(incoming, n)
     merged = _merged(spark, laid, bronze_root, n, parts)
     replace_partitions(with_pair(checked(merged, "bronze", counts)), bronze_root, parts, n_buckets=n)
-    return n
 
 
 def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts: str,
                pairs: Iterable[Pair] | None = None, multi_line: bool = False,
-               merge: bool = False) -> LayerRun:
+               merge: bool = False, buckets: int = DEFAULT_BUCKETS) -> LayerRun:
     """Raw JSON -> bronze table. Skips the write when there is no input
     (``isEmpty`` is a one-row job, not a count). Returns rows written, and read.
 
@@ -226,27 +226,28 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
     if merge:
         held = bronze.persist()  # asked for its partitions, then merged
         try:
-            write_merged(spark, held, bronze_root, counts)
+            write_merged(spark, held, bronze_root, counts, buckets)
         finally:
             held.unpersist()
     else:
-        write_layer(checked(bronze, "bronze", counts), bronze_root)
+        write_layer(checked(bronze, "bronze", counts), bronze_root, buckets=buckets)
     return LayerRun(**counts.taken())
 
 
-def _replace(df: DataFrame, root: str, pairs: list[Pair] | None) -> None:
+def _replace(df: DataFrame, root: str, pairs: list[Pair] | None, buckets: int) -> None:
     """The job's result as the whole table, or as the whole content of the named instruments.
     Nothing that is stored goes before the new rows are complete."""
     if pairs is None:
-        write_layer(df, root, whole_table=True)
+        write_layer(df, root, whole_table=True, buckets=buckets)
     else:
         symbols = [pair_symbols(p) for p in pairs]
         touched = df.sparkSession.createDataFrame(symbols, "from_symbol string, to_symbol string")
-        replace_pairs(with_pair(df), root, touched)
+        replace_pairs(with_pair(df), root, touched, buckets=buckets)
 
 
 def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, *,
-               pairs: Iterable[Pair] | None = None, rejects_root: str | None = None) -> LayerRun:
+               pairs: Iterable[Pair] | None = None, rejects_root: str | None = None,
+               buckets: int = DEFAULT_BUCKETS) -> LayerRun:
     """Bronze -> silver, of all instruments or of ``pairs``. Those whose bars are all rejected
     end up without rows. Returns rows written; by name also the bars read, rejected by a rule,
     unique, and violating a NOT NULL column. With ``rejects_root`` the bars that were not
@@ -258,11 +259,11 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, *,
     counts = RowCounts()
     typed = counts.at(counts.at(cast_bars(bronze), "read"), "rejected", reject_reason().isNotNull())
     silver = derive_silver(counts.at(dedup_latest(clean_bars(typed)), "unique"))
-    _replace(checked(silver, "silver", counts), silver_root, pairs)
+    _replace(checked(silver, "silver", counts), silver_root, pairs, buckets)
     run = LayerRun(**counts.taken())
     if rejects_root is not None:
         rejects = silver_rejects(bronze) if run.rejected or run.violating else silver_rejects(bronze).limit(0)
-        _replace(rejects, rejects_root, pairs)
+        _replace(rejects, rejects_root, pairs, buckets)
     return run
 
 
@@ -276,7 +277,7 @@ def silver_rejects(bronze: DataFrame) -> DataFrame:
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, *, run_ts: str,
              pairs: Iterable[Pair] | None = None, levels: str = "ordered",
-             fill: str = "close") -> LayerRun:
+             fill: str = "close", buckets: int = DEFAULT_BUCKETS) -> LayerRun:
     """Silver -> gold, of all instruments or of ``pairs``. Those that lost their gaps end up
     without rows. Returns rows written; by name also the bars read and the gaps violating a NOT NULL
     column."""
@@ -284,5 +285,5 @@ def run_gold(spark: SparkSession, silver_root: str, gold_root: str, *, run_ts: s
     silver = scan_layer(spark, silver_root, pairs=pairs, schema=SILVER_SCHEMA).drop("pair")
     counts = RowCounts()
     gold = build_gold(counts.at(silver, "read"), run_ts=run_ts, levels=levels, fill=fill)
-    _replace(checked(gold, "gold", counts), gold_root, pairs)
+    _replace(checked(gold, "gold", counts), gold_root, pairs, buckets)
     return LayerRun(**counts.taken())

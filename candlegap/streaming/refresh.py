@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlegap.plans.incremental import Roots, refresh_layers
 from candlegap.plans.pipeline import stamp_ingest
 from candlegap.schemas import BRONZE_SCHEMA
+from candlegap.sinks.layout import DEFAULT_BUCKETS
 from candlegap.sinks.paths import scratch_path
 
 
@@ -50,6 +51,7 @@ def start_refresh(
     max_files_per_trigger: int | None = None,
     levels: str = "ordered",
     fill: str = "close",
+    buckets: int = DEFAULT_BUCKETS,
 ) -> StreamingQuery:
     """Start the refresh stream. ``available_now`` processes what has landed
     and stops (a scheduled incremental run); otherwise it keeps watching."""
@@ -59,7 +61,7 @@ def start_refresh(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(raw_root)
 
-    roots = Roots(bronze_root, silver_root, gold_root, state_root)
+    roots = Roots(bronze_root, silver_root, gold_root, state_root, buckets)
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         refresh_batch(batch, batch_id, roots=roots, levels=levels, fill=fill)
