@@ -156,6 +156,36 @@ def q_gap_first_fill(spark, sf):
     return op.gap_first_fill(silver(spark, sf))
 
 
+# the same operators with an instrument in many tasks: blocks of a few bars, as the given
+# tables hold short histories only
+BLOCK = 8
+
+
+def q_neighbour_bars_blocks(spark, sf):
+    return op.neighbour_bars_in_blocks(silver(spark, sf), BLOCK)
+
+
+def q_detect_gaps_blocks(spark, sf):
+    return op.detect_gaps_in_blocks(silver(spark, sf), block_bars=BLOCK)
+
+
+def q_gap_fill_future_blocks(spark, sf):
+    return op.gap_fill_future_in_blocks(silver(spark, sf), block_bars=BLOCK)
+
+
+def q_daily_return_blocks(spark, sf):
+    return op.derive_fields_in_blocks(typed(spark, sf), BLOCK)
+
+
+def q_rolling_volatility_blocks(spark, sf):
+    return op.rolling_volatility_in_blocks(silver(spark, sf), block_bars=BLOCK)
+
+
+def q_gap_first_fill_blocks(spark, sf):
+    """First fills by a tree of block extremes, without a Python worker."""
+    return op.gap_first_fill_in_blocks(silver(spark, sf), fanout=4, block_bars=BLOCK)
+
+
 # -- silver ------------------------------------------------------------------
 
 def q_cast_bars(spark, sf):

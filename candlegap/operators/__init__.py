@@ -1,5 +1,14 @@
 """DataFrame -> DataFrame operators of the bar, silver and gold layers."""
 
+from candlegap.operators.blocks import (
+    derive_fields_in_blocks,
+    detect_gaps_in_blocks,
+    future_extremes_in_blocks,
+    gap_fill_future_in_blocks,
+    gap_first_fill_in_blocks,
+    neighbour_bars_in_blocks,
+    rolling_volatility_in_blocks,
+)
 from candlegap.operators.enrich import daily_range, daily_return, derive_fields, rolling_volatility
 from candlegap.operators.gaps import (
     detect_bearish,

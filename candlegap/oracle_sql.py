@@ -475,3 +475,6 @@ ORACLE_SQL["volatility_since"] = with_(*SILVER, _vol_cte()) + f"""
 SELECT * FROM vol v WHERE date >= (
     SELECT MIN(CAST(date AS DATE)) FROM bronze s WHERE s.date >= '{UPSERT_INCOMING_FROM}'
       AND s.from_symbol = v.from_symbol AND s.to_symbol = v.to_symbol)"""
+
+for _name in ("neighbour_bars", "detect_gaps", "gap_fill_future", "daily_return", "rolling_volatility", "gap_first_fill"):
+    ORACLE_SQL[f"{_name}_blocks"] = ORACLE_SQL[_name]
