@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlegap import operators as op
@@ -344,6 +344,40 @@ def q_last_bar_date(spark, sf):
     return reports.last_bar_date(silver(spark, sf))
 
 
+def q_report_largest_moves_in_parallel(spark, sf):
+    return reports.report_largest_moves_in_parallel(silver(spark, sf), TOP)
+
+
+def _positioned(name: str, build: Callable[[DataFrame], DataFrame], layer: Query) -> Query:
+    def run(spark, sf):
+        return reports.positioned(build(layer(spark, sf)), name)
+
+    run.__doc__ = f"The rows of {name} with their place in its order."
+    return run
+
+
+for _name in reports.ORDERS:
+    globals()[f"q_position_{_name}"] = _positioned(
+        _name, getattr(reports, _name),
+        silver if _name in ("report_volatility", "report_largest_moves") else gaps_ordered)
+
+
+def q_raw_file_order(spark, sf):
+    """Two documents an instrument, the later days delivered first, through the ingest job: each
+    record with its place among its instrument's records as the files hold them."""
+    docs, raw = scratch_path(spark, "docs-order"), scratch_path(spark, "raw-order")
+    b = bronze(spark, sf)
+    for late in (True, False):
+        part = b.where((F.col("date") >= UPSERT_INCOMING_FROM) == late)
+        bronze_to_documents(part).write.mode("append").json(docs)
+    pipeline.run_documents(spark, docs, raw, ingest_ts=RUN_TS, source="events", buckets=BUCKETS)
+    rows = spark.read.schema(BRONZE_SCHEMA).json(raw).select(
+        "date", "from_symbol", "to_symbol", "month", F.input_file_name().alias("file"),
+        F.monotonically_increasing_id().alias("line"))
+    held = Window.partitionBy("from_symbol", "to_symbol").orderBy("month", "file", "line")
+    return rows.select("date", "from_symbol", "to_symbol", F.row_number().over(held).cast("long").alias("position"))
+
+
 # -- sources and sinks ---------------------------------------------------------
 
 def q_classify_documents(spark, sf):

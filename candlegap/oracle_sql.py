@@ -20,6 +20,7 @@ from candlegap.catalog import (
     UPSERT_INCOMING_FROM,
     WHITELIST,
 )
+from candlegap.plans.reports import ORDERS
 
 PAIR = "from_symbol, to_symbol"
 W_PAIR = f"PARTITION BY {PAIR} ORDER BY date"
@@ -478,3 +479,11 @@ SELECT * FROM vol v WHERE date >= (
 
 for _name in ("neighbour_bars", "detect_gaps", "gap_fill_future", "daily_return", "rolling_volatility", "gap_first_fill"):
     ORACLE_SQL[f"{_name}_blocks"] = ORACLE_SQL[_name]
+
+ORACLE_SQL["report_largest_moves_in_parallel"] = ORACLE_SQL["report_largest_moves"]
+for _name, _order in ORDERS.items():
+    _by = ", ".join(f"{c[1:]} DESC NULLS LAST" if c.startswith("-") else f"{c} NULLS FIRST" for c in _order)
+    _report = "sql_report_monthly_activity" if _name == "report_monthly_activity" else _name
+    ORACLE_SQL[f"position_{_name}"] = f"SELECT *, row_number() OVER (ORDER BY {_by}) AS position FROM ({ORACLE_SQL[_report]})"
+ORACLE_SQL["raw_file_order"] = with_(*BASE) + f"""
+SELECT date, from_symbol, to_symbol, row_number() OVER ({W_PAIR}) AS position FROM bronze"""

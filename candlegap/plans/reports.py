@@ -15,9 +15,29 @@ from pyspark.sql import functions as F
 
 from candlegap.functions.columns import PAIR_KEYS
 from candlegap.operators.enrich import rolling_volatility
+from candlegap.operators.positions import top_with_ties, with_positions
 
 PAIR = list(PAIR_KEYS)
 
+#: The order of each report's rows, descending where marked; the instrument and the date break ties.
+ORDERS = {
+    "report_gaps_by_size": ("-fvg_size_pips", *PAIR, "date"),
+    "report_active_gaps": ("-date", *PAIR),
+    "report_fill_rate": ("-fill_rate_pct", "fvg_type"),
+    "report_monthly_activity": ("-month", *PAIR),
+    "report_volatility": ("-date", *PAIR),
+    "report_largest_moves": ("move_rank", *PAIR, "date"),
+}
+
+
+def report_order(name: str) -> list[Column]:
+    return [F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in ORDERS[name]]
+
+
+def positioned(report: DataFrame, name: str) -> DataFrame:
+    """A report's rows with their ``position`` in its order."""
+    return with_positions(report, *report_order(name))
+
 
 def _abs_size() -> Column:
     return F.abs(F.col("fvg_size_pips")).alias("fvg_size_pips")
@@ -29,7 +49,7 @@ def report_gaps_by_size(gold: DataFrame) -> DataFrame:
     return gold.select(
         "date", *PAIR, "fvg_type", "fvg_high", "fvg_low", _abs_size(), "is_filled",
         status.alias("status"),
-    ).orderBy(F.col("fvg_size_pips").desc(), *PAIR, "date")
+    ).orderBy(*report_order("report_gaps_by_size"))
 
 
 def report_active_gaps(gold: DataFrame) -> DataFrame:
@@ -37,7 +57,7 @@ def report_active_gaps(gold: DataFrame) -> DataFrame:
     Parquet scan of gold as a pushed predicate."""
     return (gold.filter(F.col("is_filled") == 0)
             .select("date", *PAIR, "fvg_type", "fvg_high", "fvg_low", _abs_size())
-            .orderBy(F.col("date").desc(), *PAIR))
+            .orderBy(*report_order("report_active_gaps")))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -57,7 +77,7 @@ def report_fill_rate(gold: DataFrame) -> DataFrame:
         filled.alias("filled_count"),
         (F.count(F.lit(1)) - filled).alias("unfilled_count"),
         percent(filled, F.count(F.lit(1))).alias("fill_rate_pct"),
-    ).orderBy(F.col("fill_rate_pct").desc(), "fvg_type"))
+    ).orderBy(*report_order("report_fill_rate")))
 
 
 def report_monthly_activity(gold: DataFrame, *, by_pair: bool = True) -> DataFrame:
@@ -125,6 +145,15 @@ def report_largest_moves(silver: DataFrame, top: int = 10) -> DataFrame:
     return _moves(silver, w, top).orderBy("move_rank", *PAIR, "date")
 
 
+def report_largest_moves_in_parallel(silver: DataFrame, top: int = 10) -> DataFrame:
+    """``report_largest_moves`` in two passes (``top_with_ties``), for tables where very many bars
+    tie or have no return: those would all meet in the one partition of a global window. Runs
+    one job for the ``top`` largest values when called."""
+    rows = silver.select("date", *PAIR, "open", "high", "low", "close", "daily_range", "daily_return")
+    return top_with_ties(rows, F.abs(F.col("daily_return")), top, name="move_rank").orderBy(
+        *report_order("report_largest_moves"))
+
+
 def largest_moves_per_pair(silver: DataFrame, top: int = 10) -> DataFrame:
     """``report_largest_moves`` within each instrument (group limit per pair)."""
     w = Window.partitionBy(*PAIR).orderBy(F.abs(F.col("daily_return")).desc_nulls_last())
@@ -185,6 +214,6 @@ def last_bar_date(silver: DataFrame) -> DataFrame:
 __all__ = [
     "gap_summary", "largest_gaps", "largest_moves_per_pair", "last_bar_date",
     "latest_active_gaps", "latest_bars", "report_active_gaps", "report_fill_rate",
-    "report_gaps_by_size", "report_largest_moves", "report_monthly_activity",
-    "report_volatility",
+    "report_gaps_by_size", "report_largest_moves", "report_largest_moves_in_parallel",
+    "report_monthly_activity", "report_order", "report_volatility", "positioned",
 ]
