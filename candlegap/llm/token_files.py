@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,7 +36,17 @@ SEQUENCE_LENGTH = 1024
 BATCH_ROWS = 64
 END_ID = 1
 #: Distinct words that one worker remembers before it starts afresh.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
+#: Small Latin letters: precomposed, so that the vocabulary's normalizer leaves them as they are.
+_SMALL = "a-z" + "".join(chr(c) for c in range(0xDF, 0x180) if chr(c).islower())
+_PLAIN = re.compile(f"[!-@\\[-~{_SMALL}]+")
+#: Fixed value: the vocabulary's pre-tokenizer pattern, for words of such characters.
+_UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|[^{_SMALL}0-9]+")
+#: The character that stands for each byte in the vocabulary: itself where it can be seen in
+#: Latin-1, the others from 256 on.
+_SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _SEEN]
+_BYTE_CHARS = [chr(b) if b in _SEEN else chr(256 + _HIDDEN.index(b)) for b in range(256)]
 MANIFEST_SCHEMA = "part int, file string, doc_id long, local_start long, n_tokens long"
 
 
@@ -52,6 +63,9 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(tokenizer_file)
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.model = self.library.model
+        size = np.dtype(self.dtype).itemsize
+        self.packed = [i.to_bytes(size, "little") for i in range(self.library.get_vocab_size())]
         self.words: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -71,6 +85,16 @@ class WordTokenizer:
             self.learn([w for w in set(words) if w not in known])
             return b"".join([known[w] for w in words])
 
+    def unit(self, unit: str) -> bytes:
+        """Ids of one unit of the pre-tokenizer, which is a word of its own as well."""
+        raw = unit.encode("utf-8")
+        found = self.words.get(raw) or self.older.get(raw)
+        if found is None:
+            packed, mapped = self.packed, unit if unit.isascii() else "".join([_BYTE_CHARS[b] for b in raw])
+            found = b"".join([packed[t.id] for t in self.model.tokenize(mapped)])
+        self.words[raw] = found
+        return found
+
     def learn(self, words: list[bytes]) -> None:
         plain, others = [], []
         for word in words:
@@ -79,6 +103,9 @@ class WordTokenizer:
                 self.words[word] = found
             else:
                 value = word.decode("utf-8")
+                if _PLAIN.fullmatch(value) and "<|" not in value:
+                    self.words[word] = b"".join([self.unit(u) for u in _UNITS.findall(value)])
+                    continue
                 (plain if value.isalpha() else others).append((word, value))
         # words of letters only are one unit of the pre-tokenizer each: one call for many
         for at in range(0, len(plain), 4096):
