@@ -121,6 +121,18 @@ def test_pages_text(spark):
      '<table><tr><td class="ad">x<td>e</table></article>', ["a", "b", "c", "d", "e"]),
     ('<aside><article>x</article></aside><p>a</p><form>x</form>', ["a"]),
     ('<article><div class="cookie-banner">x</div><div hidden>x</div><p aria-hidden="false">a</p></article>', ["a"]),
+    # what closes itself, or at once, holds nothing of what follows
+    ('<article><p>a <svg class="i"/> b</p><svg><text>x</text></svg><p>c <svg d="/>"/>d</p></article>', ["a b", "c d"]),
+    ('<article><p>a <object data="x"/>b</p><p><object data="y">c</object></p></article>', ["a b", "c"]),
+    ('<article><!--><p>a</p><!---><p>b</p><!-- x --!><p>c</p><!-- <p>x</p> --></article>', ["a", "b", "c"]),
+    ('<article><script>x</script foo><p>a</p><style>x</style\n><p>b</p><script/>x</script><p>c</p></article>', ["a", "b", "c"]),
+    ('<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>', ["so x=1 holds"]),
+    # headings and their sections are the article's, whatever words their ids are made from
+    ('<article><h2 id="discussion">Discussion</h2><section id="discussion"><p>a <a href="/">b</a></p></section>'
+     '<h3 class="social">S</h3><section id="navigation">n</section></article>', ["Discussion", "a b", "S", "n"]),
+    ('<article><p>a</p><section id="comments"><p>x</p><textarea>x</textarea></section><section class="comments">x</section>'
+     '<div id="comments">x</div></article>', ["a"]),
+    ('<p>a</p><section id="comments"><p>x</p></section>', ["a"]),
 ])
 def test_markup_drops_what_it_names_and_no_more(html, want):
     assert html_text.blocks(html)[0] == want
