@@ -11,7 +11,7 @@ corrected for the filter's false positives, f = (share of set cells) ** hashes:
 The largest corrected count decides; ``score`` is its share of all corrected counts.
 
 Learning: from a sample of at most ``TRAIN_DOCS`` labelled documents (those first by a hash
-of their id; ids that tie at the end of the sample are left out), whole texts, of the documents whose ``crc32(doc_id) mod 3`` is not 1. An n-gram goes to
+of their id, rows with one id in the order they are read), whole texts, of the documents whose ``crc32(doc_id) mod 3`` is not 1. An n-gram goes to
 each language in which it is at least ``DISTINCT`` times as frequent as in its most frequent
 language, and seen ``MIN_COUNT`` times. The filters are as large as this bounded sample asks for.
 
@@ -146,12 +146,19 @@ def fold(doc_id: str = "doc_id") -> Column:
 def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> LanguageFilters:
     """Filters from a bounded sample of the labelled documents that are not held out."""
     labelled = docs.where((fold() != 1) & F.col("lang").isNotNull())
-    # hashes alone are ordered; texts are read for the rows before the hash that ends the sample
+    # hashes alone are ordered; texts are read for the rows up to the hash that ends the sample
     hashed = F.xxhash64("doc_id")
     first = labelled.select(hashed.alias("h")).orderBy("h").limit(train_docs + 1)
     end = first.agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("h")).first()
-    inside = hashed < F.lit(end["h"]) if end["n"] > train_docs else F.lit(True)
-    sample = labelled.where(inside).select("lang", "text").transform(spread)  # at most train_docs rows
+    if end["n"] > train_docs:
+        before = first.where(F.col("h") < F.lit(end["h"])).count()
+        sample = labelled.where(hashed < F.lit(end["h"]))
+        # rows that tie with it fill the sample up: copies of one id may be any number of rows
+        ties = labelled.where(hashed == F.lit(end["h"])).limit(train_docs - before)
+        sample = sample.select("lang", "text").unionByName(ties.select("lang", "text"))
+    else:
+        sample = labelled.select("lang", "text")
+    sample = sample.transform(spread)  # at most train_docs rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in sliced(batches):

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candlegap.llm import fingerprints as fp
 from candlegap.llm import language_id, pii, shingles
@@ -213,3 +214,13 @@ def test_language_id_of_odd_texts(edge_documents):
     got = {r["doc"]["doc_id"]: r for r in language_id.identify(edge_documents, filters, ["doc_id", "sig"]).collect()}
     assert {got[k]["lang_pred"] for k in (3, 4, 5, 9)} == {"und"} and got[7]["lang_pred"] != "und"
     assert all(0 <= r["score"] <= 1 for r in got.values())
+
+
+def test_rows_that_share_an_id_teach_a_language(spark):
+    words = {"en": "the quick brown foxes were jumping over lazy sleeping dogs", "de": "zwischen schönen Häusern laufen viele kleine Kinder"}
+    one, two = [k for k in range(30) if zlib.crc32(str(k).encode()) % 3 != 1][:2]  # not held out
+    rows = [(one, words[lang] + f" {k}", lang) for k in range(60) for lang in words]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.learn(docs, train_docs=100).languages == ["de", "en"]
+    few = language_id.learn(docs.unionByName(docs.withColumn("doc_id", F.lit(two).cast("long"))), train_docs=130)
+    assert few.predict([words["en"], words["de"]])[0] == ["en", "de"]
