@@ -7,10 +7,13 @@ import collections
 import hashlib
 import random
 import re
+from fractions import Fraction
 
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlegap.llm import html_text, mixing, ngram_join, warc
@@ -228,20 +231,76 @@ def test_mixing_equals_its_sql_and_keeps_to_the_weights(spark):
     assert rows.sort_values(key).reset_index(drop=True).astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
 
 
-@pytest.mark.parametrize("weights", [{"a": 0.7, "b": 0.2, "c": 0.1}, {"a": 1, "b": 1, "c": 3}, None])
+def earliest_deadline_first(ws: list[int], slots: int) -> list[tuple[int, int]]:
+    """(source, block) of each slot, by one run over all of them."""
+    q, done, out = sum(ws), [0] * len(ws), []
+    for t in range(slots):
+        _, i = min((-((v + 1) * q // -w), i) for i, (v, w) in enumerate(zip(done, ws, strict=True)) if v * q // w <= t)
+        out.append((i, done[i]))
+        done[i] += 1
+    return out
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.7, "b": 0.2, "c": 0.1}, {"a": 1, "b": 1, "c": 3}, {"a": 2, "b": 1}, None])
 def test_less_than_one_block_from_the_weights(spark, weights):
     docs = spark.createDataFrame([(i, "aab"[i % 3] if i % 7 else "c") for i in range(900)], "doc_id long, source string")
-    rows = mixing.place(docs, weights, block_docs=4, slots=40).select("doc.source", "mix.*").toPandas()
+    rows = mixing.place(docs, weights, block_docs=4).select("doc.source", "mix.*").toPandas()
     blocks = rows.drop_duplicates(["source", "block"]).sort_values("slot")
-    assert blocks["slot"].is_unique and ((blocks["slot"] >= blocks["release"]) & (blocks["slot"] < blocks["deadline"])).all()
     inside = blocks[blocks["in_target"]]
+    assert blocks["slot"].is_unique and ((inside["slot"] >= inside["release"]) & (inside["slot"] < inside["deadline"])).all()
     assert list(inside["slot"]) == list(range(len(inside))) and len(rows) == 900
-    period = mixing.schedule(mixing._quotas(docs.selectExpr("'s:' || source AS src").groupBy("src").count()
-                                            .withColumnRenamed("count", "n"), weights, 40)).where("j = 0").collect()
-    for r in period:
-        share = r["k"] / r["q"]
-        had = (inside["source"] == r["src"][2:]).cumsum().to_numpy()
-        assert (np.abs(had - share * np.arange(1, len(had) + 1)) < 1).all()
+    after = blocks[~blocks["in_target"]]
+    assert after.sort_values(["deadline", "source"])["slot"].is_monotonic_increasing and (after["slot"] >= len(inside)).all()
+    sizes = rows["source"].value_counts()
+    target = weights or {s: round(1000 * n ** 0.5) for s, n in sizes.items()}
+    target = {s: Fraction(str(target.get(s, min(target.values())))) for s in sizes.index}
+    for s, w in target.items():
+        share = w / sum(target.values())
+        had = (inside["source"] == s).cumsum()
+        assert all(abs(n - share * t) < 1 for t, n in enumerate(had, 1))
+    short = {s: -(-n // 4) for s, n in sizes.items()}
+    ws = list(mixing.integer_weights({s: float(target[s]) for s in sorted(target)}).values())
+    want = earliest_deadline_first(ws, len(inside) + 1)
+    names = sorted(target)
+    assert [(names[i], j) for i, j in want[:-1]] == list(zip(inside["source"], inside["block"], strict=True))
+    assert want[-1][1] == short[names[want[-1][0]]]  # the horizon: a block that its source lacks
+
+
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=9))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_ranges_scheduled_apart_are_one_schedule(spark, monkeypatch, ws):
+    """Many short ranges, where most begins have spanning blocks, equal one run over all slots."""
+    monkeypatch.setattr(mixing, "RANGE_SLOTS", 1)
+    q, slots = sum(ws), 6 * (sum(ws) // min(ws) + 2)
+    one = spark.range(1).select(
+        F.array(*[F.struct(F.lit(f"s:{i}").alias("src"), F.lit(w).cast("long").alias("w"), F.lit(10 ** 6).cast("long").alias("blocks"))
+                  for i, w in enumerate(ws)]).alias("sources"),
+        F.lit(q).cast("long").alias("q"), F.lit(slots).cast("long").alias("h"), F.lit(q // min(ws) + 2).cast("long").alias("l"))
+    got = mixing.schedule(one).orderBy("slot").collect()
+    assert [r["slot"] for r in got] == list(range(slots))
+    assert [(int(r["src"][2:]), r["block"]) for r in got] == earliest_deadline_first(ws, slots)
+
+
+def test_many_small_sources_keep_their_weights(spark):
+    """One large source and a thousand of few documents: the large one has its share, which is a
+    hundredth of the slots of one period and of no period of a thousand slots."""
+    docs = spark.range(15_000).selectExpr("id AS doc_id", "if(id < 5000, 'large', concat('s', id % 1000)) AS source")
+    rows = mixing.place(docs, block_docs=4).select("doc.source", "mix.*").toPandas()
+    inside = rows[rows["in_target"]].drop_duplicates(["source", "block"]).sort_values("slot")
+    assert list(inside["slot"]) == list(range(len(inside))) and len(inside) > 1000 and len(rows) == 15_000
+    weight = {s: round(1000 * n ** 0.5) for s, n in rows["source"].value_counts().items()}
+    q = sum(weight.values())
+    for s in ("large", "s0", "s999"):
+        had = (inside["source"] == s).cumsum()
+        assert all(abs(n * q - weight[s] * t) < q for t, n in enumerate(had, 1))
+
+
+def test_weights_are_exact():
+    assert mixing.integer_weights({"a": 0.7, "b": 0.2, "c": 0.1, "d": 0}) == {"a": 7, "b": 2, "c": 1}
+    assert mixing.integer_weights({"a": 0.0001, "b": 0.9999}) == {"a": 1, "b": 9999}
+    for bad in ({"a": -1}, {"a": float("nan")}, {"a": 0}, {"a": 1e-12, "b": 1}):
+        with pytest.raises(ValueError):
+            mixing.integer_weights(bad)
 
 
 def test_mixing_edges(edge_documents, no_documents):
