@@ -13,16 +13,24 @@ Documents that hold e in one passage (equal ``WINDOW`` terms on both sides; of a
 passages of e the one of least hash stands for it) are copies and count once in all four
 numbers of a pair, however often a document repeats e or t.
 
-A term is sanitised where its disclosure is at least ``DISCLOSURE`` and meeting in so many
-documents is no chance: the Chernoff bound of the hypergeometric tail, times the number of
-terms that e is met with (Bonferroni), is at most ``CHANCE``. No number of documents is asked
-for, so an entity met once is decided too: a term of its document alone, one among m terms,
-goes where m / N is at most ``CHANCE``. A term goes at each of its places in each document
-that holds e. From ``REMOVE`` on it is removed, below that generalised to a class mark.
+As disclosure(t, e) = 1 + log2(P(e | t)) / IC(e), what decides is P(e | t) = df(t, e) / df(t),
+and that is an estimate. A term is sanitised where
+
+* the disclosure by the lower confidence bound of P(e | t) (Wilson's, ``Z``) is at least
+  ``DISCLOSURE``,
+* meeting in so many documents is no chance: the Chernoff bound of the hypergeometric tail, times
+  the number of terms that e is met with (Bonferroni), is at most ``CHANCE``, and
+* t and e meet in at least ``LEAST`` documents that are no copies. Every word of one document
+  alone meets whatever else that document holds, so one meeting is no evidence, in however
+  large a corpus.
+
+A term goes at each of its places in each document that holds e. From a disclosure (the
+estimate) of ``REMOVE`` on it is removed, below that generalised to a class mark.
 
 All counts cover all documents: words are counted in each task's table before they are
-shuffled. Terms too frequent for the threshold, whatever they are met with, are left out
-before terms meet entities. Keys that many rows share are joined by broadcast.
+shuffled. Entities and terms that too few documents hold, and terms too frequent for the threshold
+whatever they are met with, are left out before terms meet entities, so a list of addresses
+that no other document holds makes no pairs. Keys that many rows share are joined by broadcast.
 
 Defined results: NULL and empty texts have no spans; offsets are code points of the whole
 text, end exclusive; repeated rows (also with equal or NULL ``doc_id``) are separate
@@ -49,6 +57,9 @@ KINDS = ("email", "ip", "card", "phone", "term")
 WINDOW = 6
 CHANCE = 0.05
 DISCLOSURE = 0.8
+#: Quantile of the one-sided confidence bound (95 %), and documents in which a pair must meet.
+Z = 1.645
+LEAST = 2
 REMOVE = 0.95
 #: Distinct terms that a task counts before it hands them on.
 TABLE_TERMS = 300_000
@@ -206,14 +217,15 @@ def _exponent(n: Column, k: Column, p: Column) -> Column:
 
 
 def candidates(found: DataFrame, docs: DataFrame, n: int, text: str = "text",
-               disclosure: float = DISCLOSURE) -> DataFrame:
+               disclosure: float = DISCLOSURE, least: int = LEAST) -> DataFrame:
     """``row, ctx, term, df_term, e`` for each entity (the struct ``e``: entity, its documents,
-    passages, and terms tested) and each term of its document that is rare enough to reveal it."""
+    passages, and terms tested) and each term of its document that ``least`` documents hold and
+    that is rare enough to reveal it."""
     private = found.where(F.size("entities") > 0)
     held = private.select("row", F.size("words").alias("m"), F.explode("entities").alias("x")).select("row", "m", "x.*")
     entities = (held.groupBy("entity", "ctx").agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("m"))
                 .groupBy("entity").agg(F.sum("n").alias("df"), F.count(F.lit(1)).alias("passages"), F.sum("m").alias("m")))
-    entities = written(entities, "pii-entities")
+    entities = written(entities.where(F.col("passages") >= least), "pii-entities")
     total = F.col("n_docs") - F.col("df") + F.col("passages")
     # at most df - passages of a term's documents are copies, and the others must be few
     most = F.col("df") - F.col("passages") + total * F.pow(F.col("passages") / total, F.lit(disclosure))
@@ -225,12 +237,19 @@ def candidates(found: DataFrame, docs: DataFrame, n: int, text: str = "text",
     terms = written(term_documents(docs, text).withColumnRenamed("n", "df_term"), "pii-terms")
     words = private.select("row", F.explode("words.term").alias("term"))
     words = words.join(held.groupBy("row").agg(F.max("most").alias("row_most")), "row")
-    words = _joined(words, terms, ["term"], "df_term", n).where("df_term <= row_most").select("row", "term", "df_term")
+    words = _joined(words, terms.where(F.col("df_term") >= least), ["term"], "df_term", n).where("df_term <= row_most").select("row", "term", "df_term")
     near = held.join(words, "row").where("df_term <= most").select("row", "ctx", "term", "df_term", "e")
     return written(near, "pii-candidates")
 
 
-def revealing_terms(near: DataFrame, n: int, chance: float = CHANCE, disclosure: float = DISCLOSURE) -> DataFrame:
+def _lower(k: Column, n: Column) -> Column:
+    """Wilson's lower confidence bound of a share of which ``k`` of ``n`` were seen."""
+    p, z2 = k / n, Z * Z
+    return (p + z2 / (2 * n) - Z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def revealing_terms(near: DataFrame, n: int, chance: float = CHANCE, disclosure: float = DISCLOSURE,
+                    least: int = LEAST) -> DataFrame:
     """``entity, term, both, disclosure`` of the terms that give an entity away, from ``candidates``."""
     pairs = (near.groupBy("e", "term", "df_term", "ctx").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("e", "term", "df_term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("k")))
@@ -239,9 +258,10 @@ def revealing_terms(near: DataFrame, n: int, chance: float = CHANCE, disclosure:
     of_e, of_t, k = F.col("e.passages"), F.col("df_term") - F.col("both") + F.col("k"), F.col("k")
     ic = F.log2(total / of_e)
     pmi = F.log2(k * total / (of_t * of_e))
+    sure = 1 + F.log2(_lower(k, of_t)) / ic
     exponent = F.greatest(_exponent(of_e, k, of_t / total), _exponent(of_t, k, of_e / total))
     return (pairs.withColumn("disclosure", F.when(ic > 0, pmi / ic))
-            .where((F.col("disclosure") >= disclosure) & (exponent >= F.log(F.col("e.m") / F.lit(chance))))
+            .where((ic > 0) & (k >= least) & (sure >= disclosure) & (exponent >= F.log(F.col("e.m") / F.lit(chance))))
             .select("e.entity", "term", "both", "disclosure"))
 
 

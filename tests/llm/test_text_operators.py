@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -116,16 +118,77 @@ def test_terms_that_reveal_an_entity_are_removed(spark):
     assert "zyxclinic" not in text and "[EMAIL]" in text and "note" in text
 
 
-def test_an_entity_met_once_is_decided(spark):
+@pytest.mark.parametrize("others", [60, 600, 6000])
+def test_one_document_is_no_evidence_at_any_size(spark, others):
     between = " ".join(["some text about this and that"] * 5)
     rows = [(0, f"zyxclinic here, {between}, mail jo@x.org, {between}, the ZyxClinic there")]
-    rows += [(i, f"some text about this and that mail here the there, {between}") for i in range(1, 600)]
+    rows += [(1 + i, f"ward {chr(97 + i) * 4} qvward mail al@x.org, {between} {chr(98 + i) * 5}") for i in range(6)]
+    rows += [(10 + i, f"some text about this and that mail here the there ward, {between}") for i in range(others)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
-    first = rows[0][1]
-    places = [first.index("zyxclinic"), first.index("ZyxClinic")]  # both far from the address
-    assert [s for s in found[0].split(",") if s.startswith("term")] == [f"term:{p}:{p + 9}" for p in places]
-    assert {found[i] for i in range(1, 600)} == {""}
+    found = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("term")] for r in pii.personal_data(docs).collect()}
+    for i in range(6):  # met in six documents and no other
+        at = rows[1 + i][1].index("qvward")
+        assert found[1 + i] == [f"term:{at}:{at + 6}"]
+    assert not any(found[i] for i in found if not 1 <= i <= 6)
+
+
+def test_terms_equal_the_definition(spark):
+    """Random documents against counts and formulas in plain Python."""
+    rng, rows = random.Random(5), []
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(120)]
+    for i in range(240):
+        who = rng.randrange(12) if i < 60 else None
+        text = rng.sample(words, 12) + ([] if who is None else [f"u{who}@x.org", *[f"sign{chr(97 + who)}"] * (rng.random() < 0.9)])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.detect(docs, ["doc_id"])
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.revealing_terms(
+        pii.candidates(found, docs, len(rows), disclosure=0.5), len(rows), disclosure=0.5).collect()}
+    n, held, having = len(rows), collections.defaultdict(list), collections.Counter()
+    for _, text in rows:
+        terms = {w for w in text.split() if "@" not in w}
+        having.update(terms)
+        for w in text.split():
+            if "@" in w:
+                held[pii._hash(f"0:{w}")].append(terms)
+    want = {}
+    for entity, documents in held.items():  # no two passages are equal here
+        df, m = len(documents), sum(map(len, documents))
+        ic = math.log2(n / df)
+        for term in set().union(*documents):
+            k, of = sum(term in d for d in documents), having[term]
+            p, z2 = k / of, pii.Z ** 2
+            low = (p + z2 / (2 * of) - pii.Z * math.sqrt(p * (1 - p) / of + z2 / (4 * of * of))) / (1 + z2 / of)
+            tails = []
+            for draws, chance in ((df, of / n), (of, df / n)):
+                a = k / draws
+                rest = (1 - a) * math.log((1 - a) / (1 - chance)) if a < 1 else 0
+                tails.append(draws * (a * math.log(a / chance) + rest) if a > chance else 0)
+            if k >= 2 and 1 + math.log2(low) / ic >= 0.5 and max(tails) >= math.log(m / pii.CHANCE):
+                want[entity, term] = 1 + math.log2(p) / ic
+    assert len(want) > 5 and got == pytest.approx(want)
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    def plain(text):
+        spans = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+                  if all(int(x) <= 255 for x in m[0].split("."))]
+        for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+            if 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+                spans.append((m.start(), 2, m.end()))
+        spans += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+                  if 10 <= sum(c in "0123456789" for c in m[0]) <= 15]
+        return sorted(spans)
+
+    texts = [r["text"] for r in read_table(spark, "/root/testdata/sf0.01", "documents", "text").collect()]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices("01239.+-@a () 4", k=60)) for _ in range(3000)]
+    assert sum(len(plain(t or "")) for t in texts) > 50
+    assert [pii.base_spans(t) for t in texts] == [plain(t or "") for t in texts]
 
 
 def test_a_document_counts_once_however_often_it_repeats_an_entity(spark):
@@ -134,8 +197,8 @@ def test_a_document_counts_once_however_often_it_repeats_an_entity(spark):
     rows = [(0, listed)] + [(i, f"{'common' if i < 30 else 'other'} words are here") for i in range(1, 900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = pii.detect(docs, ["doc_id"])
-    near = pii.candidates(found, docs, 900, disclosure=0.1)
-    counts = {r["term"]: (r["both"], r["disclosure"]) for r in pii.revealing_terms(near, 900, chance=1e9, disclosure=0.1).collect()}
+    near = pii.candidates(found, docs, 900, disclosure=0.1, least=1)
+    counts = {r["term"]: (r["both"], r["disclosure"]) for r in pii.revealing_terms(near, 900, chance=1e9, disclosure=0.1, least=1).collect()}
     assert counts["common"][0] == 1 and counts["common"][1] == pytest.approx(math.log2(900 / 30) / math.log2(900))
     spans = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}[0].split(",")
     at = listed.index("common")
