@@ -18,8 +18,9 @@ Queries come in blocks of about ``QUERY_ROWS``; each pair of a shard and a block
 task's work, so memory does not grow with the table.
 
 Defined results: vectors that are NULL, zero, of another length than most, or hold a NULL or
-non-finite component, and rows without ``vec_id``, take no part; a query's own candidates exclude
-all rows with its ``vec_id``; equal scores go by ``vec_id``; fewer candidates than k are all
+non-finite component, and rows without ``vec_id``, take no part; rows that repeat a ``vec_id`` are
+a query for each of their vectors, told apart by ``vector``, a hash of it, and equal rows are one query; a query's
+own candidates exclude all rows with its ``vec_id``; equal scores go by ``vec_id``; fewer candidates than k are all
 returned; an empty table gives no rows; other columns are ignored.
 """
 
@@ -41,7 +42,7 @@ SHARD_ROWS = 8192
 QUERY_ROWS = 4096
 K = 20
 QUERY_EVERY = 20
-RESULT = "query_id long, vec_id long, score double"
+RESULT = "query_id long, vector long, vec_id long, score double"
 
 
 @dataclass(frozen=True)
@@ -124,16 +125,17 @@ def _matrix(table: pa.Table) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k rows of ``vectors`` with the largest inner
+    """``query_id, rank, vec_id, score, vector``: the k rows of ``vectors`` with the largest inner
     product found for each row of ``queries``."""
     base = usable(vectors)
     sizes = (base.groupBy(F.size("embedding").alias("dim")).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)).alias("norm2"))
         .orderBy(F.desc("n"), "dim").first())  # one row
     if sizes is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double, vector long")
     base = base.where(F.size("embedding") == sizes["dim"])
-    asked = usable(queries).where(F.size("embedding") == sizes["dim"])
+    asked = (usable(queries).where(F.size("embedding") == sizes["dim"]).withColumn("vector", F.xxhash64("embedding"))
+             .dropDuplicates(["vec_id", "embedding"]))
     sample = base.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).toPandas()  # bounded
     codes = Codes.learn(np.stack(sample["embedding"]), float(np.sqrt(sizes["norm2"])), sizes["n"], k)
     shared = vectors.sparkSession.sparkContext.broadcast(codes)
@@ -141,37 +143,38 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
 
     def dealt(df: DataFrame, own: str, n: int, other: str, times: int) -> DataFrame:
-        return df.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own),
+        return df.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own),
                          F.explode(F.sequence(F.lit(0), F.lit(times - 1))).alias(other))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
-                          "score": pa.array([], pa.float64())})
+        empty = pa.table({"query_id": pa.array([], pa.int64()), "vector": pa.array([], pa.int64()),
+                          "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not left.num_rows or not right.num_rows:
             return empty
         c, x, q = shared.value, _matrix(left), _matrix(right)
-        ids, query_ids = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
+        ids = left.column("vec_id").to_numpy()
+        asking = (right.column("vec_id").to_numpy(), right.column("vector").to_numpy())
         index = ShardIndex(c.encode(c.lifted(x)), c.radius)
         out = []
-        for query_id, vector, code in zip(query_ids, q, c.encode(c.lifted(q, query=True)), strict=True):
+        for query_id, name, vector, code in zip(*asking, q, c.encode(c.lifted(q, query=True)), strict=True):
             rows = index.within(code)
             rows = rows[ids[rows] != query_id]
             if len(rows) < k:
                 rows = np.flatnonzero(ids != query_id)
             score = (x[rows] * vector).sum(axis=1)  # row by row: equal vectors have equal scores
             best = np.lexsort((ids[rows], -score))[:k]
-            out.append((np.full(len(best), query_id), ids[rows[best]], score[best]))
+            out.append((np.full(len(best), query_id), np.full(len(best), name), ids[rows[best]], score[best]))
         found = [np.concatenate(part) for part in zip(*out, strict=True)]
-        return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()),
-                         "score": pa.array(found[2], pa.float64())})
+        return pa.table({"query_id": pa.array(found[0], pa.int64()), "vector": pa.array(found[1], pa.int64()),
+                         "vec_id": pa.array(found[2], pa.int64()), "score": pa.array(found[3], pa.float64())})
 
     rows = spread(dealt(base, "shard", shards, "block", blocks), "shard", "block").groupBy("shard", "block")
-    wanted = spread(dealt(asked, "block", blocks, "shard", shards).select("vec_id", "embedding", "shard", "block"),
+    wanted = spread(dealt(asked, "block", blocks, "shard", shards).select("vec_id", "embedding", "shard", "block", "vector"),
                     "shard", "block").groupBy("shard", "block")
     found = rows.cogroup(wanted).applyInArrow(search, RESULT)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", "score", "vector"))
 
 
 def op6_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
