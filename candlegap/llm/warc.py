@@ -13,7 +13,9 @@ length that the last one states, joined, cleared of chunk framing and checked ag
 payload digest. A damaged record raises.
 
 Defined results: a NULL html is an empty payload; rows that repeat a page (same id and
-payload) give one record each; a NULL ``page_id`` stays NULL; a NULL url has no target
+payload) give one record each, all of them responses where that is the largest ``page_id`` with the
+payload; a page without ``page_id`` revisits the others with its payload, and is a response
+where none of them has one; a NULL url has no target
 header; an empty table gives no files and no rows; other columns are ignored.
 """
 
@@ -30,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlegap.llm.common import read_table, scratch_dir, shared_filesystem, sliced, spread, written
 
-SEGMENT_BYTES = 64 * 1024
+#: Blocks above this size are cut; the longest pages of the given tables make several segments.
+SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 8 * 1024
 #: Payloads below this size are always responses.
 MIN_REVISIT_BYTES = 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import collections
+import gzip
 import hashlib
 import random
 import re
@@ -16,7 +17,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from candlegap.llm import html_text, mixing, ngram_join, warc
+from candlegap.llm import ann, html_text, mixing, ngram_join, warc
 from candlegap.llm.ann import nearest
 from candlegap.llm.common import read_table, scratch_dir
 from candlegap.llm.components import connected_components
@@ -231,6 +232,55 @@ def test_mixing_equals_its_sql_and_keeps_to_the_weights(spark):
     assert rows.sort_values(key).reset_index(drop=True).astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
 
 
+def test_rows_that_repeat_a_query_id_are_queries_each(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [0.5, 0.4])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = nearest(table, table.where("vec_id = 0"), k=2).collect()
+    by = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by[r["vector"]].append((r["query_id"], r["rank"], r["vec_id"]))
+    assert sorted(by.values()) == [[(0, 1, 1), (0, 2, 3)], [(0, 1, 2), (0, 2, 3)]]
+
+
+def test_recall_over_several_shards_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 300)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 25)
+    x = np.random.default_rng(2).standard_normal((2000, 16)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = nearest(table, table.where("vec_id % 20 = 0"), k=10).collect()
+    exact, hits = x.astype(np.float64), 0
+    for q in range(0, 2000, 20):
+        score = (exact * exact[q]).sum(axis=1)
+        score[q] = -np.inf
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [m[0] for m in mine] == list(range(1, 11)) and all(s == score[v] for _, v, s in mine)
+        hits += len({m[1] for m in mine} & set(np.argsort(-score)[:10]))
+    assert hits >= 900
+
+
+def test_pages_without_id_revisit(spark):
+    rows = [(None, "u", "same"), (1, "u", "same"), (4, "u", "same"), (4, "v", "same"), (None, "u", "own"), (None, "u", "own")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = scratch_dir(spark, "test-warc")
+    got = [(r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"])
+           for r in warc.read_archives(warc.write_archives(pages, folder), folder).collect()]
+    assert sorted(got, key=str) == sorted([
+        (None, "revisit", 4, 4), (1, "revisit", 4, 4), (4, "response", None, 4), (4, "response", None, 4),
+        (None, "response", None, 3), (None, "response", None, 3)], key=str)
+
+
+def test_given_pages_make_continuation_records(spark):
+    """Some given pages are longer than a segment, and come back whole."""
+    pages = read_table(spark, "/root/testdata/sf0.1", "pages")
+    long = pages.where(F.octet_length("html") > warc.SEGMENT_BYTES)
+    members = [m for r in long.collect() for m in warc.records_of(r["page_id"], r["url"], r["html"].encode(), None)]
+    assert sum(b"continuation" in gzip.decompress(m)[:200] for m in members) >= long.count() > 0
+    folder = scratch_dir(spark, "test-warc")
+    got = warc.read_archives(warc.write_archives(long, folder), folder).collect()
+    assert {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in got} == {
+        r["page_id"]: (len(r["html"].encode()), warc.payload_digest(r["html"].encode())) for r in long.collect()}
+
+
 def earliest_deadline_first(ws: list[int], slots: int) -> list[tuple[int, int]]:
     """(source, block) of each slot, by one run over all of them."""
     q, done, out = sum(ws), [0] * len(ws), []
