@@ -379,3 +379,16 @@ def test_pipeline_stages(spark):
     first = {c for _, n, c in brute_components([(d, t) for d, t in given if str(d) in words]) if n}
     assert {str(r["doc_id"]) for r in rows} == first and len(rows) == len(first)
     assert all(r["n_tokens"] == len(r["ids"]) for r in rows)
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path, edge_documents, no_documents):
+    """NULLs, empty and long texts, repeated rows and a clashing extra column through all stages."""
+    odd, none = str(tmp_path / "odd"), str(tmp_path / "none")
+    edge_documents.write.parquet(f"{odd}/documents.parquet")
+    rows = corpus_pipeline.run(spark, odd).collect()
+    assert len({r["doc_id"] for r in rows}) == len(rows) and {r["doc_id"] for r in rows} <= {1, 2, 6, 7, 8, None}
+    assert len({1, 2} & {r["doc_id"] for r in rows}) <= 1  # equal texts: one stays
+    assert not {3, 4, 5, 9} & {r["doc_id"] for r in rows}  # no text or no letter
+    no_documents.write.parquet(f"{none}/documents.parquet")
+    empty = corpus_pipeline.run(spark, none)
+    assert empty.count() == 0 and empty.columns == corpus_pipeline.run(spark, odd).columns
