@@ -147,21 +147,34 @@ def replace_pairs(df: DataFrame, root: str, touched: DataFrame | None = None, *,
 def write_raw_json_arrays(df: DataFrame, root: str, *, buckets: int = DEFAULT_BUCKETS) -> None:
     """Raw zone in the provider-file layout: each file one JSON array of an instrument's records.
 
-    Each task turns the records it holds for an instrument into one array (so an array never
-    exceeds one input split however many rows an instrument has) and every array goes to its own
+    An instrument is one array, however many splits its records come from, so files grow with the
+    instruments alone. Only one with more records than a mean split of ``df`` is dealt over several
+    arrays, by a hash of its records, so an array stays near a split however many rows an instrument
+    has; there are fewer such instruments than splits. Every array goes to its own
     file (``maxRecordsPerFile=1``) in its bucket's folder, as ``multiLine`` readers expect. Such
     files cannot be split on read; prefer ``write_raw_json`` for bulk. Records in an array are
     in date order (structs compare field by field, date first).
     """
-    rows = df.drop("pair")
-    cols = rows.columns
-    if "date" in cols:
-        cols = ["date"] + [c for c in cols if c != "date"]
-    n = layout.stored_buckets(df.sparkSession, root) or buckets
-    arrays = rows.groupBy("from_symbol", "to_symbol", F.spark_partition_id().alias("_split")).agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct(*cols))),
-                  {"timestampFormat": JSON_TIMESTAMP_FORMAT}).alias("value"))
-    (layout.with_layout(arrays, n).select(*PARTITIONS, "value").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", 1)
-     .partitionBy(*PARTITIONS).text(root))
+    rows = df.drop("pair").persist()  # counted before it is written
+    try:
+        cols = rows.columns
+        if "date" in cols:
+            cols = ["date"] + [c for c in cols if c != "date"]
+        total, splits = rows.select(F.spark_partition_id().alias("split")).agg(
+            F.count(F.lit(1)), F.count_distinct("split")).first()
+        share = max(1, -(-total // max(1, splits)))
+        large = (rows.groupBy(F.col("from_symbol").alias("_from"), F.col("to_symbol").alias("_to"))
+                 .agg(F.ceil(F.count(F.lit(1)) / F.lit(share)).alias("_parts")).where("_parts > 1"))
+        same = F.col("from_symbol").eqNullSafe(F.col("_from")) & F.col("to_symbol").eqNullSafe(F.col("_to"))
+        dealt = rows.join(F.broadcast(large), same, "left")
+        part = F.pmod(F.xxhash64(*cols), F.coalesce("_parts", F.lit(1))).alias("_part")
+        n = layout.stored_buckets(df.sparkSession, root) or buckets
+        arrays = dealt.groupBy("from_symbol", "to_symbol", part).agg(
+            F.to_json(F.array_sort(F.collect_list(F.struct(*cols))),
+                      {"timestampFormat": JSON_TIMESTAMP_FORMAT}).alias("value"))
+        (layout.with_layout(arrays, n).select(*PARTITIONS, "value").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", 1)
+         .partitionBy(*PARTITIONS).text(root))
+    finally:
+        rows.unpersist()

@@ -236,6 +236,28 @@ def test_array_files_when_pairs_span_many_splits(spark, tmp_root):
     assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in df.collect())
 
 
+def test_array_files_grow_with_instruments_and_not_with_splits(spark, tmp_root):
+    rows = [b(f"2024-01-{d:02d}", f"1.{d}", pair=(f"P{p}", "USD")) for p in range(40) for d in range(1, 9)]
+    rows += [b(f"2024-02-{d:02d}", f"2.{d}", pair=("HOT", "USD")) for d in range(1, 29) for _ in range(10)]
+    df = bronze(spark, rows).repartition(8)             # every pair spread over 8 splits of 75 rows
+    write_raw_json_arrays(df, f"{tmp_root}/arr")
+    held = [[r["from_symbol"] for r in json.loads(f.read_text())] for f in pathlib.Path(f"{tmp_root}/arr").rglob("*.txt")]
+    assert all(len(set(h)) == 1 for h in held)
+    assert sorted(h[0] for h in held if h[0] != "HOT") == sorted(f"P{p}" for p in range(40))   # one file each
+    assert len([h for h in held if h[0] == "HOT"]) > 1 and max(map(len, held)) < 280           # a large one in several
+    back = scan_raw_json(spark, f"{tmp_root}/arr", multi_line=True).drop("pair").collect()
+    assert sorted(tuple(r) for r in back) == sorted(tuple(r) for r in df.collect())
+
+
+def test_array_files_of_null_symbols_and_no_rows(spark, tmp_root):
+    df = bronze(spark, [b("2024-01-01", "1.1"), b("2024-01-02", "1.2", pair=(None, "USD")),
+                        b("2024-01-03", "1.3", pair=(None, None)), b("2024-01-04", "1.4", pair=(None, "USD"))])
+    write_raw_json_arrays(df, f"{tmp_root}/arr")
+    back = scan_raw_json(spark, f"{tmp_root}/arr", multi_line=True).drop("pair").collect()
+    assert sorted(map(str, back)) == sorted(map(str, df.collect()))
+    write_raw_json_arrays(df.limit(0), f"{tmp_root}/none")
+
+
 def test_jobs_end_cleanly_on_no_rows_and_drop_what_is_gone(spark, tmp_root):
     from candlegap.plans import pipeline
     from candlegap.schemas import GOLD_SCHEMA, SILVER_SCHEMA
