@@ -52,7 +52,7 @@ FREQUENT_DOCS = 4
 COUNTED_AT_ONCE, SPLITS_COUNTED = 2_000_000, 16
 #: Least hashes kept of each set, how many of them name its buckets in step 4, and how many
 #: leaders a bucket has.
-LOW, STARS, LEADERS = 16, 8, 3
+LOW, STARS, LEADERS = 16, 8, 8
 BITMAP_BITS = 1 << 23
 #: Longs of a set's parity bitmap.
 PARITY_LONGS = 8
@@ -177,8 +177,9 @@ def prefixes(docs: DataFrame, frequent: Broadcast) -> DataFrame:
                 "hot_at": pa.array([len(p) - np.count_nonzero(_places(p, frequent.value)[1]) for p in firsts],
                                    pa.int32())})
 
-    return (docs.select("text").mapInArrow(run, "sig binary, prefix array<long>, hot_at int")
-            .dropDuplicates(["sig"]))
+    # one of each by first(): over dropDuplicates Spark does not see that two uses are the same
+    return (docs.select("text").mapInArrow(run, "sig binary, prefix array<long>, hot_at int").groupBy("sig")
+            .agg(F.first("prefix").alias("prefix"), F.first("hot_at").alias("hot_at")))
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -192,15 +193,17 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 def star_pairs(classes: DataFrame) -> DataFrame:
     """Likely pairs (a, b): the classes of each bucket with a few leaders of it, among them the
-    one whose buckets are the largest, which is nearest to the middle of its near copies."""
+    one whose buckets are the largest, which is nearest to the middle of its near copies. The
+    others are drawn, the likelier the larger their buckets: a leader at the rim of a large group
+    links few of it, and every pair not linked here is a row of the join."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)))
     slim = classes.select("cid", band.alias("band"), F.explode(F.slice("low", 1, STARS)).alias("v"))
     sizes = slim.groupBy("v", "band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     known = written(slim.join(sizes, ["v", "band"]), "buckets")
     sought = known.join(known.groupBy("cid").agg(F.sum("size").alias("sought")), "cid")
-    leaders = (sought.groupBy("v", "band").agg(F.array(
-        F.max(F.struct("sought", F.xxhash64("cid"), "cid"))["cid"],
-        *[F.min(F.struct(F.xxhash64("cid", F.lit(k)), "cid"))["cid"] for k in range(1, LEADERS)]).alias("leaders"))
+    drawn = [F.col("sought") * (F.pmod(F.xxhash64("cid", F.lit(k)), F.lit(1000)) + 1) for k in range(1, LEADERS)]
+    leaders = (sought.groupBy("v", "band").agg(F.array_distinct(F.array(*[
+        F.max(F.struct(by, F.xxhash64("cid"), "cid"))["cid"] for by in (F.col("sought"), *drawn)])).alias("leaders"))
         .select("v", "band", F.explode("leaders").alias("a")))
     pairs = known.join(leaders, ["v", "band"]).select("a", F.col("cid").alias("b"))
     head = classes.groupBy("grp").agg(F.min("cid").alias("a"))
@@ -242,7 +245,7 @@ def candidate_pairs(docs: DataFrame, frequent: Broadcast, classes: DataFrame, ro
         "size"), "cid").withColumn("parity", F.when(F.col("size") == 1, F.col("parity"))))
     entries = (prefixes(docs, frequent).join(heads, "sig")
                .select(F.col("cid").alias("g"), "comp", "n", "parity", "hot_at", F.posexplode("prefix").alias("at", "token"))
-               # size and place in one column: this is the largest exchange of the join
+               # size and place in one column: this is the largest exchange of the join, one for both sides
                .select("token", "g", "comp", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("n_at"),
                        F.when(F.col("at") >= F.col("hot_at"), F.col("parity")).alias("parity")))
     left, right = (entries.select("token", F.col("g").alias(f"g{k}"), F.col("comp").alias(f"comp{k}"),
@@ -354,9 +357,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     given = docs.select(F.struct(*columns).alias("doc"))
     tagged = given.mapInArrow(run, f"doc {given.schema['doc'].dataType.simpleString()}, sig binary")
-    order = Window.partitionBy("sig").orderBy(*[F.col(f"doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
-    chosen = (tagged.where("sig IS NOT NULL").join(kept, "sig")
-              .where(F.col("doc.doc_id").eqNullSafe(F.col("rep")))
+    # one key of join and window, so that whole texts are exchanged once, and copies of a set are spread
+    tagged = tagged.withColumn("id", F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("-")))
+    kept = kept.select("sig", F.coalesce(F.col("rep").cast("string"), F.lit("-")).alias("id"))
+    order = Window.partitionBy("sig", "id").orderBy(*[F.col(f"doc.`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    chosen = (tagged.where("sig IS NOT NULL").join(kept.hint("merge"), ["sig", "id"])
               .withColumn("rn", F.row_number().over(order)).where("rn = 1"))
     return chosen.select("doc.*").unionByName(tagged.where("sig IS NULL").select("doc.*"))
 

@@ -89,6 +89,42 @@ def test_frequent_list_does_not_change_links(spark, monkeypatch):
     assert sorted(map(str, ngram_join.jaccard_components(docs).select("doc_id", "component_id").collect())) == want
 
 
+def _prefix_step(spark, docs):
+    frequent = spark.sparkContext.broadcast(ngram_join.frequent_shingles(docs))
+    return frequent, ngram_join.classes_of(ngram_join.described(docs, frequent))
+
+
+def test_a_large_bucket_has_several_leaders(spark):
+    low = list(range(1, ngram_join.LOW + 1))  # 200 sets whose least hashes are the same
+    rows = [(i, i.to_bytes(16, "big"), i, 100, i.to_bytes(16, "big"), low, [0] * ngram_join.PARITY_LONGS) for i in range(200)]
+    classes = spark.createDataFrame(
+        rows, "cid long, sig binary, rep long, n int, grp binary, low array<long>, parity array<long>")
+    pairs = [tuple(r) for r in ngram_join.star_pairs(classes).collect()]
+    degree = collections.Counter(x for pair in pairs for x in pair)
+    leaders = [x for x, n in degree.items() if n == 199]
+    assert 5 <= len(leaders) <= ngram_join.LEADERS and len(pairs) < 200 * ngram_join.LEADERS  # linear in the bucket
+
+
+def test_one_exchange_serves_both_sides_of_the_token_join(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents", "doc_id", "text")
+    frequent, classes = _prefix_step(spark, docs)
+    roots = ngram_join.connected_components(ngram_join.verified(docs, classes, ngram_join.star_pairs(classes)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = ngram_join.candidate_pairs(docs, frequent, classes, roots)
+        node = pairs._jdf.queryExecution().sparkPlan()
+        joins, todo = [], [node]
+        while todo:
+            n = todo.pop()
+            todo += [n.children().apply(i) for i in range(n.children().size())]
+            if "Join" in n.nodeName() and n.simpleString(200).startswith("SortMergeJoin [token"):
+                joins.append(n)
+        assert len(joins) == 1 and joins[0].children().apply(0).sameResult(joins[0].children().apply(1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_connected_components(spark):
     rnd = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(200, 200)]
