@@ -29,7 +29,7 @@ from candlegap.operators.quality import cast_bars, clean_bars, dedup_latest
 from candlegap.plans.pipeline import build_gold, derive_silver, stamp_ingest, write_merged
 from candlegap.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, broken_not_null
 from candlegap.sinks import layout
-from candlegap.sinks.files import replace_pairs, replace_partitions, write_layer
+from candlegap.sinks.files import replace_pairs, replace_partitions, staged, write_layer
 from candlegap.sinks.layout import BUCKET, MONTH, with_layout, with_pair, without_layout
 from candlegap.sources.files import scan_partitions, scan_raw_json
 
@@ -138,8 +138,7 @@ def refresh_gold(spark: SparkSession, starts: DataFrame, roots: Roots, *, run_ts
     stored = _silver_table(spark, roots.silver)
     first = _first_months(starts, layout.stored_buckets(spark, roots.silver))
     earlier = without_layout(_months(stored, first, later=False))
-    since = gap_starts(earlier, starts).persist()  # one row an instrument, asked for three times
-    try:
+    with staged(gap_starts(earlier, starts), "since") as since:  # one row an instrument, asked for three times
         held = _first_months(starts, layout.stored_buckets(spark, roots.silver))
         bars = without_layout(_months(stored, held, later=True)).join(starts.select("pair", "start"), "pair")
         bars = bars.where("date >= start").drop("start").unionByName(bars_before(earlier, starts, 2))
@@ -155,30 +154,22 @@ def refresh_gold(spark: SparkSession, starts: DataFrame, roots: Roots, *, run_ts
         kept = _untouched(without_layout(rewritten), since)
         written = replace_partitions(new.unionByName(kept), roots.gold, owned, n_buckets=n)
         return sorted(written | set(owned))
-    finally:
-        since.unpersist()
 
 
 def refresh_layers(spark: SparkSession, incoming: DataFrame, roots: Roots, *, run_ts: str,
                    levels: str = "ordered", fill: str = "close") -> None:
     """Stamped bronze rows merged into the layers. With ``fill="future"`` a changed bar can
     close any earlier gap, so the gold of touched instruments is rebuilt from all their bars."""
-    incoming = incoming.persist()
-    try:
+    with staged(incoming, "incoming") as incoming:
         write_merged(spark, incoming, roots.bronze, buckets=roots.buckets)
-        starts = first_changes(incoming).persist()  # one row a touched instrument
-        try:
+        with staged(first_changes(incoming), "starts") as starts:  # one row a touched instrument
             refresh_silver(spark, starts, roots)
             if fill == "close":
                 parts = refresh_gold(spark, starts, roots, run_ts=run_ts, levels=levels)
             else:
                 parts = _rebuild_gold(spark, starts, roots, run_ts=run_ts, levels=levels, fill=fill)
-        finally:
-            starts.unpersist()
         if roots.state is not None and parts:
             refresh_state(spark, roots, parts)
-    finally:
-        incoming.unpersist()
 
 
 def _rebuild_gold(spark: SparkSession, starts: DataFrame, roots: Roots, *, run_ts: str, levels: str,

@@ -25,6 +25,7 @@ from candlegap.sinks.files import (
     observed,
     replace_pairs,
     replace_partitions,
+    staged,
     write_layer,
     write_raw_json,
 )
@@ -224,11 +225,8 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
     counts = RowCounts()
     bronze = stamp_ingest(counts.at(raw.drop("pair"), "read"), run_ts)
     if merge:
-        held = bronze.persist()  # asked for its partitions, then merged
-        try:
+        with staged(bronze, "incoming") as held:  # asked for its partitions, then merged
             write_merged(spark, held, bronze_root, counts, buckets)
-        finally:
-            held.unpersist()
     else:
         write_layer(checked(bronze, "bronze", counts), bronze_root, buckets=buckets)
     return LayerRun(**counts.taken())

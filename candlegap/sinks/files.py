@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlegap.sinks import layout
 from candlegap.sinks.layout import BUCKET, COUNT, DEFAULT_BUCKETS, MONTH, PARTITIONS, with_pair
-from candlegap.sinks.paths import remove
+from candlegap.sinks.paths import remove, scratch_path
 
 # Microseconds survive the text round trip (Spark's default JSON timestamp
 # format keeps milliseconds only).
@@ -27,6 +28,23 @@ def observed(seen: Observation, rows: DataFrame) -> dict:
         return rows.first().asDict()
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` computed once for several uses: written to a scratch folder, which goes at the end.
+
+    A persisted frame keeps every shuffle partition, as adaptive execution joins none of them in a
+    cached plan: each use of a few rows then runs that many tasks, and each exchange after it
+    writes up to that number squared of blocks. Files are as many as the rows ask for, and their
+    size tells which side of a join is small.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 def _save(df: DataFrame, root: str, *, mode: str, fmt: str, n_buckets: int,
           whole_table: bool = False) -> set[tuple[int, int]]:
     """``df`` as (bucket, month) partitions: those it carries, or all there are. Returns which it

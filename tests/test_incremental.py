@@ -84,6 +84,25 @@ def test_earlier_partitions_are_neither_read_for_bars_nor_rewritten(spark, tmp_r
     assert {f.parent.name for f in after - set(before)} == {"month=202404"}
 
 
+def test_frames_asked_for_again_come_in_as_many_tasks_as_their_rows_ask_for(spark, tmp_root):
+    roots = Roots(*(f"{tmp_root}/{x}" for x in ("b", "s", "g", "state")))
+    rows = list({(r[0], r[5]): r for r in made(random.Random(4), range(60))}.values())
+    sc, before, most = spark.sparkContext, spark.conf.get("spark.sql.shuffle.partitions"), 0
+    spark.conf.set("spark.sql.shuffle.partitions", "150")  # more than the cores, and than these rows are worth
+    try:
+        for group, batch in (("refresh-all", rows), ("refresh-late", rows[-9:])):
+            incoming = pipeline.stamp_ingest(spark.createDataFrame(batch, BRONZE_SCHEMA), TS)
+            sc.setJobGroup(group, group)
+            incremental.refresh_layers(spark, incoming, roots, run_ts=TS)
+            seen = sc.statusTracker()
+            stages = [seen.getStageInfo(i) for j in seen.getJobIdsForGroup(group) for i in seen.getJobInfo(j).stageIds]
+            most = max(most, *(i.numTasks for i in stages if i is not None and i.numCompletedTasks))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 1 <= most < 150
+
+
 def test_volatility_from_the_first_changed_day(spark):
     rnd = random.Random(8)
     silver = pipeline.build_silver(spark.createDataFrame(made(rnd, range(90), pairs=3), BRONZE_SCHEMA)).cache()
