@@ -192,6 +192,47 @@ def test_host_suffix_array_finds_what_pages_share(spark):
     assert list(np.argsort(rank, kind="stable")) == order
 
 
+def test_suffix_array_and_repeated_runs_equal_brute_force():
+    rnd = random.Random(11)
+    for size in (1, 2, 7, 120):
+        tokens = np.array([rnd.randint(0, 3) for _ in range(size)] + [5] * (size // 4), np.int64)
+        order, common = html_text.suffix_array(tokens)
+        suffixes = [tokens[i:].tolist() for i in order]
+        assert suffixes == sorted(suffixes) and sorted(order) == list(range(len(tokens))) and common[0] == 0
+        for one, other, n in zip(suffixes, suffixes[1:], common[1:], strict=False):
+            assert one[:n] == other[:n] and one[n:n + 1] != other[n:n + 1]
+    long, runs = 4, [[f"r{k}x{i}" for i in range(n)] for k, n in enumerate((4, 9, 40))]
+    pages = []
+    for i in range(12):  # runs of several lengths, on more and on fewer pages, and twice on one
+        words = []
+        for k in rnd.choices(range(3), k=3):
+            words += [f"p{i}w{rnd.randint(0, 9)}" for _ in range(rnd.randint(1, 5))] + runs[k][rnd.randint(0, 2):]
+        pages.append([" ".join(words[:7]), " ".join(words[7:])])
+    grams = [[tuple(w[j:j + long]) for j in range(len(w) - long + 1)] for w in (" ".join(p).split(" ") for p in pages)]
+    held = collections.Counter(g for of_page in grams for g in set(of_page))
+    sums = collections.Counter()
+    for part in (pages[:5], pages[5:6], pages[6:]):
+        for key, n in zip(*html_text.substrings(part, "h", long), strict=True):
+            sums[int(key)] += int(n)
+    assert sorted(sums.values()) == sorted(held.values())
+    shared = np.array([key for key, n in sums.items() if n >= html_text.PAGES], np.int64)
+    for page, of_page in zip(pages, grams, strict=True):
+        mask = np.zeros(sum(b.count(" ") + 1 for b in page), bool)
+        for at, g in enumerate(of_page):
+            mask[at:at + long] |= held[g] >= html_text.PAGES
+        got, kept, place = html_text.unique_runs(page, "h", shared, long), [], 0
+        for block in page:
+            words = block.split(" ")
+            inside = mask[place:place + len(words)]
+            place += len(words)
+            free = [at for at, hit in enumerate(inside) if not hit]
+            if inside.mean() < html_text.COVERED:
+                first = free[0] if free[0] >= long else 0
+                last = free[-1] + 1 if len(words) - free[-1] - 1 >= long else len(words)
+                kept.append(" ".join(words[first:last]))
+        assert got == (page if mask.mean() >= html_text.COPY else kept)
+
+
 def test_what_a_host_shares_does_not_depend_on_its_size(spark):
     shared = "home about us contact our team read all the news of this town every day"
     own = {i: f"story {i} " + " ".join(f"w{i}x{k}" for k in range(20)) for i in range(40)}
