@@ -227,8 +227,8 @@ def run_bronze(spark: SparkSession, raw_root: str, bronze_root: str, *, run_ts:
     if merge:
         with staged(bronze, "incoming") as held:  # asked for its partitions, then merged
             write_merged(spark, held, bronze_root, counts, buckets)
-    else:
-        write_layer(checked(bronze, "bronze", counts), bronze_root, buckets=buckets)
+            return LayerRun(**counts.taken())  # may ask the staged rows
+    write_layer(checked(bronze, "bronze", counts), bronze_root, buckets=buckets)
     return LayerRun(**counts.taken())
 
 
